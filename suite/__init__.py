@@ -2,5 +2,5 @@
 
 
 def modules():
-    from . import sheets
-    return [sheets]
+    from . import lifecycle, sheets, star
+    return [sheets, star, lifecycle]
