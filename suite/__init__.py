@@ -2,5 +2,5 @@
 
 
 def modules():
-    from . import lifecycle, sheets, star
-    return [sheets, star, lifecycle]
+    from . import lifecycle, sheets, star, texts
+    return [sheets, star, lifecycle, texts]
