@@ -110,11 +110,6 @@ def term_weights(vectors: DataFrame) -> DataFrame:
         F.col("df")[F.col("term")].alias("df"))
 
 
-def map_dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.map_entries(a), F.lit(0.0), lambda acc, e: acc + e["value"] * F.coalesce(
-        F.try_element_at(b, e["key"]), F.lit(0.0)))
-
-
 # ---------------------------------------------------------------- exact pruned join
 
 def _postings(vectors: DataFrame, side: int, id_name: str, weight: str) -> DataFrame:
@@ -139,13 +134,31 @@ def _bounded_terms(vectors: DataFrame, postings: DataFrame) -> DataFrame:
         "rest_sq": F.coalesce(F.sum(F.col("ws") * F.col("ws")).over(before), zero)})
 
 
-def _score(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine of (sid, iid) pairs; other columns are kept."""
-    items = vectors.filter("side = 0").select(F.col("doc").alias("iid"), F.col("vec").alias("vi"))
-    skus = vectors.filter("side = 1").select(F.col("doc").alias("sid"), F.col("vec").alias("vs"))
-    scored = pairs.join(items, "iid").join(skus, "sid")
-    tf = F.round(map_dot(F.col("vs"), F.col("vi")), SCORE_DIGITS)
-    return scored.select(*pairs.columns, tf.alias("tf"))
+def _asked(looked_up: Column) -> Column:
+    """A product term as its bounds travel to the items: signature slot, bound, weight."""
+    slot = _signature_slot(F.col("term"))
+    return F.struct(F.floor(slot / 64).cast("int").alias("word"), F.pmod(slot, F.lit(64)).alias("bit"),
+                    (F.col("ws") * F.col("max_wi")).alias("most"), "term", "ws",
+                    looked_up.alias("looked_up"))
+
+
+def _maybe_has(sig: Column, asked: Column) -> Column:
+    return F.getbit(sig[asked["word"]], asked["bit"]) == 1
+
+
+def _add_terms(pairs: DataFrame, postings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Cosine of (sid, iid): `so_far` plus the weights of the terms listed in `open`.
+
+    Only terms that the item's signature shows are listed, and they are fetched by (item, term),
+    a key without hot values; whole vectors never move.
+    """
+    asked = pairs.select("sid", "iid", *keep, "so_far", F.explode_outer("open").alias("o")).select(
+        "sid", "iid", *keep, "so_far", F.col("o.term").alias("term"), F.col("o.ws").alias("ws"))
+    met = asked.join(postings.select("iid", "term", "wi"), ["iid", "term"], "left")
+    return met.groupBy("sid", "iid").agg(
+        *[F.first(c).alias(c) for c in keep],
+        F.round(F.first("so_far") + F.coalesce(F.sum(F.col("ws") * F.col("wi")), F.lit(0.0)),
+                SCORE_DIGITS).alias("tf"))
 
 
 def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
@@ -154,7 +167,8 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     A pair is found through its rarest shared term, so a term is looked up only while it and the
     more common ones together can reach the limit. Within the join, the item's term signature
     bounds what all terms of the product can add; only pairs that may reach the limit are
-    shuffled and scored. `limits` is one number, or sid → `limit`.
+    shuffled. Their looked-up terms are summed there and the common rest is fetched per pair.
+    `limits` is one number, or sid → `limit`.
     """
     postings = _postings(vectors, 0, "iid", "wi")
     bounded = _bounded_terms(vectors, postings)
@@ -163,23 +177,24 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     else:
         bounded = bounded.withColumn("limit", F.lit(float(limits)))
     floor = F.col("limit") - SLACK
-    most = F.col("ws") * F.col("max_wi")
-    reach = F.least(most + F.col("rest_ub"),
+    reach = F.least(F.col("ws") * F.col("max_wi") + F.col("rest_ub"),
                     F.sqrt(F.col("ws") * F.col("ws") + F.col("rest_sq")))
-    slot = _signature_slot(F.col("term"))
-    asked = F.struct(F.floor(slot / 64).cast("int").alias("word"),
-                     F.pmod(slot, F.lit(64)).alias("bit"), most.alias("most"))
-    looked_up = bounded.withColumn(
-        "asked", F.collect_list(asked).over(Window.partitionBy("sid"))).filter(
-        reach >= floor).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
+    looked_up = bounded.withColumn("reaches", reach >= floor).withColumn(
+        "asked", F.collect_list(_asked(F.col("reaches"))).over(Window.partitionBy("sid"))).filter(
+        "reaches").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
     spread_postings = postings.select(
-        "term", "iid", "sig", F.pmod(F.xxhash64("iid"), F.col("spread")).cast("int").alias("part"))
+        "term", "iid", "wi", "sig", F.pmod(F.xxhash64("iid"), F.col("spread")).cast("int").alias("part"))
     attainable = F.aggregate("asked", F.lit(0.0), lambda acc, a: acc + F.when(
-        F.getbit(F.col("sig")[a["word"]], a["bit"]) == 1, a["most"]).otherwise(F.lit(0.0)))
-    found = looked_up.select("sid", "term", "part", "asked", "limit").join(
+        _maybe_has(F.col("sig"), a), a["most"]).otherwise(F.lit(0.0)))
+    found = looked_up.select("sid", "term", "part", "ws", "asked", "limit").join(
         spread_postings, ["term", "part"]).filter(attainable >= floor)
-    pairs = found.groupBy("sid", "iid").agg(F.first("limit").alias("limit"))
-    return _score(pairs, vectors).filter(
+    rest = F.transform(
+        F.filter("asked", lambda a: ~a["looked_up"] & _maybe_has(F.col("sig"), a)),
+        lambda a: F.struct(a["term"].alias("term"), a["ws"].alias("ws")))
+    pairs = found.withColumn("open", rest).groupBy("sid", "iid").agg(
+        F.sum(F.col("ws") * F.col("wi")).alias("so_far"),
+        F.first("limit").alias("limit"), F.first("open").alias("open"))
+    return _add_terms(pairs, postings, ["limit"]).filter(
         (F.col("tf") >= floor) & (F.col("tf") > 0)).select("sid", "iid", "tf")
 
 
@@ -193,17 +208,22 @@ def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
     postings = _postings(vectors, 0, "iid", "wi")
     heaviest = Window.partitionBy("term").orderBy(F.desc("wi"), "iid")
     champions = postings.withColumn("r", F.row_number().over(heaviest)).filter(
-        F.col("r") <= SEED_LIST).select("term", "iid")
-    sizes = postings.groupBy("term").agg(F.count("*").alias("n_items"))
-    mine = _postings(vectors, 1, "sid", "ws").join(sizes, "term")
+        F.col("r") <= SEED_LIST).select("term", "iid", "sig")
+    mine = _bounded_terms(vectors, postings)
     rare_first = Window.partitionBy("sid").orderBy("n_items", "term").rowsBetween(
         Window.unboundedPreceding, -1)
     listed = F.least(F.col("n_items"), F.lit(SEED_LIST))
-    chosen = mine.withColumn("ahead", F.coalesce(F.sum(listed).over(rare_first), F.lit(0))).filter(
-        F.col("ahead") < 2 * k).select("sid", "term")
-    seeds = _score(chosen.join(champions, "term").select("sid", "iid").distinct(), vectors)
+    chosen = mine.withColumns({
+        "ahead": F.coalesce(F.sum(listed).over(rare_first), F.lit(0)),
+        "asked": F.collect_list(_asked(F.lit(False))).over(Window.partitionBy("sid"))}).filter(
+        F.col("ahead") < 2 * k).select("sid", "term", "asked")
+    shown = F.transform(F.filter("asked", lambda a: _maybe_has(F.col("sig"), a)),
+                        lambda a: F.struct(a["term"].alias("term"), a["ws"].alias("ws")))
+    seeds = chosen.join(champions, "term").select("sid", "iid", shown.alias("open")).groupBy(
+        "sid", "iid").agg(F.first("open").alias("open")).withColumn("so_far", F.lit(0.0))
     best_first = Window.partitionBy("sid").orderBy(F.desc("tf"), "iid")
-    ranked = seeds.withColumn("r", F.row_number().over(best_first)).filter(F.col("r") <= k)
+    ranked = _add_terms(seeds, postings).withColumn("r", F.row_number().over(best_first)).filter(
+        F.col("r") <= k)
     reached = ranked.groupBy("sid").agg(
         F.max(F.when(F.col("r") == k, F.col("tf"))).alias("limit"))
     everyone = vectors.filter("side = 1").select(F.col("doc").alias("sid"))
@@ -371,7 +391,8 @@ def price_sides(prices: DataFrame, order: Sequence[str]) -> DataFrame:
     rank = F.struct(*order)
     sem = F.col("desonerado") == "False"
     com = F.col("desonerado") == "True"
-    fields = [c for c in prices.columns if c not in ("codigo", "desonerado", *order)]
+    hidden = {"codigo", "desonerado", *order} - {"preco_mediano"}
+    fields = [c for c in prices.columns if c not in hidden]
     out = prices.groupBy("codigo").agg(
         F.min_by(F.when(sem, F.struct(*fields)), F.when(sem, rank)).alias("s"),
         F.min_by(F.when(com, F.col("preco_mediano")), F.when(com, rank)).alias("preco_desonerado"))

@@ -2,5 +2,5 @@
 
 
 def modules():
-    from . import lifecycle, sheets, star, texts
-    return [sheets, star, lifecycle, texts]
+    from . import lifecycle, linking, sheets, star, texts
+    return [sheets, star, lifecycle, texts, linking]
