@@ -32,6 +32,8 @@ TERM_SPREAD = 100_000
 SEED_LIST = 250
 # Width of the term signature of an item, in 64-bit words.
 SIGNATURE_WORDS = 4
+# Terms of a product that are checked against the signature one by one; others count in full.
+CHECKED = 16
 
 
 # ---------------------------------------------------------------- texts and weights
@@ -134,25 +136,63 @@ def _bounded_terms(vectors: DataFrame, postings: DataFrame) -> DataFrame:
         "rest_sq": F.coalesce(F.sum(F.col("ws") * F.col("ws")).over(before), zero)})
 
 
-def _asked(looked_up: Column) -> Column:
-    """A product term as its bounds travel to the items: signature slot, bound, weight."""
+def _slots(terms: DataFrame) -> DataFrame:
+    """Signature slot and bound of every product term: word, bit, most."""
     slot = _signature_slot(F.col("term"))
-    return F.struct(F.floor(slot / 64).cast("int").alias("word"), F.pmod(slot, F.lit(64)).alias("bit"),
-                    (F.col("ws") * F.col("max_wi")).alias("most"), "term", "ws",
-                    looked_up.alias("looked_up"))
+    return terms.withColumns({
+        "word": F.floor(slot / 64).cast("int"), "bit": F.pmod(slot, F.lit(64)),
+        "most": F.col("ws") * F.col("max_wi")})
 
 
-def _maybe_has(sig: Column, asked: Column) -> Column:
-    return F.getbit(sig[asked["word"]], asked["bit"]) == 1
+def _with_checks(terms: DataFrame) -> DataFrame:
+    """Adds the product's CHECKED strongest terms as parallel arrays, and the total of the rest.
 
-
-def _add_terms(pairs: DataFrame, postings: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Cosine of (sid, iid): `so_far` plus the weights of the terms listed in `open`.
-
-    Only terms that the item's signature shows are listed, and they are fetched by (item, term),
-    a key without hot values; whole vectors never move.
+    Parallel arrays of fixed length keep the bound inside generated code.
+    """
+    everything = F.sort_array(F.collect_list(F.struct("most", "word", "bit")).over(
+        Window.partitionBy("sid")), asc=False)
+    listed = terms.withColumn("_all", everything)
+    padding = F.array_repeat(F.struct(F.lit(0.0).alias("most"), F.lit(0).alias("word"),
+                                      F.lit(0).alias("bit")), CHECKED)
+    first = F.slice(F.concat(F.slice("_all", 1, CHECKED), padding), 1, CHECKED)
+    listed = listed.withColumn("_first", first)
+    rest = F.aggregate(F.slice("_all", F.lit(CHECKED + 1), F.size("_all")), F.lit(0.0),
+                       lambda acc, a: acc + a["most"])
+    return listed.withColumns({
+        "mosts": F.transform("_first", lambda a: a["most"]),
+        "words": F.transform("_first", lambda a: a["word"]),
+        "bits": F.transform("_first", lambda a: a["bit"]), "unchecked": rest}).drop("_all", "_first")
+
+
+CHECKS = ["mosts", "words", "bits", "unchecked"]
+
+
+def _attainable() -> Column:
+    """Upper bound of a pair's cosine from the item's signature."""
+    total = F.col("unchecked")
+    for i in range(CHECKED):
+        has = F.getbit(F.get("sig", F.get("words", F.lit(i))), F.get("bits", F.lit(i)))
+        total = total + F.when(has == 1, F.get("mosts", F.lit(i))).otherwise(F.lit(0.0))
+    return total
+
+
+def _add_terms(pairs: DataFrame, open_terms: DataFrame, postings: DataFrame,
+               keep: Sequence[str] = ()) -> DataFrame:
+    """Cosine of (sid, iid): `so_far` plus what the product's open terms add.
+
+    `open_terms`: sid, term, ws, word, bit. Only terms that the item's signature shows are
+    fetched, by (item, term), a key without hot values; whole vectors never move.
     """
-    asked = pairs.select("sid", "iid", *keep, "so_far", F.explode_outer("open").alias("o")).select(
+    listed = open_terms.groupBy("sid").agg(
+        F.collect_list(F.struct("term", "ws", "word", "bit")).alias("open"))
+    # An entry without a term keeps pairs that have nothing left to fetch.
+    last = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("ws"),
+                            F.lit(0).alias("word"), F.lit(0).alias("bit")))
+    asked = pairs.join(listed, "sid", "left").select(
+        "sid", "iid", *keep, "so_far", "sig",
+        F.explode(F.when(F.col("open").isNull(), last).otherwise(F.concat("open", last))).alias("o"))
+    asked = asked.filter(F.col("o.term").isNull() | (
+        F.getbit(F.get("sig", F.col("o.word")), F.col("o.bit")) == 1)).select(
         "sid", "iid", *keep, "so_far", F.col("o.term").alias("term"), F.col("o.ws").alias("ws"))
     met = asked.join(postings.select("iid", "term", "wi"), ["iid", "term"], "left")
     return met.groupBy("sid", "iid").agg(
@@ -171,59 +211,54 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     `limits` is one number, or sid → `limit`.
     """
     postings = _postings(vectors, 0, "iid", "wi")
-    bounded = _bounded_terms(vectors, postings)
+    bounded = _slots(_bounded_terms(vectors, postings))
     if isinstance(limits, DataFrame):
         bounded = bounded.join(limits, "sid")
     else:
         bounded = bounded.withColumn("limit", F.lit(float(limits)))
     floor = F.col("limit") - SLACK
-    reach = F.least(F.col("ws") * F.col("max_wi") + F.col("rest_ub"),
+    reach = F.least(F.col("most") + F.col("rest_ub"),
                     F.sqrt(F.col("ws") * F.col("ws") + F.col("rest_sq")))
-    looked_up = bounded.withColumn("reaches", reach >= floor).withColumn(
-        "asked", F.collect_list(_asked(F.col("reaches"))).over(Window.partitionBy("sid"))).filter(
-        "reaches").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
+    checked = store(_with_checks(bounded.withColumn("reaches", reach >= floor)), "checked")
+    looked_up = checked.filter("reaches").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
     spread_postings = postings.select(
         "term", "iid", "wi", "sig", F.pmod(F.xxhash64("iid"), F.col("spread")).cast("int").alias("part"))
-    attainable = F.aggregate("asked", F.lit(0.0), lambda acc, a: acc + F.when(
-        _maybe_has(F.col("sig"), a), a["most"]).otherwise(F.lit(0.0)))
-    found = looked_up.select("sid", "term", "part", "ws", "asked", "limit").join(
-        spread_postings, ["term", "part"]).filter(attainable >= floor)
-    rest = F.transform(
-        F.filter("asked", lambda a: ~a["looked_up"] & _maybe_has(F.col("sig"), a)),
-        lambda a: F.struct(a["term"].alias("term"), a["ws"].alias("ws")))
-    pairs = found.withColumn("open", rest).groupBy("sid", "iid").agg(
+    found = looked_up.select("sid", "term", "part", "ws", "limit", *CHECKS).join(
+        spread_postings, ["term", "part"]).filter(_attainable() >= floor)
+    pairs = found.groupBy("sid", "iid").agg(
         F.sum(F.col("ws") * F.col("wi")).alias("so_far"),
-        F.first("limit").alias("limit"), F.first("open").alias("open"))
-    return _add_terms(pairs, postings, ["limit"]).filter(
+        F.first("limit").alias("limit"), F.first("sig").alias("sig"))
+    return _add_terms(pairs, checked.filter("not reaches"), postings, ["limit"]).filter(
         (F.col("tf") >= floor) & (F.col("tf") > 0)).select("sid", "iid", "tf")
 
 
 def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
     """A lower bound of every product text's k-th best cosine: sid → limit.
 
-    Seeds come from the heaviest items of the product's rarest terms. List and seeds per product
-    are bounded whatever a term's frequency; that only weakens the bound, never the result. Too
-    few seeds give 0.
+    Seeds are the most promising of the heaviest items of the product's rarest terms. Lists and
+    seeds per product are bounded whatever a term's frequency; that only weakens the bound, never
+    the result. Too few seeds give 0.
     """
     postings = _postings(vectors, 0, "iid", "wi")
     heaviest = Window.partitionBy("term").orderBy(F.desc("wi"), "iid")
     champions = postings.withColumn("r", F.row_number().over(heaviest)).filter(
         F.col("r") <= SEED_LIST).select("term", "iid", "sig")
-    mine = _bounded_terms(vectors, postings)
     rare_first = Window.partitionBy("sid").orderBy("n_items", "term").rowsBetween(
         Window.unboundedPreceding, -1)
     listed = F.least(F.col("n_items"), F.lit(SEED_LIST))
-    chosen = mine.withColumns({
-        "ahead": F.coalesce(F.sum(listed).over(rare_first), F.lit(0)),
-        "asked": F.collect_list(_asked(F.lit(False))).over(Window.partitionBy("sid"))}).filter(
-        F.col("ahead") < 2 * k).select("sid", "term", "asked")
-    shown = F.transform(F.filter("asked", lambda a: _maybe_has(F.col("sig"), a)),
-                        lambda a: F.struct(a["term"].alias("term"), a["ws"].alias("ws")))
-    seeds = chosen.join(champions, "term").select("sid", "iid", shown.alias("open")).groupBy(
-        "sid", "iid").agg(F.first("open").alias("open")).withColumn("so_far", F.lit(0.0))
+    checked = store(_with_checks(_slots(_bounded_terms(vectors, postings)).withColumn(
+        "ahead", F.coalesce(F.sum(listed).over(rare_first), F.lit(0)))), "checked")
+    chosen = checked.filter(F.col("ahead") < 2 * k).select("sid", "term", *CHECKS)
+    promising = Window.partitionBy("sid").orderBy(F.desc("most"), "iid")
+    seeds = chosen.join(champions, "term").select(
+        "sid", "iid", "sig", _attainable().alias("most")).groupBy("sid", "iid").agg(
+        F.first("sig").alias("sig"), F.first("most").alias("most")).withColumn(
+        "r", F.row_number().over(promising)).filter(F.col("r") <= 3 * k).select(
+        "sid", "iid", "sig", F.lit(0.0).alias("so_far"))
     best_first = Window.partitionBy("sid").orderBy(F.desc("tf"), "iid")
-    ranked = _add_terms(seeds, postings).withColumn("r", F.row_number().over(best_first)).filter(
-        F.col("r") <= k)
+    ranked = _add_terms(seeds, checked, postings).withColumn(
+        "r", F.row_number().over(best_first)).filter(F.col("r") <= k)
     reached = ranked.groupBy("sid").agg(
         F.max(F.when(F.col("r") == k, F.col("tf"))).alias("limit"))
     everyone = vectors.filter("side = 1").select(F.col("doc").alias("sid"))
