@@ -114,20 +114,20 @@ def term_weights(vectors: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- exact pruned join
 
-def _postings(vectors: DataFrame, side: int, id_name: str, weight: str) -> DataFrame:
+def posting_lists(vectors: DataFrame, side: int, id_name: str, weight: str) -> DataFrame:
     spread = F.greatest(F.ceil(F.col("df") / TERM_SPREAD), F.lit(1)).cast("int")
     return term_weights(vectors.filter(F.col("side") == side)).select(
         F.col("doc").alias(id_name), "term", F.col("w").alias(weight), "sig", spread.alias("spread"))
 
 
-def _bounded_terms(vectors: DataFrame, postings: DataFrame) -> DataFrame:
+def bounded_terms(vectors: DataFrame, postings: DataFrame) -> DataFrame:
     """Terms of each product text, with what the more common ones can still add.
 
     rest_ub: their greatest total; rest_sq: the squared weight they hold.
     """
     stats = postings.groupBy("term").agg(
         F.max("wi").alias("max_wi"), F.count("*").alias("n_items"))
-    mine = _postings(vectors, 1, "sid", "ws").drop("sig").join(stats, "term")
+    mine = posting_lists(vectors, 1, "sid", "ws").drop("sig").join(stats, "term")
     common_first = Window.partitionBy("sid").orderBy(F.desc("n_items"), F.desc("term"))
     before = common_first.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0.0)
@@ -136,7 +136,7 @@ def _bounded_terms(vectors: DataFrame, postings: DataFrame) -> DataFrame:
         "rest_sq": F.coalesce(F.sum(F.col("ws") * F.col("ws")).over(before), zero)})
 
 
-def _slots(terms: DataFrame) -> DataFrame:
+def slots(terms: DataFrame) -> DataFrame:
     """Signature slot and bound of every product term: word, bit, most."""
     slot = _signature_slot(F.col("term"))
     return terms.withColumns({
@@ -176,7 +176,7 @@ def _attainable() -> Column:
     return total
 
 
-def _add_terms(pairs: DataFrame, open_terms: DataFrame, postings: DataFrame,
+def add_terms(pairs: DataFrame, open_terms: DataFrame, postings: DataFrame,
                keep: Sequence[str] = ()) -> DataFrame:
     """Cosine of (sid, iid): `so_far` plus what the product's open terms add.
 
@@ -210,8 +210,8 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     shuffled. Their looked-up terms are summed there and the common rest is fetched per pair.
     `limits` is one number, or sid → `limit`.
     """
-    postings = _postings(vectors, 0, "iid", "wi")
-    bounded = _slots(_bounded_terms(vectors, postings))
+    postings = posting_lists(vectors, 0, "iid", "wi")
+    bounded = slots(bounded_terms(vectors, postings))
     if isinstance(limits, DataFrame):
         bounded = bounded.join(limits, "sid")
     else:
@@ -229,7 +229,7 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     pairs = found.groupBy("sid", "iid").agg(
         F.sum(F.col("ws") * F.col("wi")).alias("so_far"),
         F.first("limit").alias("limit"), F.first("sig").alias("sig"))
-    return _add_terms(pairs, checked.filter("not reaches"), postings, ["limit"]).filter(
+    return add_terms(pairs, checked.filter("not reaches"), postings, ["limit"]).filter(
         (F.col("tf") >= floor) & (F.col("tf") > 0)).select("sid", "iid", "tf")
 
 
@@ -240,14 +240,14 @@ def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
     seeds per product are bounded whatever a term's frequency; that only weakens the bound, never
     the result. Too few seeds give 0.
     """
-    postings = _postings(vectors, 0, "iid", "wi")
+    postings = posting_lists(vectors, 0, "iid", "wi")
     heaviest = Window.partitionBy("term").orderBy(F.desc("wi"), "iid")
     champions = postings.withColumn("r", F.row_number().over(heaviest)).filter(
         F.col("r") <= SEED_LIST).select("term", "iid", "sig")
     rare_first = Window.partitionBy("sid").orderBy("n_items", "term").rowsBetween(
         Window.unboundedPreceding, -1)
     listed = F.least(F.col("n_items"), F.lit(SEED_LIST))
-    checked = store(_with_checks(_slots(_bounded_terms(vectors, postings)).withColumn(
+    checked = store(_with_checks(slots(bounded_terms(vectors, postings)).withColumn(
         "ahead", F.coalesce(F.sum(listed).over(rare_first), F.lit(0)))), "checked")
     chosen = checked.filter(F.col("ahead") < 2 * k).select("sid", "term", *CHECKS)
     promising = Window.partitionBy("sid").orderBy(F.desc("most"), "iid")
@@ -257,7 +257,7 @@ def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
         "r", F.row_number().over(promising)).filter(F.col("r") <= 3 * k).select(
         "sid", "iid", "sig", F.lit(0.0).alias("so_far"))
     best_first = Window.partitionBy("sid").orderBy(F.desc("tf"), "iid")
-    ranked = _add_terms(seeds, checked, postings).withColumn(
+    ranked = add_terms(seeds, checked, postings).withColumn(
         "r", F.row_number().over(best_first)).filter(F.col("r") <= k)
     reached = ranked.groupBy("sid").agg(
         F.max(F.when(F.col("r") == k, F.col("tf"))).alias("limit"))
@@ -276,19 +276,28 @@ def topk_texts(vectors: DataFrame, k: int) -> DataFrame:
 
 # ---------------------------------------------------------------- candidates and scores
 
-def preselect(items: DataFrame, vectors: DataFrame, k: int = CANDIDATES,
-              key: str = "item_key", text: str = "n") -> DataFrame:
-    """The k best items of every product text by cosine: sid, item key, iid, tf.
+def expand_items(pairs: DataFrame, items: DataFrame, k: int, order: str,
+                 key: str = "item_key", text: str = "n") -> DataFrame:
+    """Text pairs (sid, iid, …) to the k best items per product text, with their rank `posto`.
 
     Copies of an item text score alike, so only the k highest keys of a text can be kept.
-    Products with fewer than k related items are filled up with the highest unrelated keys.
     """
     copies = Window.partitionBy("iid").orderBy(F.desc(key))
     keyed = items.select(key, text_id(F.col(text)).alias("iid")).withColumn(
         "c", F.row_number().over(copies)).filter(F.col("c") <= k).drop("c")
-    related = topk_texts(vectors, k).join(keyed, "iid").select("sid", key, "iid", "tf")
-    best = Window.partitionBy("sid").orderBy(F.desc("tf"), F.desc(key))
-    related = related.withColumn("posto", F.row_number().over(best)).filter(F.col("posto") <= k)
+    best = Window.partitionBy("sid").orderBy(F.desc(order), F.desc(key))
+    return pairs.join(keyed, "iid").select(
+        "sid", key, "iid", *[c for c in pairs.columns if c not in ("sid", "iid")]).withColumn(
+        "posto", F.row_number().over(best)).filter(F.col("posto") <= k)
+
+
+def preselect(items: DataFrame, vectors: DataFrame, k: int = CANDIDATES,
+              key: str = "item_key", text: str = "n") -> DataFrame:
+    """The k best items of every product text by cosine: sid, item key, iid, tf, posto.
+
+    Products with fewer than k related items are filled up with the highest unrelated keys.
+    """
+    related = expand_items(topk_texts(vectors, k), items, k, "tf", key, text)
     related = store(related, "related")
     # A product with m related items needs k - m others; they are among the last 2k keys.
     last_keys = items.select(key, text_id(F.col(text)).alias("iid")).orderBy(F.desc(key)).limit(

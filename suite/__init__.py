@@ -2,5 +2,5 @@
 
 
 def modules():
-    from . import lifecycle, linking, sheets, star, texts
-    return [sheets, star, lifecycle, texts, linking]
+    from . import books, lifecycle, linking, sheets, star, texts
+    return [sheets, star, lifecycle, texts, linking, books]

@@ -118,7 +118,7 @@ def linkage_v1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linkage_three_signals(spark: SparkSession, sf: str) -> DataFrame:
-    """All three signals. Customers and suppliers stand in for short lists with vectors."""
+    """All three signals, for the parts that have a vector."""
     vectors = table(spark, sf, "embeddings").select(
         F.col("vec_id"), V.unit(F.col("embedding")).alias("vetor"))
     skus = X.products(spark, sf).join(vectors, F.col("sku_key") == F.col("vec_id")).drop("vec_id")
