@@ -79,8 +79,7 @@ def tfidf_vectors(items: DataFrame, skus: DataFrame, text: str = "n") -> DataFra
     """Unit TF-IDF vector of every distinct text of both sides.
 
     side 0 = items, 1 = products; the corpus for the document frequencies is all rows of both.
-    Columns: side, doc, n, copies, vec (term → weight), idf (term → idf), df (term → frequency),
-    sig (signature of the terms).
+    Columns: side, doc, n, copies, terms (array of term, w, idf, df) and sig, their signature.
     """
     texts = distinct_texts(items, text).withColumn("side", F.lit(0)).unionByName(
         distinct_texts(skus, text).withColumn("side", F.lit(1)))
@@ -94,22 +93,18 @@ def tfidf_vectors(items: DataFrame, skus: DataFrame, text: str = "n") -> DataFra
         F.sqrt(F.sum(raw * raw)).alias("norm"),
         F.collect_list(F.struct("term", raw.alias("w"), "idf", "df")).alias("terms"))
 
-    def as_map(value) -> Column:
-        return F.map_from_entries(F.transform("terms", lambda t: F.struct(t["term"], value(t))))
-
-    shaped = grouped.select(
-        "side", "doc", as_map(lambda t: t["w"] / F.col("norm")).alias("vec"),
-        as_map(lambda t: t["idf"]).alias("idf"), as_map(lambda t: t["df"]).alias("df"),
-        signature(F.transform("terms", lambda t: t["term"])).alias("sig"))
+    unit = F.transform("terms", lambda t: F.struct(
+        t["term"].alias("term"), (t["w"] / F.col("norm")).alias("w"), t["idf"].alias("idf"),
+        t["df"].alias("df")))
+    shaped = grouped.select("side", "doc", unit.alias("terms"),
+                            signature(F.transform("terms", lambda t: t["term"])).alias("sig"))
     return texts.join(shaped, ["side", "doc"], "left")
 
 
 def term_weights(vectors: DataFrame) -> DataFrame:
     """The vectors in long form: side, doc, sig, term, w, idf, df."""
-    return vectors.select(
-        "side", "doc", "sig", "idf", "df", F.explode("vec").alias("term", "w")).select(
-        "side", "doc", "sig", "term", "w", F.col("idf")[F.col("term")].alias("idf"),
-        F.col("df")[F.col("term")].alias("df"))
+    return vectors.select("side", "doc", "sig", F.explode("terms").alias("t")).select(
+        "side", "doc", "sig", "t.*")
 
 
 # ---------------------------------------------------------------- exact pruned join
@@ -314,6 +309,12 @@ def preselect(items: DataFrame, vectors: DataFrame, k: int = CANDIDATES,
     return related.unionByName(filled)
 
 
+def to_grid(score: Column) -> Column:
+    """Half-up to SCORE_DIGITS, spelled out so that every engine lands on the same side."""
+    scale = float(10 ** SCORE_DIGITS)
+    return F.floor(score * scale + 0.5).cast("double") / scale
+
+
 def effective_weights(present: Sequence[str], weights: dict[str, float] | None = None) -> dict[str, float]:
     """Weights of the signals at hand, rescaled to sum 1."""
     base = weights or WEIGHTS
@@ -326,11 +327,16 @@ def base_score(present: Sequence[str], weights: dict[str, float] | None = None)
     return sum((F.lit(eff[s]) * F.col(s) for s in present), F.lit(0.0))
 
 
+def idf_map(terms: Column) -> Column:
+    return F.map_from_entries(F.transform(terms, lambda t: F.struct(t["term"], t["idf"])))
+
+
 def text_features(vectors: DataFrame) -> DataFrame:
     """Per product text what the rules need, computed once per text and not per pair."""
     tokens = T.tokens(F.col("n"))
     words = T.significant_words(tokens)
-    weights = F.transform(words, lambda w: F.coalesce(F.try_element_at(F.col("idf"), w), F.lit(1.0)))
+    weights = F.transform(words, lambda w: F.coalesce(
+        F.try_element_at(idf_map(F.col("terms")), w), F.lit(1.0)))
     return vectors.filter("side = 1").select(
         F.col("doc").alias("sid"), F.col("n").alias("sn"), words.alias("words"),
         weights.alias("word_weights"), R.asked_numbers(F.col("n")).alias("asked"),
@@ -355,7 +361,7 @@ def features(pairs: DataFrame, vectors: DataFrame, present: Sequence[str] = ("tf
         R.head_word_ok(F.col("words"), F.col("item_tokens")).alias("head_ok"))
     mixed = R.apply_measures(0.8 * F.col("base") + 0.2 * F.col("cont"), F.col("hit"))
     score = mixed * F.col("ajuste") * F.when(F.col("head_ok"), 1.0).otherwise(0.85)
-    return known.withColumn("score", F.round(score, SCORE_DIGITS)).drop(
+    return known.withColumn("score", to_grid(score)).drop(
         "words", "word_weights", "item_tokens", "asked", "offered", "ranges",
         "sku_measures", "item_measures")
 
@@ -368,7 +374,7 @@ def features_v1(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     idf = F.col("sku_idf")
     weights = F.transform(words, lambda w: F.coalesce(F.try_element_at(idf, w), F.lit(1.0)))
     with_idf = joined.join(vectors.filter("side = 1").select(
-        F.col("doc").alias("sid"), F.col("idf").alias("sku_idf")), "sid")
+        F.col("doc").alias("sid"), idf_map(F.col("terms")).alias("sku_idf")), "sid")
     met = F.size(F.array_intersect("sku_measures", "item_measures"))
     hit = met / F.nullif(F.size("sku_measures"), F.lit(0))
     known = with_idf.select(
@@ -376,7 +382,7 @@ def features_v1(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
         R.head_word_ok(words, F.col("item_tokens")).alias("head_ok"))
     mixed = R.apply_measures(0.7 * F.col("cont") + 0.3 * F.col("tf"), F.col("hit"))
     score = mixed * F.when(F.col("head_ok"), 1.0).otherwise(0.7)
-    return known.withColumn("score", F.round(score, SCORE_DIGITS)).select(
+    return known.withColumn("score", to_grid(score)).select(
         "sid", "iid", *[c for c in pairs.columns if c not in ("sid", "iid")],
         "hit", "cont", "head_ok", "score")
 

@@ -54,7 +54,7 @@ def tfidf_cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = store(L.tfidf_vectors(docs, bench), "vectors")
     near = L.preselect(docs, vectors, 10)
     return near.join(bench.select("item_id", L.text_id(F.col("n")).alias("sid")), "sid").select(
-        "item_id", "item_key", F.round("tf", 6).alias("tf"), F.col("posto").cast("bigint").alias("posto"))
+        "item_id", "item_key", "tf", F.col("posto").cast("bigint").alias("posto"))
 
 
 def linkage_blocking(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,13 +64,13 @@ def linkage_blocking(spark: SparkSession, sf: str) -> DataFrame:
     names = vectors.select("side", "doc", "n")
     return near.join(names.filter("side = 0").select(F.col("doc").alias("iid"), F.col("n").alias("item_n")), "iid").join(
         names.filter("side = 1").select(F.col("doc").alias("sid"), F.col("n").alias("sku_n")), "sid").select(
-        "sku_n", "item_n", F.round("tf", 6).alias("tf"))
+        "sku_n", "item_n", "tf")
 
 
 def linkage_preselect(spark: SparkSession, sf: str) -> DataFrame:
     items, skus, vectors = _sides(spark, sf)
     return _by_sku(L.preselect(items, vectors), skus).select(
-        "sku_key", "item_key", F.round("tf", 6).alias("tf"),
+        "sku_key", "item_key", "tf",
         F.col("posto").cast("bigint").alias("posto"))
 
 
@@ -81,13 +81,13 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
 
 def linkage_features(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf).select(
-        "sku_key", "item_key", *[F.round(c, 4).alias(c) for c in ("tf", "cont", "hit", "ajuste")],
+        "sku_key", "item_key", "tf", F.round("cont", 9).alias("cont"), F.round("hit", 6).alias("hit"), F.round("ajuste", 12).alias("ajuste"),
         "head_ok")
 
 
 def linkage_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf).select(
-        "sku_key", "item_key", F.round("base", 6).alias("base"), F.round("score", 6).alias("score"))
+        "sku_key", "item_key", F.round("base", 9).alias("base"), "score")
 
 
 def _linked(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,14 +96,13 @@ def _linked(spark: SparkSession, sf: str) -> DataFrame:
 
 def linkage_topk(spark: SparkSession, sf: str) -> DataFrame:
     out = _linked(spark, sf)
-    rounded = [F.round(c, 6).alias(c) for c in ("score", "folga", "medidas_batem", "alt2_score", "alt3_score")]
+    rounded = ["score", "folga", F.round("medidas_batem", 6).alias("medidas_batem"), "alt2_score", "alt3_score"]
     return out.select("sku_key", "produto", "nivel", "item_codigo", "item_descricao", "item_unidade",
                       "preco", "alt2_codigo", "alt3_codigo", *rounded)
 
 
 def linkage_margin(spark: SparkSession, sf: str) -> DataFrame:
-    return _linked(spark, sf).select("sku_key", F.round("score", 6).alias("score"),
-                                     F.round("folga", 6).alias("folga"))
+    return _linked(spark, sf).select("sku_key", "score", "folga")
 
 
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +112,7 @@ def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
 def linkage_v1(spark: SparkSession, sf: str) -> DataFrame:
     """First version: 60 candidates, containment first, harder tiers."""
     out = plan.link_v1(X.raw_items(spark, sf), X.raw_products(spark, sf))
-    return out.select("sku_key", "nivel", "item_codigo", F.round("score", 6).alias("score"),
+    return out.select("sku_key", "nivel", "item_codigo", "score",
                       F.round("medidas_batem", 6).alias("medidas_batem"))
 
 
@@ -219,6 +218,15 @@ def cont_sql(words: str, tokens: str) -> str:
             f" / nullif({weigh.format(words)}, 0), 0)")
 
 
+def measures_sql(x: str) -> str:
+    scaled = f"{x} * (0.5::DOUBLE + 0.5::DOUBLE * hit)"
+    return f"(CASE WHEN hit IS NULL THEN {x} WHEN hit = 0 THEN {scaled} * 0.6::DOUBLE ELSE {scaled} END)"
+
+
+def grid_sql(x: str) -> str:
+    return f"floor(({x}) * 1e9::DOUBLE + 0.5::DOUBLE) / 1e9::DOUBLE"
+
+
 LINK_SQL = f"{X.PRODUCT_SQL}, {tfidf_stages('item', 'sku')}"
 IDF_MAP = "(SELECT map_from_entries(list((term, idf))) AS im FROM fre WHERE regexp_full_match(term, '[A-Z]{3,}'))"
 FEAT_SQL = f"""{LINK_SQL}, {preselect_sql(40)},
@@ -228,8 +236,7 @@ sig AS (SELECT pre.*, {cont_sql('words', 'toks')} AS cont, {X.hit_sql('asked', '
   {X.adjustment_sql('sn', 'cn')} AS ajuste,
   words[1] IS NULL OR list_contains(toks[1:3], words[1]) AS head_ok
   FROM pre JOIN sf USING (sn) JOIN cf USING (cn), {IDF_MAP}),
-feat AS (SELECT *, round((0.8 * tf + 0.2 * cont) * CASE WHEN hit IS NULL THEN 1 WHEN hit = 0 THEN 0.5 * 0.6
-  ELSE 0.5 + 0.5 * hit END * ajuste * CASE WHEN head_ok THEN 1 ELSE 0.85 END, 9) AS score FROM sig),
+feat AS (SELECT *, {grid_sql(f"{measures_sql('(0.8::DOUBLE * tf + 0.2::DOUBLE * cont)')} * ajuste * CASE WHEN head_ok THEN 1::DOUBLE ELSE 0.85::DOUBLE END")} AS score FROM sig),
 rk AS (SELECT *, row_number() OVER (PARTITION BY sku_key ORDER BY score DESC, item_key DESC) AS r FROM feat),
 top AS (SELECT sku_key, max(score) FILTER (r = 1) AS s1, max(item_key) FILTER (r = 1) AS k1,
   max(hit) FILTER (r = 1) AS h1, max(score) FILTER (r = 2) AS s2, max(item_key) FILTER (r = 2) AS k2,
@@ -263,8 +270,7 @@ cf AS (SELECT DISTINCT cn, {X.tokens_sql('cn')} AS toks,
 sig AS (SELECT pre.*, {cont_sql('words', 'toks')} AS cont, {X.hit_sql('asked', 'offered')} AS hit,
   words[1] IS NULL OR list_contains(toks[1:3], words[1]) AS head_ok
   FROM pre JOIN sf USING (sn) JOIN cf USING (cn), {IDF_MAP}),
-feat AS (SELECT *, round((0.7 * cont + 0.3 * tf) * CASE WHEN hit IS NULL THEN 1 WHEN hit = 0 THEN 0.5 * 0.6
-  ELSE 0.5 + 0.5 * hit END * CASE WHEN head_ok THEN 1 ELSE 0.7 END, 9) AS score FROM sig),
+feat AS (SELECT *, {grid_sql(f"{measures_sql('(0.7::DOUBLE * cont + 0.3::DOUBLE * tf)')} * CASE WHEN head_ok THEN 1::DOUBLE ELSE 0.7::DOUBLE END")} AS score FROM sig),
 res AS (SELECT *, CASE WHEN score >= CASE WHEN hit IS NULL THEN 0.75 ELSE 0.6 END AND (hit IS NULL OR hit >= 0.99)
   THEN 'alta' WHEN score >= 0.55 THEN 'media' WHEN score >= 0.4 THEN 'baixa' ELSE 'sem_par' END AS nivel
   FROM feat QUALIFY row_number() OVER (PARTITION BY sku_key ORDER BY score DESC, item_key DESC) = 1)"""
@@ -278,30 +284,30 @@ SELECT side, term, count(*) AS n, round(max(idf), 6) AS idf, round(max(w), 6) AS
 r AS (SELECT b.item_id, d.doc_id AS item_key, coalesce(tf, 0) AS tf, row_number() OVER (
   PARTITION BY b.item_id ORDER BY coalesce(tf, 0) DESC, d.doc_id DESC) AS posto
   FROM bn b CROSS JOIN dn d LEFT JOIN dot ON dot.sn = b.n AND dot.cn = d.n QUALIFY posto <= 10)
-SELECT item_id, item_key, round(tf, 6) AS tf, posto FROM r""",
+SELECT item_id, item_key, tf, posto FROM r""",
     "linkage_blocking": f"""WITH {LINK_SQL}, {DOT_SQL}
-SELECT sn AS sku_n, cn AS item_n, round(tf, 6) AS tf FROM dot WHERE tf >= 0.5""",
+SELECT sn AS sku_n, cn AS item_n, tf FROM dot WHERE tf >= 0.5""",
     "linkage_preselect": f"""WITH {LINK_SQL}, {preselect_sql(40)}
-SELECT sku_key, item_key, round(tf, 6) AS tf, posto FROM pre""",
+SELECT sku_key, item_key, tf, posto FROM pre""",
     "linkage_features": f"""WITH {FEAT_SQL}
-SELECT sku_key, item_key, round(tf, 4) AS tf, round(cont, 4) AS cont, round(hit, 4) AS hit,
-       round(ajuste, 4) AS ajuste, head_ok FROM feat""",
+SELECT sku_key, item_key, tf, round(cont, 9) AS cont, round(hit, 6) AS hit,
+       round(ajuste, 12) AS ajuste, head_ok FROM feat""",
     "linkage_scores": f"""WITH {FEAT_SQL}
-SELECT sku_key, item_key, round(tf, 6) AS base, round(score, 6) AS score FROM feat""",
+SELECT sku_key, item_key, tf AS base, score FROM feat""",
     "linkage_topk": f"""WITH {FEAT_SQL}
 SELECT res.sku_key, produto, nivel, CASE WHEN nivel <> 'sem_par' THEN k1 END AS item_codigo,
   CASE WHEN nivel <> 'sem_par' THEN descricao END AS item_descricao,
   CASE WHEN nivel <> 'sem_par' THEN unidade END AS item_unidade,
   CASE WHEN nivel <> 'sem_par' THEN preco END AS preco, k2 AS alt2_codigo, k3 AS alt3_codigo,
-  round(s1, 6) AS score, round(folga, 6) AS folga, round(h1, 6) AS medidas_batem,
-  round(s2, 6) AS alt2_score, round(s3, 6) AS alt3_score
+  s1 AS score, folga, round(h1, 6) AS medidas_batem,
+  s2 AS alt2_score, s3 AS alt3_score
 FROM res JOIN raw_sku USING (sku_key) JOIN raw_item ON k1 = item_key""",
     "linkage_margin": f"""WITH {FEAT_SQL}
-SELECT sku_key, round(s1, 6) AS score, round(folga, 6) AS folga FROM res""",
+SELECT sku_key, s1 AS score, folga FROM res""",
     "tier_distribution": f"WITH {FEAT_SQL} SELECT nivel, count(*) AS quantidade FROM res GROUP BY nivel",
     "linkage_v1": f"""WITH {V1_RAW}
 SELECT sku_key, nivel, CASE WHEN nivel <> 'sem_par' THEN item_key END AS item_codigo,
-  round(score, 6) AS score, round(hit, 6) AS medidas_batem FROM res""",
+  score, round(hit, 6) AS medidas_batem FROM res""",
     "weighted_containment": f"""WITH {PAIRS_SQL}, {tfidf_stages('item', 'sku')},
 sf AS (SELECT *, {X.words_sql(X.tokens_sql('sn'))} AS words, {X.tokens_sql('cn')} AS toks FROM texts)
 SELECT sku_key, item_key, round({cont_sql('words', 'toks')}, 6) AS cont FROM sf, {IDF_MAP}""",

@@ -81,7 +81,7 @@ def measure_hit(spark: SparkSession, sf: str) -> DataFrame:
 def type_rules(spark: SparkSession, sf: str) -> DataFrame:
     s, c = F.col("sn"), F.col("cn")
     return rule_pairs(spark, sf).select(
-        "sku_key", "item_key", F.round(R.type_adjustment(s, c), 6).alias("ajuste"))
+        "sku_key", "item_key", F.round(R.type_adjustment(s, c), 12).alias("ajuste"))
 
 
 def head_word_rule(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +156,7 @@ SELECT sku_key, {X.poles_sql('n')} AS polos, {X.gangs_sql('n')} AS postos, {X.si
   {X.numbers_sql('cn')} AS o FROM texts)
 SELECT sku_key, item_key, round({X.hit_sql('a', 'o')}, 6) AS hit FROM h""",
     "type_rules": f"""WITH {PAIRS_SQL} SELECT sku_key, item_key,
-  round({X.adjustment_sql('sn', 'cn')}, 6) AS ajuste FROM texts""",
+  round({X.adjustment_sql('sn', 'cn')}, 12) AS ajuste FROM texts""",
     "head_word_rule": f"""WITH {PAIRS_SQL}, h AS (SELECT sku_key, item_key,
   {X.words_sql(X.tokens_sql('sn'))}[1] AS head, {X.tokens_sql('cn')}[1:3] AS lead FROM texts)
 SELECT sku_key, item_key, head IS NULL OR list_contains(lead, head) AS head_ok FROM h""",
