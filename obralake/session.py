@@ -6,11 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "obralake", **conf: str) -> SparkSession:
-    """Session with the settings the library expects; `conf` keys use `_` for `.`-free names."""
+    """Session with the settings the library expects; `conf` adds or overrides settings."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

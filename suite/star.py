@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obralake.functions import parsing as P
 from obralake.operators import picks
 from obralake.operators import quality as Q
 from obralake.operators import removal

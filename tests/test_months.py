@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from obralake.operators import removal
 from obralake.operators import star
