@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import string
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,67 @@ def shard_documents(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"), 40)
 
 
+def link_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    from .jaccard import link_documents
+    return link_documents(table(spark, sf, "documents"), 90, 3)
+
+
+def _remainder(of: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+def score_toxic(spark: SparkSession, sf: str) -> DataFrame:
+    from .toxicity import score_toxicity
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", (_remainder(5) == 0).alias("held_out"))
+    labels = table(spark, sf, "labels").filter(_remainder(5) != 0).select("doc_id", "toxic")
+    return score_toxicity(docs, labels, keep=["held_out"])
+
+
+def predict_language(spark: SparkSession, sf: str) -> DataFrame:
+    from .langid import identify
+    docs = table(spark, sf, "documents").withColumn("held_out", _remainder(4) == 2)
+    return identify(docs, docs.filter(~F.col("held_out")), keep=["held_out"])
+
+
+def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    from .decontamination import contamination
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def _words_sql(column: str) -> str:
+    lower = f"translate(coalesce({column}, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return (rf"list_filter(regexp_split_to_array({lower}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), "
+            "lambda x: x <> '')")
+
+
+DECONTAMINATE_SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql("text")} AS w FROM documents),
+i AS (SELECT item_id, {_words_sql("text")} AS w FROM benchmark),
+v AS (SELECT DISTINCT item_id, least(len(w), 10) AS l, array_to_string(w[s + 1:s + least(len(w), 10)], ' ') AS g
+      FROM (SELECT *, unnest(range(len(w) - least(len(w), 10) + 1)) AS s FROM i WHERE len(w) > 0)),
+p AS (SELECT doc_id, l, p, array_to_string(w[p + 1:p + l], ' ') AS g
+      FROM (SELECT d.*, l, unnest(range(greatest(len(w) - l + 1, 0))) AS p
+            FROM d, (SELECT DISTINCT l FROM v))),
+h AS (SELECT doc_id, item_id, p, l FROM p JOIN v USING (l, g)),
+n AS (SELECT doc_id, count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(range(p, p + l)) AS x FROM h) GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, n.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
 QUERIES = {
+    "op2_jaccard": link_near_copies,
+    "op3_toxicity": score_toxic,
+    "op5_language": predict_language,
     "op8_pack": pack_documents,
     "op9_shard": shard_documents,
+    "op10_decontaminate": decontaminate,
+}
+ORACLES = {
+    "op10_decontaminate": DECONTAMINATE_SQL,
 }
-ORACLES: dict[str, str] = {}
