@@ -24,8 +24,9 @@ ALPHABET = 28
 SIGN_COST, GAP_COST, REPEAT_COST = 0.5, 0.7, 0.2
 #: Longest disguised word that is decoded; what is longer is an address or a key.
 LONGEST = 32
-#: Lengths of the n-grams that score, and the number of them that is kept.
-LENGTHS, FEATURES = (4, 5, 6), 1 << 14
+#: Lengths of the n-grams that score, the most that are kept, and the least z-score of the difference
+#: between the labels' shares: beyond chance for some million n-grams.
+LENGTHS, FEATURES, LEAST_Z = (4, 5, 6), 1 << 14, 5.5
 
 
 def _model_letters(text: str | None) -> np.ndarray:
@@ -193,8 +194,8 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str, te
     """N-grams with their weights, and the constant, from about `sample` labelled rows.
 
     Half of the sample is taken from either label, chosen by a hash of the id; the constant is then
-    moved to the labels' true ratio. Of the sample's n-grams those that best tell the labels apart
-    are kept (at most FEATURES).
+    moved to the labels' true ratio. Of the sample's n-grams those that tell the labels apart beyond
+    chance are kept (at most FEATURES, the best first).
     """
     none = np.zeros(0, np.uint64), np.zeros(0), 0.0
     marked = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(
@@ -220,10 +221,11 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str, te
     totals = [r["count"] for r in rows.groupBy("_y").count().orderBy("_y").collect()]
     if len(totals) < 2:
         return none
-    gap = F.col("one") / totals[1] - F.col("zero") / totals[0]
-    best = counts.filter(F.col("one") + F.col("zero") > 2).withColumn(
-        "gap", F.abs(gap) / F.sqrt((F.col("one") + F.col("zero") + 1) / float(sum(totals)))).orderBy(
-        F.desc("gap"), "gram").limit(FEATURES)
+    share_of = (F.col("one") + F.col("zero") + 1) / float(sum(totals) + 2)
+    z = F.abs(F.col("one") / totals[1] - F.col("zero") / totals[0]) / F.sqrt(
+        share_of * (1 - share_of) * (1 / totals[0] + 1 / totals[1]))
+    best = counts.filter(F.col("one") + F.col("zero") > 2).withColumn("z", z).filter(
+        F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "gram").limit(FEATURES)
     grams = np.array([r.gram for r in best.select("gram").collect()], np.int64).view(np.uint64)
     scorer = _Scorer(grams)
 
@@ -239,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, id_col: str, te
         at = np.r_[np.frombuffer(r["at"], np.int32).astype(np.int64), len(grams)]
         x.append((at, np.ones(len(at))))
     y = np.array([r.y for r in got], int)
-    w = ftrl.fit(x, y, 2, len(grams) + 1, l1=1.0, l2=0.05, alpha=0.1, epochs=6)
+    w = ftrl.fit(x, y, 2, len(grams) + 1, l1=0.5, l2=0.01, alpha=0.3, epochs=8)
     w = w[1] - w[0]
     shift = math.log(sizes[1] / sizes[0] * totals[0] / totals[1])
     kept = np.flatnonzero(w[:-1])
