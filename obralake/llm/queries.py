@@ -52,6 +52,15 @@ def predict_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, docs.filter(~F.col("held_out")), keep=["held_out"])
 
 
+#: Key of the pseudonyms; a real run sets its own.
+PSEUDONYM_KEY = os.environ.get("PSEUDONYM_KEY", "public key of the tests")
+
+
+def pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    from .pseudonyms import replace_personal_data
+    return replace_personal_data(table(spark, sf, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
 def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     from .decontamination import contamination
     found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -86,6 +95,7 @@ QUERIES = {
     "op2_jaccard": link_near_copies,
     "op3_toxicity": score_toxic,
     "op5_language": predict_language,
+    "op7_pseudonyms": pseudonyms,
     "op8_pack": pack_documents,
     "op9_shard": shard_documents,
     "op10_decontaminate": decontaminate,
