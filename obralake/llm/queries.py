@@ -52,6 +52,25 @@ def predict_language(spark: SparkSession, sf: str) -> DataFrame:
     return identify(docs, docs.filter(~F.col("held_out")), keep=["held_out"])
 
 
+def search_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from .mtree import top_inner_products
+    rows = table(spark, sf, "embeddings")
+    return top_inner_products(rows, rows.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+SEARCH_SQL = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id,
+             CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * e.v[i])) AS BIGINT) AS score
+      FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5"""
+
+
 #: Key of the pseudonyms; a real run sets its own.
 PSEUDONYM_KEY = os.environ.get("PSEUDONYM_KEY", "public key of the tests")
 
@@ -94,6 +113,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 QUERIES = {
     "op2_jaccard": link_near_copies,
     "op3_toxicity": score_toxic,
+    "op4_mtree": search_vectors,
     "op5_language": predict_language,
     "op7_pseudonyms": pseudonyms,
     "op8_pack": pack_documents,
@@ -101,5 +121,6 @@ QUERIES = {
     "op10_decontaminate": decontaminate,
 }
 ORACLES = {
+    "op4_mtree": SEARCH_SQL,
     "op10_decontaminate": DECONTAMINATE_SQL,
 }
