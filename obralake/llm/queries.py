@@ -29,6 +29,55 @@ def shard_documents(spark: SparkSession, sf: str) -> DataFrame:
     return shard(table(spark, sf, "documents"), 40)
 
 
+def preferences(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations 2n (chosen) and 2n + 1 (rejected) are a pair."""
+    from .preferences import format_preferences
+    turns = table(spark, sf, "conversations").select(
+        F.shiftright("conv_id", 1).alias("pair_id"), (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"),
+        "turn", "role", "text")
+    spans = lambda c: F.array_join(F.transform(
+        c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(c)
+    return format_preferences(turns).select(
+        "pair_id", "n_prompt", "prompt", "chosen", "rejected", spans("chosen_spans"),
+        spans("rejected_spans"))
+
+
+PREFERENCES_SQL = """
+WITH t AS (SELECT conv_id >> 1 AS p, conv_id % 2 AS side, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                     coalesce(text, '')) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT p, CAST(coalesce(min(i) FILTER (WHERE NOT same) - 1, count(*)) AS INT) AS n
+      FROM (SELECT p, i, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same
+            FROM t GROUP BY p, i) GROUP BY p),
+r AS (SELECT t.*, n, i <= n AS shared, '<|' || role || '|>' || chr(10) AS head,
+             head || text || '<|end|>' || chr(10) AS body FROM t JOIN n USING (p)),
+s AS (SELECT *, CAST(coalesce(sum(length(body)) OVER (PARTITION BY p, side, shared ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun FROM r),
+m AS (SELECT *, (begun + length(head)) || ':' || (begun + length(body)) AS span FROM s)
+SELECT p AS pair_id, any_value(n) AS n_prompt,
+  coalesce(string_agg(body, '' ORDER BY i) FILTER (WHERE side = 0 AND shared), '') AS prompt,
+  coalesce(string_agg(body, '' ORDER BY i) FILTER (WHERE side = 0 AND NOT shared), '') AS chosen,
+  coalesce(string_agg(body, '' ORDER BY i) FILTER (WHERE side = 1 AND NOT shared), '') AS rejected,
+  coalesce(string_agg(span, ',' ORDER BY i) FILTER (WHERE side = 0 AND NOT shared AND role = 'assistant'), '')
+    AS chosen_spans,
+  coalesce(string_agg(span, ',' ORDER BY i) FILTER (WHERE side = 1 AND NOT shared AND role = 'assistant'), '')
+    AS rejected_spans
+FROM m GROUP BY p"""
+
+
+def scan_for_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """A source is an owner; its documents of one language are a repository."""
+    from .secret_scan import KINDS, scan_secrets, spans_text
+    found = scan_secrets(table(spark, sf, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+    number = lambda kind: F.size(F.filter(
+        "secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select("doc_id", number(0), number(1), number(2),
+                        F.sha2(spans_text(base), 256).alias("base_sha256"),
+                        spans_text(F.col("secrets")).alias("spans"))
+
+
 def link_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     from .jaccard import link_documents
     return link_documents(table(spark, sf, "documents"), 90, 3)
@@ -111,16 +160,19 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
 
 QUERIES = {
+    "op1_preferences": preferences,
     "op2_jaccard": link_near_copies,
     "op3_toxicity": score_toxic,
     "op4_mtree": search_vectors,
     "op5_language": predict_language,
+    "op6_secrets": scan_for_secrets,
     "op7_pseudonyms": pseudonyms,
     "op8_pack": pack_documents,
     "op9_shard": shard_documents,
     "op10_decontaminate": decontaminate,
 }
 ORACLES = {
+    "op1_preferences": PREFERENCES_SQL,
     "op4_mtree": SEARCH_SQL,
     "op10_decontaminate": DECONTAMINATE_SQL,
 }
