@@ -307,3 +307,21 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"))
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """The documents, all columns, with the smallest id of their class; of repeated rows one.
+
+    Documents without words are no copies and stay; so do rows without an id.
+    """
+    found = store(link_documents(docs, percent, shingle, id_col, text_col), "copies")
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
+    kept = docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    again = found.filter((F.col(id_col) == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy(
+        F.col(id_col).alias("_again")).count().filter("count > 1").select("_again")
+    if not again.head(1):
+        return kept
+    repeated = kept.join(again, kept[id_col] == F.col("_again"), "left_semi").dropDuplicates(
+        [id_col, text_col])
+    return kept.join(again, kept[id_col] == F.col("_again"), "left_anti").unionByName(repeated)

@@ -19,8 +19,12 @@ TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 def pack_documents(spark: SparkSession, sf: str) -> DataFrame:
     from .packing import pack
-    pieces = pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
-    return pieces.select("doc_id", "start", "length", F.crc32("input_ids").alias("ids_crc32"),
+    return pieces(pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
+
+
+def pieces(packed: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum in place of their ids."""
+    return packed.select("doc_id", "start", "length", F.crc32("input_ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
 
