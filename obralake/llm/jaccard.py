@@ -255,7 +255,8 @@ def _linked(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
             F.col("band").cast("long") * 1_000_000_000 + F.pmod(F.xxhash64("node"), F.col("salts"))))
     spread = placed.select("group", "chunk", "node", "n", "copies", "shared").join(
         parts, ["group", "chunk"])
-    return spread.groupBy("group", "a", "b").applyInPandas(
+    # Else a join by group would have brought all units of a group into one task.
+    return spread.repartition("group", "a", "b").groupBy("group", "a", "b").applyInPandas(
         _compare(percent), "node binary, root binary, links long")
 
 
