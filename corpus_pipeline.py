@@ -10,22 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from obralake.llm import queries
 from obralake.llm.decontamination import without_leaks
 from obralake.llm.jaccard import keep_one_of_each
 from obralake.llm.packing import pack
 from obralake.llm.pseudonyms import replace_personal_data
-from obralake.llm.toxicity import score_toxicity
+from obralake.llm.toxicity import without_toxic
 from obralake.session import store
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of the labelled ones does not call toxic."""
-    labels = queries.table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    scored = score_toxicity(docs, labels, keep=[c for c in docs.columns if c != "doc_id"])
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    return without_toxic(docs, queries.table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import ftrl
 from .characters import letters, ngrams
+from .tasks import add_columns
 
 #: Hashed n-grams of 1 to 3 characters; one more feature is constant.
 DIMS = 1 << 15
@@ -111,22 +112,19 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
     model = train(learn, text_col, label_col, sample)
     labels, idf, weights, t = model["labels"], model["idf"], model["weights"], model["t"]
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            names, best = [], []
-            for text in pdf[text_col]:
-                at, tf = _counts(text)
-                if not len(at) or not labels:
-                    names.append(UNKNOWN)
-                    best.append(0.0)
-                    continue
-                at, x = _weigh(at, tf, idf)
-                p = ftrl.softmax(weights[:, at] @ x / t)
-                names.append(labels[int(p.argmax())])
-                best.append(float(p.max()))
-            yield pdf.drop(columns=text_col).assign(lang_pred=names, score=best)
-
-    columns = [id_col, *(keep or [])]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*columns, text_col).mapInPandas(
-        predict, f"{schema}, lang_pred string, score double")
+    def predict(texts: list[str | None]) -> list[list]:
+        names, best = [], []
+        for text in texts:
+            at, tf = _counts(text)
+            if not len(at) or not labels:
+                names.append(UNKNOWN)
+                best.append(0.0)
+                continue
+            at, x = _weigh(at, tf, idf)
+            p = ftrl.softmax(weights[:, at] @ x / t)
+            names.append(labels[int(p.argmax())])
+            best.append(float(p.max()))
+        return [names, best]
+
+    return add_columns(docs, text_col, {"lang_pred": "string", "score": "double"}, predict,
+                       [id_col, *(keep or [])])

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime
 import hmac
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tasks import add_columns
+
 ROUNDS = 8
 # Forms of the data that is replaced, tried in this order at each place.
 EMAIL = r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
@@ -27,6 +27,7 @@ FORMS = {kind: re.compile(form, re.ASCII) for kind, form in {
     "national": NATIONAL, "card": CARD}.items()}
 FOUND = re.compile("|".join(f.pattern for f in FORMS.values()), re.ASCII)
 SIGN = re.compile(r"[0-9@]")
+FOUND_TYPE = "array<struct<kind:string,start:int,end:int>>"
 #: So far a form may reach beyond the word that it begins in.
 REACH = 64
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
@@ -229,25 +230,15 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text",
     results; an empty table gives no rows; other columns pass through as they are.
     """
     secret = key.encode()
-    at = docs.columns.index(text_col)
-    names = [f"c{i}" for i in range(len(docs.columns))]  # names may clash with ours
-    found_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = [], []
-            for text in batch.column(at):
-                text = text.as_py()
-                new, places = pseudonymise(text, secret) if text else (text, [])
-                texts.append(new)
-                found.append([{"kind": k, "start": a, "end": b} for k, a, b in places])
-            columns = batch.columns
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, found_type)],
-                                             names=[*names, "found"])
-
-    fields = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema.fields))
-    done = docs.toDF(*names).mapInArrow(
-        run, f"{fields}, found array<struct<kind:string,start:int,end:int>>")
-    kept = [F.col(n).alias(c) for c, n in zip(docs.columns, names) if c != found_col]
-    return done.select(*kept, *([F.col("found").alias(found_col)] if found_col else []))
+
+    def run(texts: list[str | None]) -> list[list]:
+        done = [pseudonymise(t, secret) if t else (t, []) for t in texts]
+        return [[new for new, _ in done],
+                [[{"kind": k, "start": a, "end": b} for k, a, b in found] for _, found in done]]
+
+    done = add_columns(docs, text_col, {"text": "string", "found": FOUND_TYPE}, run, docs.columns)
+    n = len(docs.columns)
+    done = done.toDF(*[f"c{i}" for i in range(n + 2)])  # names may clash
+    kept = [F.col(f"c{n}" if c == text_col else f"c{i}").alias(c)
+            for i, c in enumerate(docs.columns) if c != found_col]
+    return done.select(*kept, *([F.col(f"c{n + 1}").alias(found_col)] if found_col else []))

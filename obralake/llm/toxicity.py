@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import ftrl
 from .characters import SPACE, code_points, letters, ngrams
-from .tasks import once
+from .tasks import add_columns, once
 
 # Signs that stand for letters, and signs put between letters.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b",
@@ -266,17 +266,23 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                                      label_col, sample)
     scorer = _Scorer(grams, weights)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            scores = []
-            for text in pdf[text_col]:
-                at = scorer.present(restore(text, model))
-                s = constant + scorer.weights[at].sum()
-                scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, s)))) if len(grams) else 0.0)
-            out = pdf if text_col in columns else pdf.drop(columns=text_col)
-            yield out.assign(score=scores, predicted=[int(s >= 0.5) for s in scores])
-
-    columns = [id_col, *(keep or [])]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*dict.fromkeys([*columns, text_col])).mapInPandas(
-        predict, f"{schema}, score double, predicted int")
+    def predict(texts: list[str | None]) -> list[list]:
+        scores = []
+        for text in texts:
+            s = constant + scorer.weights[scorer.present(restore(text, model))].sum()
+            scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, s)))) if len(grams) else 0.0)
+        return [scores, [int(s >= 0.5) for s in scores]]
+
+    return add_columns(docs, text_col, {"score": "double", "predicted": "int"}, predict,
+                       [id_col, *(keep or [])])
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  label_col: str = "toxic", sample: int = 6000) -> DataFrame:
+    """The documents, all columns, that the model does not call toxic."""
+    names = [f"c{i}" for i in range(len(docs.columns))]  # theirs may be those of the result
+    name = dict(zip(docs.columns, names))
+    scored = score_toxicity(
+        docs.toDF(*names), labels.withColumnRenamed(id_col, name[id_col]), name[id_col], name[text_col],
+        label_col, sample, keep=[n for n in names if n != name[id_col]])
+    return scored.filter(F.col("predicted") == 0).select(*names).toDF(*docs.columns)
