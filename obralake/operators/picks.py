@@ -43,12 +43,16 @@ def existing_keys(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           order: Sequence[str] | None = None) -> DataFrame:
-    """Stored rows whose key does not arrive, plus the incoming rows (last one per key)."""
-    if order:
-        incoming = last_wins(incoming, keys, order)
+           order: Sequence[str]) -> DataFrame:
+    """Stored rows whose key does not arrive, plus the incoming rows, the last in `order` per key.
+
+    Rows that are equal in `order` are told apart by all their columns, so the result does not depend
+    on how rows are dealt.
+    """
     cols = stored.columns
-    return new_keys(stored, incoming, keys).select(*cols).unionByName(incoming.select(*cols))
+    last = last_wins(incoming, keys, [*order, *[c for c in incoming.columns
+                                               if c not in keys and c not in order]])
+    return new_keys(stored, incoming, keys).select(*cols).unionByName(last.select(*cols))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

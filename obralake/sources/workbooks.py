@@ -7,8 +7,10 @@ or monthly archives that contain them. Each file is unpacked in memory by one ta
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
@@ -23,6 +25,7 @@ MISSING = frozenset((
 MAIN_WORKBOOK = r"(Referência|Referencia)"
 
 CELLS = "path string, file string, sheet string, row bigint, col int, value string"
+PARSED = f"{CELLS}, problem string"
 SHEETS = "path string, file string, sheet string"
 BATCH = 20_000
 
@@ -32,18 +35,24 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 def read_files(spark: SparkSession, path: str, pattern: str = "*.{zip,xlsx}") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option(
-        "recursiveFileLookup", True).load(path).select("path", "content")
+        "recursiveFileLookup", True).load(path)
 
 
-def _workbooks(path: str, content: bytes) -> Iterator[tuple[str, zipfile.ZipFile]]:
-    """(file name, opened workbook) of a file; an archive is searched member by member."""
+def _workbooks(path: str, content: bytes, main_only: bool = False) -> Iterator[tuple[str, zipfile.ZipFile]]:
+    """(file name, opened workbook) of a file, or of the members of an archive.
+
+    With `main_only` no more than the first main workbook, chosen by name before it is unpacked;
+    unpacking checks its checksum.
+    """
     outer = zipfile.ZipFile(io.BytesIO(content))
     if "[Content_Types].xml" in outer.namelist():
-        yield path.rsplit("/", 1)[-1], outer
-        return
-    for member in outer.namelist():
-        if member.lower().endswith(".xlsx"):
-            yield member.rsplit("/", 1)[-1], zipfile.ZipFile(io.BytesIO(outer.read(member)))
+        members = {path.rsplit("/", 1)[-1]: None}
+    else:
+        members = {m.rsplit("/", 1)[-1]: m for m in outer.namelist() if m.lower().endswith(".xlsx")}
+    if main_only:
+        members = dict(sorted((n, m) for n, m in members.items() if re.search(MAIN_WORKBOOK, n))[:1])
+    for name, member in members.items():
+        yield name, outer if member is None else zipfile.ZipFile(io.BytesIO(outer.read(member)))
 
 
 def _sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
@@ -72,13 +81,21 @@ def _shared_texts(book: zipfile.ZipFile) -> list[str]:
 
 def _position(reference: str) -> tuple[int, int]:
     """Zero-based row and column of a cell reference such as B12."""
-    letters, digits = re.match(r"([A-Z]+)(\d+)", reference).groups()
+    found = re.match(r"([A-Z]+)(\d+)", reference or "")
+    if not found:
+        raise ValueError(f"cell reference {reference!r}")
+    letters, digits = found.groups()
     column = 0
     for letter in letters:
         column = column * 26 + ord(letter) - 64
     return int(digits) - 1, column - 1
 
 
+#: What unpacking and parsing raise on broken input.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, OSError, EOFError, KeyError,
+              ValueError, IndexError, NotImplementedError, RuntimeError)
+
+
 def _sheet_cells(book: zipfile.ZipFile, part: str, texts: list[str]) -> Iterator[tuple[int, int, str]]:
     with book.open(part) as stream:
         for _, element in ElementTree.iterparse(stream):
@@ -96,29 +113,47 @@ def _sheet_cells(book: zipfile.ZipFile, part: str, texts: list[str]) -> Iterator
                 element.clear()
 
 
-def cells(files: DataFrame, sheets: Sequence[str] | None = None) -> DataFrame:
-    """One row per non-empty cell; only the named sheets are parsed."""
+def parse(files: DataFrame, sheets: Sequence[str] | None = None, main_only: bool = False) -> DataFrame:
+    """Cells and what went wrong, in one pass over the files.
+
+    A row with a `problem` is no cell: each file has one without sheet (empty text if it was read to
+    the end), and each sheet that could not be read has one; the others go on. Of cells, only those
+    of the named sheets are parsed, with `main_only` only in each file's main workbook.
+    """
     wanted = None if sheets is None else frozenset(sheets)
-    columns = ["path", "file", "sheet", "row", "col", "value"]
+    columns = ["path", "file", "sheet", "row", "col", "value", "problem"]
+
+    def lines(path: str, content: bytes) -> Iterator[tuple]:
+        name = None
+        try:
+            for name, book in _workbooks(path, content, main_only):
+                texts = _shared_texts(book)
+                for sheet, part in _sheet_parts(book):
+                    if wanted is not None and sheet not in wanted:
+                        continue
+                    try:
+                        for cell in _sheet_cells(book, part, texts):
+                            yield (path, name, sheet, *cell, None)
+                    except UNREADABLE as error:
+                        yield path, name, sheet, None, None, None, f"{type(error).__name__}: {error}"
+            problem = "" if name else "no main workbook" if main_only else "no workbook"
+        except UNREADABLE as error:
+            problem = f"{type(error).__name__}: {error}"
+        yield path, name, None, None, None, None, problem
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                rows = []
-                for name, book in _workbooks(path, content):
-                    texts = _shared_texts(book)
-                    for sheet, part in _sheet_parts(book):
-                        if wanted is not None and sheet not in wanted:
-                            continue
-                        for cell in _sheet_cells(book, part, texts):
-                            rows.append((path, name, sheet, *cell))
-                            if len(rows) >= BATCH:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
+                found = lines(path, content)
+                while rows := list(itertools.islice(found, BATCH)):
+                    yield pd.DataFrame(rows, columns=columns).astype({"row": "Int64", "col": "Int32"})
+
+    return files.select("path", "content").mapInPandas(unpack, PARSED)
+
 
-    return files.mapInPandas(unpack, CELLS)
+def cells(files: DataFrame, sheets: Sequence[str] | None = None, main_only: bool = False) -> DataFrame:
+    """One row per non-empty cell of what can be read."""
+    return parse(files, sheets, main_only).filter(F.col("problem").isNull()).drop("problem")
 
 
 def sheets(files: DataFrame) -> DataFrame:
@@ -133,13 +168,6 @@ def sheets(files: DataFrame) -> DataFrame:
     return files.mapInPandas(listing, SHEETS)
 
 
-def main_workbook(found: DataFrame, by: str = "path") -> DataFrame:
-    """Rows of the first main workbook of each archive."""
-    main = found.filter(F.col("file").rlike(MAIN_WORKBOOK) & F.lower("file").endswith(".xlsx"))
-    first = main.groupBy(by).agg(F.min("file").alias("file"))
-    return main.join(first, [by, "file"], "left_semi")
-
-
 def integrity(files: DataFrame) -> DataFrame:
     """path, valido: whether the archive opens and all members pass their checksum."""
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,30 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import upsert_table, write_table
 
 
 def load_arrivals(spark: SparkSession, source: str, schema: T.StructType, target: str,
-                  keys: Sequence[str], checkpoint: str, fmt: str = "parquet",
-                  order: Sequence[str] | None = None,
+                  keys: Sequence[str], checkpoint: str, order: Sequence[str] = (),
+                  fmt: str = "parquet",
                   shape: Callable[[DataFrame], DataFrame] | None = None,
                   files_per_batch: int | None = None) -> None:
     """Process the files that are new since the last call, then stop.
 
     The stream's checkpoint remembers which files are done. A batch is an upsert by key, so a
-    batch that is repeated after a failure changes nothing.
+    batch that is repeated after a failure changes nothing. Of several rows of a key in one batch the
+    last by file time counts, then by file name, then by `order`.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     arrivals = reader.load(source)
+    arrivals = arrivals.withColumns({
+        "_arrived": F.col("_metadata.file_modification_time"), "_name": F.col("_metadata.file_path")})
     if shape is not None:
         arrivals = shape(arrivals)
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        upsert_table(batch, target, keys, order)
+        upsert_table(batch, target, keys, ["_arrived", "_name", *order])
 
     query = (arrivals.writeStream.foreachBatch(merge)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -71,15 +71,17 @@ def write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders arrive by month in two calls; a later file of a known order replaces it."""
+    """Orders arrive in two calls, the first with two files that share orders; the later file of an
+    order replaces it, within a call and after it."""
     rows = _orders(spark, sf)
     source, target, marks = (scratch_path(spark, n) for n in ("arrivals", "stored", "marks"))
     schema = rows.schema
     start_table(spark, target, schema)
     old = F.col("referencia") < "1998-06"
     rows.filter(old).withColumn("o_totalprice", F.lit(0.0)).write.parquet(f"{source}/a")
+    rows.filter(F.col("o_orderkey") % 2 == 0).write.parquet(f"{source}/b")
     load_arrivals(spark, f"{source}/*", schema, target, ["referencia", "o_orderkey"], marks)
-    rows.write.parquet(f"{source}/b")
+    rows.filter(F.col("o_orderkey") % 2 == 1).write.parquet(f"{source}/c")
     load_arrivals(spark, f"{source}/*", schema, target, ["referencia", "o_orderkey"], marks)
     return spark.read.schema(schema).parquet(target)
 

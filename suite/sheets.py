@@ -232,7 +232,7 @@ def hierarchy_nest(spark: SparkSession, sf: str) -> DataFrame:
         ":", c["tipo"], c["codigo"].cast("string"), c["descricao"], c["unidade"],
         c["coeficiente"].cast("int").cast("string"), c["situacao"]))
     return tree.select("codigo", "categoria", "descricao", "unidade", "situacao", "referencia",
-                       "parte", F.array_join(shown, ";").alias("componentes"))
+                       F.array_join(shown, ";").alias("componentes"))
 
 
 WS = r"\s\x0B\x85\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -363,7 +363,7 @@ WITH c AS (SELECT l_orderkey, string_agg(
              CASE WHEN l_linestatus = 'O' THEN 'INSUMO' ELSE 'COMPOSICAO' END, l_partkey) AS componentes
   FROM lineitem GROUP BY l_orderkey)
 SELECT o_orderkey AS codigo, o_orderpriority AS categoria, o_orderstatus AS descricao,
-       'UN' AS unidade, '' AS situacao, 'unica' AS referencia, 0 AS parte,
+       'UN' AS unidade, '' AS situacao, 'unica' AS referencia,
        coalesce(componentes, '') AS componentes
 FROM orders LEFT JOIN c ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""",
 }

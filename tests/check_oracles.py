@@ -63,7 +63,7 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
 def main() -> None:
     sf_dir = f"/root/testdata/{sys.argv[1]}"
     wanted = sys.argv[2:] or list(entry.queries())
-    spark = build_session("local[8]", **{
+    spark = build_session("local[2]", **{
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,8 +1,10 @@
 """A month from archive to relational tables, repeats, removal and arrivals."""
 
 import os
+import zipfile
+from io import BytesIO as io_bytes
 
-
+from obralake.operators import picks
 from obralake.operators import removal
 from obralake.operators import star
 from obralake.plans import etl
@@ -41,7 +43,11 @@ def test_month_end_to_end(spark, tmp_path):
     assert valid == {"TABELA-2025-12-formato-xlsx.zip": True, "TABELA-2025-11-formato-xlsx.zip": False}
     target = scratch_path(spark, "target")
     for _ in range(2):
-        got = etl.run(spark, str(source), target, ("json", "csv", "parquet"))
+        got, archives, formats = etl.run(spark, str(source), target, ("json", "csv", "parquet"))
+    assert {os.path.basename(r["path"])[7:14]: r["outcome"][:4] for r in archives.collect()} == {
+        "2025-12": "used", "2025-11": "BadZ"}
+    assert all(o == "ok" for by in formats.values() for o in by.values())
+    assert spark.read.json(f"{target}/metadata").filter("referencia = '2025-12'").count() == 5
     read = lambda t: spark.read.parquet(f"{target}/relational/{t}")
     items = read("insumos").collect()
     assert [(r["codigo"], r["descricao"], r["unidade"]) for r in items] == [(7, "TIJOLO", "UN")]
@@ -62,11 +68,70 @@ def test_month_end_to_end(spark, tmp_path):
     assert not io.drop_reference(spark, f"{target}/relational/insumos", "2025-12")
 
 
+def test_archives_are_not_mixed(spark, tmp_path):
+    """Two archives of a month, one without a month, one with a broken sheet; parsed in one pass."""
+    old = archive(tmp_path, "2025-12", "9")
+    old.rename(tmp_path / "TABELA-2025-12-antes.zip")
+    os.utime(tmp_path / "TABELA-2025-12-antes.zip", (1, 1))
+    archive(tmp_path, "2025-12", "1.5")
+    os.utime(tmp_path / "TABELA-2025-12-formato-xlsx.zip", (2, 2))
+    archive(tmp_path, "2025-11", "3").rename(tmp_path / "TABELA-sem-mes.zip")
+    broken = pack_workbook({"ISD": grid(ISD), "CSD": grid(CSD)})
+    book = zipfile.ZipFile(io_bytes(broken))
+    parts = {n: book.read(n) for n in book.namelist()} | {"xl/worksheets/sheet1.xml": b"<worksheet><c r="}
+    out = io_bytes()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, part in parts.items():
+            z.writestr(name, part)
+    (tmp_path / "TABELA-2025-10.zip").write_bytes(pack_archive({"Referência.xlsx": out.getvalue()}))
+    cells, report = etl.read_cells(spark, str(tmp_path))
+    seen = {(os.path.basename(r["path"]), r["sheet"]): r["outcome"].split(":")[0] for r in report.collect()}
+    assert seen == {("TABELA-2025-12-antes.zip", None): "superseded", ("TABELA-2025-12-formato-xlsx.zip", None): "used",
+                    ("TABELA-sem-mes.zip", None): "no month", ("TABELA-2025-10.zip", None): "used",
+                    ("TABELA-2025-10.zip", "ISD"): "ParseError"}
+    assert {r[0] for r in cells.select("referencia").distinct().collect()} == {"2025-12", "2025-10"}
+    assert {r[0] for r in cells.filter("referencia = '2025-10'").select("sheet").distinct().collect()} == {"CSD"}
+    latest, _ = etl.read_cells(spark, str(tmp_path), "latest")
+    assert {r[0] for r in latest.select("referencia").distinct().collect()} == {"2025-12"}
+    got = etl.run(spark, str(tmp_path), scratch_path(spark, "target"), ("json",), month="2025-12")
+    prices = {r["custo"] for r in got.tables["insumo_custos"].filter("uf = 'AL'").collect()}
+    assert prices == {2.0}
+    plan = W.parse(W.read_files(spark, str(tmp_path)))._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("MapInPandas") == 1
+
+
+def test_reload_keeps_first_names_and_clears_months(spark, tmp_path):
+    source, target = tmp_path / "in", scratch_path(spark, "target")
+    source.mkdir()
+    archive(source)
+    etl.run(spark, str(source), target, ("json",))
+    first = spark.read.parquet(f"{target}/relational/insumos").first()["descricao"]
+    isd = [*ISD[:4], ["MAT", "7", "NOVO NOME", "UN", "C", "5", None, None]]
+    book = pack_workbook({"ISD": grid(isd), "ICD": grid(ISD[:4]), "CSD": grid(CSD[:3]), "CCD": grid(CSD[:3]),
+                          "Analítico": [["t"]]})
+    (source / "TABELA-2025-12-formato-xlsx.zip").write_bytes(pack_archive({"Referência.xlsx": book}))
+    got = etl.run(spark, str(source), target, ("json",))
+    assert [r["descricao"] for r in got.tables["insumos"].collect()] == [first]
+    costs = {(r["uf"], r["tipo_desoneracao"]): r["custo"] for r in got.tables["insumo_custos"].collect()}
+    assert costs == {("AC", "SEM"): 5.0, ("AL", "SEM"): 2.0, ("AM", "SEM"): 3.0, ("AC", "COM"): 4.0}
+    assert got.tables["composicao_analitico"].count() == 0
+    assert spark.read.parquet(f"{target}/relational/composicoes").count() == 1
+    assert not io.has_months(spark, f"{target}/processed/icd/json")
+    assert not io.has_months(spark, f"{target}/relational/composicao_analitico")
+
+
+def test_repeated_keys_of_one_batch_store_one_row(spark):
+    rows = spark.createDataFrame([(1, 5.0, "b", "m"), (1, 5.0, "a", "m"), (1, 2.0, "z", "m")],
+                                 "id int, v double, t string, referencia string")
+    got = picks.upsert(rows.limit(0), rows, ["id"], ["v"]).collect()
+    assert [(r["v"], r["t"]) for r in got] == [(5.0, "b")]
+
+
 def test_upsert_touches_only_its_months(spark):
     path = scratch_path(spark, "facts")
     rows = lambda v: spark.createDataFrame(v, "id int, custo double, referencia string")
     io.write_table(rows([(1, 1.0, "a"), (2, 2.0, "a"), (1, 5.0, "b")]), path)
-    io.upsert_table(rows([(2, 20.0, "a"), (3, 30.0, "a")]), path, ["referencia", "id"])
+    io.upsert_table(rows([(2, 20.0, "a"), (3, 30.0, "a")]), path, ["referencia", "id"], ["custo"])
     got = {(r["referencia"], r["id"]): r["custo"] for r in spark.read.parquet(path).collect()}
     assert got == {("a", 1): 1.0, ("a", 2): 20.0, ("a", 3): 30.0, ("b", 1): 5.0}
     assert [r[0] for r in io.list_references(spark, path).collect()] == ["a", "b"]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from obralake.operators import compositions as C
 from obralake.operators import sheets as S
+from obralake.operators import star
 
 SCHEMA = "file string, sheet string, row bigint, col int, value string"
 MONTH = "2025-12"
@@ -115,12 +116,20 @@ def test_bom_and_tree(spark):
     assert tree[400]["componentes"] == [] and tree[400]["unidade"] == "M2"
 
 
-def test_large_compositions_come_in_documents(spark):
-    grid = [["t"], ["S", "1", None, None, "MAE", "UN"]] + [
-        ["S", "1", "INSUMO", str(i), "F", "UN", "1"] for i in range(50)]
-    tree = C.nest(S.bom_rows(cells(spark, "Analítico", grid), F.lit(MONTH)), document_size=10).collect()
-    assert len(tree) > 1 and {r["codigo"] for r in tree} == {1}
-    assert sorted(c["codigo"] for r in tree for c in r["componentes"]) == list(range(50))
+def test_edges_need_no_tree(spark):
+    """The last line of a child counts, whatever the number of lines."""
+    grid = [["t"], ["S", "1", None, None, "MAE", "M2"]] + [
+        ["S", "1", "INSUMO", str(i % 5), "F", "UN", str(i)] for i in range(5, 25)]
+    bom = S.bom_rows(cells(spark, "Analítico", grid), F.lit(MONTH))
+    tree = C.nest(bom).collect()
+    assert len(tree) == 1 and len(tree[0]["componentes"]) == 20
+    lines = star.bom_lines(bom).collect()
+    assert {r["unidade_pai"] for r in lines} == {"M2"}
+    ids = spark.createDataFrame([(MONTH, i, "UN", f"i{i}") for i in range(5)],
+                                "referencia string, codigo int, unidade string, id string")
+    comp = spark.createDataFrame([(MONTH, 1, "M2", "c")], ids.schema)
+    got = {r["insumo_id"]: r["coeficiente"] for r in star.edges(star.bom_lines(bom), ids, comp).collect()}
+    assert got == {f"i{i}": 20.0 + i for i in range(1, 5)}
 
 
 def test_code_recovery(spark):
