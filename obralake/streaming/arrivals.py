@@ -32,7 +32,8 @@ def load_arrivals(spark: SparkSession, source: str, schema: T.StructType, target
         arrivals = shape(arrivals)
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        upsert_table(batch, target, keys, ["_arrived", "_name", *order])
+        upsert_table(batch, target, keys, ["_arrived", "_name", *order],
+                     ["_arrived", "_name"])
 
     query = (arrivals.writeStream.foreachBatch(merge)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
