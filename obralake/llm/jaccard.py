@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .components import components
-from .tasks import once
+from .tasks import release, vocabulary
 
 #: Shingles counted by one task, documents whose answers one task gathers, words a worker keeps.
-BUCKET, BLOCK, KEPT_WORDS = 500_000, 256, 400_000
+BUCKET, BLOCK, KEPT_WORDS = 500_000, 256, 150_000
 #: Elements of an enumerated subset; members compared by one task with as many others.
 SUBSET, UNIT = 2, 512
 
@@ -56,7 +56,7 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = once("shingle words", _Words)
+        words = vocabulary("shingle words", _Words)
         no = TaskContext.get().partitionId() << 32
         for pdf in batches:
             for at in range(0, len(pdf), BLOCK):
@@ -87,6 +87,7 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in read(batches):
             yield pdf.reindex(columns=["bucket", "block", "no", "id", "n", "digest", "own", "hashes"])
+        release()
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]

@@ -12,10 +12,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .differencing import deal
-from .tasks import once
+from .tasks import release, vocabulary
 
+#: Whole sequences that are handed on at once.
+FULL = 512
 #: Words whose ids a worker keeps; frequent words come early, so the first ones stay.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 # Fixed value: the pattern that belongs to the vocabulary.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -78,38 +80,34 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once(f"words {tokenizer}", lambda: WordEncoder(tokenizer))
+        encoder = vocabulary(f"ids {tokenizer}", lambda: WordEncoder(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 32
         full: list[tuple] = []
         rest: list[tuple] = []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal sequence, full, rest
-            out = full
-            if rest:
-                lengths = np.array([len(p[2]) // 4 for p in rest])
-                lane = windows(lengths, capacity)
-                order = np.argsort(lane, kind="stable")
-                used = np.zeros(lane.max() + 1, np.int64)
-                number = np.cumsum(np.bincount(lane) > 0) - 1
-                for i in order:
-                    w = lane[i]
-                    out.append((*rest[i], sequence + int(number[w]), int(used[w])))
-                    used[w] += lengths[i]
-                sequence += int(number[-1]) + 1
-            full, rest = [], []
-            if out:
-                doc, start, ids, tokens, seq, offset = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, ids_type), pa.array(start, pa.int64()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
-                     pa.array(tokens, pa.int64()), pa.array(seq, pa.int64()),
-                     pa.array(offset, pa.int64())],
-                    names=[id_col, "start", "length", "input_ids", "doc_tokens", "sequence_id",
-                           "offset"])
-
-        ids_type = None
+        def rows(pieces: list[tuple]) -> pa.RecordBatch:
+            doc, start, ids, tokens, seq, offset = zip(*pieces)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc, ids_type), pa.array(start, pa.int64()),
+                 pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(tokens, pa.int64()), pa.array(seq, pa.int64()), pa.array(offset, pa.int64())],
+                names=[id_col, "start", "length", "input_ids", "doc_tokens", "sequence_id", "offset"])
+
+        def dealt() -> pa.RecordBatch:
+            nonlocal sequence
+            lengths = np.array([len(p[2]) // 4 for p in rest])
+            lane = windows(lengths, capacity)
+            used = np.zeros(lane.max() + 1, np.int64)
+            number = np.cumsum(np.bincount(lane) > 0) - 1
+            out = []
+            for i in np.argsort(lane, kind="stable"):
+                w = lane[i]
+                out.append((*rest[i], sequence + int(number[w]), int(used[w])))
+                used[w] += lengths[i]
+            sequence += int(number[-1]) + 1
+            return rows(out)
+
         for batch in batches:
             ids_type = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -121,9 +119,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
                     sequence += 1
                 for at in range(whole, tokens, grain):
                     rest.append((doc, at, ids[4 * at:4 * (at + grain)], tokens))
-                if len(rest) >= block or len(full) >= block:
-                    yield from flush()
-        yield from flush()
+                if len(full) >= FULL:
+                    yield rows(full)
+                    full = []
+                if len(rest) >= block:
+                    yield dealt()
+                    rest = []
+        if full:
+            yield rows(full)
+        if rest:
+            yield dealt()
+        release()
 
     return docs.select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {id_type.simpleString()}, start long, length long, input_ids binary, "

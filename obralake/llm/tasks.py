@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -21,6 +22,26 @@ def once(name: str, build: Callable[[], Any]) -> Any:
     return kept[name]
 
 
+def vocabulary(name: str, build: Callable[[], Any]) -> Any:
+    """As `once`, for what grows with the words seen: a worker keeps that of one operator only."""
+    kept = sys.__dict__.setdefault("_obralake_once", {})
+    held = kept.get("vocabulary")
+    if held is None or held[0] != name:
+        kept["vocabulary"] = None  # free the old one first
+        release()
+        kept["vocabulary"] = held = (name, build())
+    return held[1]
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def add_columns(rows: DataFrame, text_col: str, added: dict[str, str],
                 compute: Callable[[list[str | None]], list[list]], keep: list[str]) -> DataFrame:
     """The columns `keep` of `rows` as they are, and those that `compute` makes of the texts of a batch.
@@ -38,6 +59,7 @@ def add_columns(rows: DataFrame, text_col: str, added: dict[str, str],
             results = compute(batch.column(batch.num_columns - 1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *map(pa.array, results, types)], names=[*names, *new])
+        release()
 
     types = [to_arrow_type(T.DataType.fromDDL(kind)) for kind in added.values()]
     packed = rows.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)],
