@@ -46,23 +46,18 @@ def vector_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str, ite
         F.col("sid").alias(query_id), F.col("iid").alias(item_id), "emb", "posto")
 
 
-def vectors_above(queries: DataFrame, items: DataFrame, query_id: str, item_id: str,
-                  vector: str = "embedding", pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
-    """All items that reach the query's own `limit`: query_id, item_id, emb."""
-    found = _visit(queries, items, None, query_id, item_id, vector, pivots, block)
-    return found.select(F.col("sid").alias(query_id), F.col("iid").alias(item_id), "emb")
-
-
-def _visit(queries: DataFrame, items: DataFrame, k: int | None, query_id: str, item_id: str,
+def _visit(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str,
            vector: str, pivots: int, block: int) -> DataFrame:
-    """Candidate hits of each query: its k best, or with k None all that reach `limit`."""
+    """Candidate hits of each query; rows without a vector take no part."""
     qtype, itype = _id_type(queries, query_id), _id_type(items, item_id)
-    limit = F.col("limit") if k is None else F.lit(0.0)
-    qs = queries.select(F.col(query_id).alias("sid"), F.col(vector).alias("v"), limit.alias("floor"))
-    its = items.select(F.col(item_id).alias("iid"), F.col(vector).alias("v"))
+    qs = queries.filter(F.col(vector).isNotNull()).select(
+        F.col(query_id).alias("sid"), F.col(vector).alias("v"), F.lit(0.0).alias("floor"))
+    its = items.filter(F.col(vector).isNotNull()).select(F.col(item_id).alias("iid"), F.col(vector).alias("v"))
 
     # Pivots, cell extents and seeds are bounded by `pivots` and k, not by the data.
     chosen = its.orderBy(F.md5(F.col("iid").cast("string")), "iid").limit(pivots).collect()
+    if not chosen:
+        return items.sparkSession.createDataFrame([], f"sid {qtype}, iid {itype}, emb double")
     raw = np.array([r["v"] for r in chosen], dtype="float64")
     norms = np.linalg.norm(raw, axis=1)
     units = raw[norms > 0] / norms[norms > 0][:, None]
@@ -82,7 +77,7 @@ def _visit(queries: DataFrame, items: DataFrame, k: int | None, query_id: str, i
         F.count("*").alias("n")).collect()}
     central = Window.partitionBy("cell").orderBy("angle", "iid")
     seed_rows = placed.withColumn("r", F.row_number().over(central)).filter(
-        F.col("r") <= (k or 1)).select("v").collect()
+        F.col("r") <= k).select("v").collect()
     seeds = np.array([r["v"] for r in seed_rows], dtype="float64")
     cells = np.array(sorted(extent))
     low = np.array([extent[c]["lo"] for c in cells])
@@ -95,7 +90,7 @@ def _visit(queries: DataFrame, items: DataFrame, k: int | None, query_id: str, i
                 continue
             m = _matrix(b["v"])
             floor = b["floor"].to_numpy()
-            if k is not None and len(seeds) >= k:
+            if len(seeds) >= k:
                 near = np.clip(m @ seeds.T, 0.0, 1.0)
                 floor = np.partition(near, -k, axis=1)[:, -k]
             angle, norm = _angles(m, units)
@@ -127,14 +122,12 @@ def _visit(queries: DataFrame, items: DataFrame, k: int | None, query_id: str, i
             return pd.DataFrame({"sid": [], "iid": [], "emb": []})
         sims = np.round(np.clip(_matrix(asking["v"]) @ _matrix(offered["v"]).T, 0.0, 1.0), DIGITS)
         floor = asking["floor"].to_numpy() - MARGIN
-        if k is not None and sims.shape[1] > k:
+        if sims.shape[1] > k:
             floor = np.maximum(floor, np.partition(sims, -k, axis=1)[:, -k])
         row, col = np.nonzero(sims >= floor[:, None])
         ids = offered["iid"].to_numpy()
         found = pd.DataFrame({"sid": asking["sid"].to_numpy()[row], "iid": ids[col],
                               "emb": sims[row, col]})
-        if k is None:
-            return found
         # Equal copies can all reach the floor: the k highest ids of a block are enough.
         return found.sort_values(["emb", "iid"], ascending=False).groupby("sid").head(k)
 

@@ -17,11 +17,15 @@ def build_session(master: str | None = None, app: str = "obralake", **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Pair scoring is heavy per byte: small shuffles still deserve every core.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        # AQE merges partitions but never makes more: start with enough for large inputs.
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if master and master.startswith("local"):
+        # Few cores and small inputs: every core gets a share, and partitions are as many as asked for.
+        del settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "64k"
     settings.update(conf)
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -15,7 +15,7 @@ from obralake.session import store
 
 from . import products as X
 from .common import table
-from .texts import PAIRS_SQL, rule_pairs
+from .texts import PAIRS_SQL, lex_stages, rule_pairs
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -98,7 +98,7 @@ def linkage_topk(spark: SparkSession, sf: str) -> DataFrame:
     out = _linked(spark, sf)
     rounded = ["score", "folga", F.round("medidas_batem", 6).alias("medidas_batem"), "alt2_score", "alt3_score"]
     return out.select("sku_key", "produto", "nivel", "item_codigo", "item_descricao", "item_unidade",
-                      "preco", "alt2_codigo", "alt3_codigo", *rounded)
+                      "preco", "alt2_codigo", "alt3_codigo", "alt2_descricao", "alt3_descricao", *rounded)
 
 
 def linkage_margin(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,13 +117,20 @@ def linkage_v1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linkage_three_signals(spark: SparkSession, sf: str) -> DataFrame:
-    """All three signals, for the parts that have a vector."""
-    vectors = table(spark, sf, "embeddings").select(
-        F.col("vec_id"), V.unit(F.col("embedding")).alias("vetor"))
-    skus = X.products(spark, sf).join(vectors, F.col("sku_key") == F.col("vec_id")).drop("vec_id")
-    items = X.items(spark, sf).join(vectors, F.col("item_key") == F.col("vec_id")).drop("vec_id")
+    """All three signals, for all parts; a part has the vector of its key modulo their number."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", V.unit(F.col("embedding")).alias("vetor"))
+    many = vectors.count()
+
+    def with_vector(df: DataFrame, key: str) -> DataFrame:
+        return df.join(vectors, F.pmod(key, F.lit(many)) == F.col("vec_id"), "left").drop("vec_id")
+
+    items = with_vector(X.items(spark, sf), "item_key")
+    skus = with_vector(X.products(spark, sf), "sku_key")
+    # Of nine digits, and just above a half: no engine rounds it the other way.
+    base = F.floor(F.round("base", 9) * 1e6 + 0.50001) / 1e6
     return plan.link_signals(items, skus).select(
-        "sku_key", "item_key", *[F.round(c, 6).alias(c) for c in ("tf", "emb", "lex", "base", "score")])
+        "sku_key", "item_key", *[F.round(c, 6).alias(c) for c in ("tf", "emb", "lex", "score")],
+        base.alias("base"))
 
 
 def weighted_containment(spark: SparkSession, sf: str) -> DataFrame:
@@ -155,16 +162,10 @@ def regime_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled documents as gold, a rule on their length and language as prediction."""
-    docs = table(spark, sf, "documents")
-    gold = table(spark, sf, "labels").join(docs.select("doc_id", "n_chars", "lang", "source"), "doc_id")
-    return gold.select(
-        F.when(F.col("quality") == 1, "par").otherwise("sem_par").alias("rotulo"),
-        F.col("lang").alias("gold_codigo"),
-        F.when(F.col("n_chars") > 3000, "alta").when(F.col("n_chars") > 1000, "media").otherwise(
-            "baixa").alias("nivel"),
-        F.when(F.col("toxic") == 1, "xx").otherwise("en").alias("top1"),
-        (F.col("n_chars") / (F.col("n_chars") + 1000)).alias("score"))
+    """The linkage's own first choices; the right item of a product is that of its part."""
+    return _linked(spark, sf).select(
+        F.lit("par").alias("rotulo"), F.col("sku_key").alias("gold_codigo"), "nivel",
+        F.col("item_codigo").alias("top1"), "score")
 
 
 def linkage_eval(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,10 +247,9 @@ res AS (SELECT *, round(s1 - s2, 9) AS folga, CASE
   WHEN s1 >= 0.50 AND (h1 IS NULL OR h1 >= 0.99) THEN 'media' WHEN s1 >= 0.40 THEN 'baixa'
   ELSE 'sem_par' END AS nivel FROM top)"""
 
-GOLD_SQL = """
-gold AS (SELECT quality = 1 AS par, lang AS g, CASE WHEN n_chars > 3000 THEN 'alta' WHEN n_chars > 1000 THEN 'media'
-  ELSE 'baixa' END AS nivel, CASE WHEN toxic = 1 THEN 'xx' ELSE 'en' END AS top1,
-  n_chars / (n_chars + 1000) AS score FROM labels JOIN documents USING (doc_id))"""
+GOLD_SQL = f"""{FEAT_SQL},
+gold AS (SELECT true AS par, sku_key AS g, nivel, CASE WHEN nivel <> 'sem_par' THEN k1 END AS top1, s1 AS score
+  FROM res)"""
 EVAL = """count(*) AS total, count(*) FILTER (par) AS pares, count(*) FILTER (par AND g = top1) AS certos,
 round(count(*) FILTER (par AND g = top1) / count(*), 6) AS precisao"""
 
@@ -275,7 +275,33 @@ res AS (SELECT *, CASE WHEN score >= CASE WHEN hit IS NULL THEN 0.75 ELSE 0.6 EN
   THEN 'alta' WHEN score >= 0.55 THEN 'media' WHEN score >= 0.4 THEN 'baixa' ELSE 'sem_par' END AS nivel
   FROM feat QUALIFY row_number() OVER (PARTITION BY sku_key ORDER BY score DESC, item_key DESC) = 1)"""
 
+# One vector per text, that of its lowest key; the dot product of all pairs of texts.
+SIGNALS_SQL = f"""
+v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(
+        embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS e FROM embeddings),
+c AS (SELECT count(*) AS many FROM embeddings),
+iv AS (SELECT n, e FROM (SELECT n, arg_min(item_key, item_key) AS k FROM item GROUP BY n), c JOIN v ON vec_id = k % many),
+sv AS (SELECT n, e FROM (SELECT n, arg_min(sku_key, sku_key) AS k FROM sku GROUP BY n), c JOIN v ON vec_id = k % many),
+pr AS (SELECT s.n AS sn, i.n AS cn, round(least(1, greatest(0, list_dot_product(s.e, i.e))), 9) AS emb FROM sv s, iv i),
+{lex_stages("pr", "sn", "cn")},
+bs AS (SELECT sn, cn, coalesce(tf, 0) AS tf, emb, lex,
+         round(0.35::DOUBLE * coalesce(tf, 0) + 0.45::DOUBLE * emb + 0.2::DOUBLE * lex, 9) AS base
+       FROM lx LEFT JOIN dot USING (sn, cn)),
+pre AS (SELECT sku_key, p.* FROM sku JOIN (SELECT sn, item_key, cn, tf, emb, lex, base FROM bs JOIN item ON cn = item.n
+  QUALIFY row_number() OVER (PARTITION BY sn ORDER BY base DESC, item_key DESC) <= 40) p ON sku.n = p.sn)"""
+
 ORACLES = {
+    "linkage_three_signals": f"""WITH {LINK_SQL}, {DOT_SQL}, {SIGNALS_SQL},
+sf AS (SELECT DISTINCT sn, {X.words_sql(X.tokens_sql('sn'))} AS words, {X.asked_sql('sn')} AS asked FROM pre),
+cf AS (SELECT DISTINCT cn, {X.tokens_sql('cn')} AS toks, {X.numbers_sql('cn')} AS offered FROM pre),
+sig AS (SELECT pre.*, {cont_sql('words', 'toks')} AS cont, {X.hit_sql('asked', 'offered')} AS hit,
+  {X.adjustment_sql('sn', 'cn')} AS ajuste,
+  words[1] IS NULL OR list_contains(toks[1:3], words[1]) AS head_ok
+  FROM pre JOIN sf USING (sn) JOIN cf USING (cn), {IDF_MAP})
+SELECT sku_key, item_key, round(tf, 6) AS tf, round(emb, 6) AS emb, round(lex, 6) AS lex,
+  floor(base * 1e6::DOUBLE + 0.50001::DOUBLE) / 1e6::DOUBLE AS base,
+  round({grid_sql(f"{measures_sql('(0.8::DOUBLE * base + 0.2::DOUBLE * cont)')} * ajuste * CASE WHEN head_ok THEN 1::DOUBLE ELSE 0.85::DOUBLE END")}, 6) AS score
+FROM sig""",
     "tfidf_weights": f"""WITH {LINK_SQL}
 SELECT side, n, term, round(w, 6) AS w, round(idf, 6) AS idf FROM w""",
     "tfidf_documents": f"""WITH {DOCS_TFIDF}
@@ -296,12 +322,13 @@ SELECT sku_key, item_key, tf, round(cont, 9) AS cont, round(hit, 6) AS hit,
 SELECT sku_key, item_key, tf AS base, score FROM feat""",
     "linkage_topk": f"""WITH {FEAT_SQL}
 SELECT res.sku_key, produto, nivel, CASE WHEN nivel <> 'sem_par' THEN k1 END AS item_codigo,
-  CASE WHEN nivel <> 'sem_par' THEN descricao END AS item_descricao,
-  CASE WHEN nivel <> 'sem_par' THEN unidade END AS item_unidade,
-  CASE WHEN nivel <> 'sem_par' THEN preco END AS preco, k2 AS alt2_codigo, k3 AS alt3_codigo,
+  CASE WHEN nivel <> 'sem_par' THEN a.descricao END AS item_descricao,
+  CASE WHEN nivel <> 'sem_par' THEN a.unidade END AS item_unidade,
+  CASE WHEN nivel <> 'sem_par' THEN a.preco END AS preco, k2 AS alt2_codigo, k3 AS alt3_codigo,
   s1 AS score, folga, round(h1, 6) AS medidas_batem,
-  s2 AS alt2_score, s3 AS alt3_score
-FROM res JOIN raw_sku USING (sku_key) JOIN raw_item ON k1 = item_key""",
+  s2 AS alt2_score, s3 AS alt3_score, b.descricao AS alt2_descricao, c.descricao AS alt3_descricao
+FROM res JOIN raw_sku USING (sku_key) JOIN raw_item a ON k1 = a.item_key
+LEFT JOIN raw_item b ON k2 = b.item_key LEFT JOIN raw_item c ON k3 = c.item_key""",
     "linkage_margin": f"""WITH {FEAT_SQL}
 SELECT sku_key, s1 AS score, folga FROM res""",
     "tier_distribution": f"WITH {FEAT_SQL} SELECT nivel, count(*) AS quantidade FROM res GROUP BY nivel",

@@ -132,7 +132,39 @@ GRAMS = r"""list_distinct(flatten(list_transform(list_filter(
   regexp_split_to_array({0}, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> ''),
   lambda w: list_transform(range(1, len(w) + 2), lambda i: substring('  ' || w || ' ', i::INT, 3)))))"""
 
+
+
+def lex_stages(source: str, left: str, right: str) -> str:
+    """CTEs up to lx: `source` with `lex`, the token-set similarity of two of its columns.
+
+    The longest common subsequence of the rests is folded over the letters of one with the places of
+    the other as bits of a 128-bit number, so rests are shorter than 127.
+    """
+    tokens = "list_distinct(list_filter(string_split({0}, ' '), lambda t: t <> ''))"
+    return f"""
+lx1 AS (SELECT *, {tokens.format(left)} AS ta, {tokens.format(right)} AS tb FROM {source}),
+lx2 AS (SELECT *, array_to_string(list_sort(list_intersect(ta, tb)), ' ') AS s,
+    array_to_string(list_sort(list_filter(ta, lambda w: NOT list_contains(tb, w))), ' ') AS x,
+    array_to_string(list_sort(list_filter(tb, lambda w: NOT list_contains(ta, w))), ' ') AS y FROM lx1),
+lxm AS (SELECT x, map_from_entries(list_transform(list_distinct(string_split(x, '')), lambda c: (c,
+    list_sum(list_transform(range(1, len(x) + 1), lambda i: CASE WHEN x[i] = c
+      THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END))::HUGEINT))) AS bits
+  FROM (SELECT DISTINCT x FROM lx2 WHERE x <> '')),
+lx3 AS (SELECT lx2.*, (1::HUGEINT << len(lx2.x)::INT) - 1 AS ones, list_transform(string_split(y, ''),
+    lambda c: coalesce(bits[c], 0)::HUGEINT) AS places FROM lx2 LEFT JOIN lxm ON lx2.x = lxm.x),
+lx4 AS (SELECT *, len(x) - bit_count(list_reduce(list_prepend(ones, places),
+    lambda z, h: ((z + (z & h)) | (z - (z & h))) & ones)) AS l FROM lx3),
+lx AS (SELECT * EXCLUDE (ta, tb, s, x, y, ones, places, l), CASE
+  WHEN len(ta) = 0 OR len(tb) = 0 THEN 0::DOUBLE
+  WHEN s <> '' AND (x = '' OR y = '') THEN 1::DOUBLE
+  WHEN s <> '' THEN greatest(2.0::DOUBLE * (len(s) + 1 + l) / (2 * len(s) + 2 + len(x) + len(y)),
+    2.0::DOUBLE * len(s) / (2 * len(s) + 1 + len(x)), 2.0::DOUBLE * len(s) / (2 * len(s) + 1 + len(y)))
+  ELSE 2.0::DOUBLE * l / (len(x) + len(y)) END AS lex FROM lx4)"""
+
+
 ORACLES = {
+    "token_set_ratio": f"""WITH {PAIRS_SQL}, {lex_stages('texts', 'sn', 'cn')}
+SELECT sku_key, item_key, round(lex, 6) AS lex FROM lx""",
     "normalize_text": f"WITH {DOCS_SQL} SELECT doc_id, n FROM doc",
     "normalize_text_v1": f"""WITH raw AS (SELECT p_partkey AS sku_key, {X.case(X.SKU_FORMS)} AS produto FROM part),
 {X.norm_stages('raw', 'v1', 'produto', T.SYNONYMS_V1)} SELECT sku_key, n FROM v1""",

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from obralake.functions import lexical
 from obralake.functions import text as T
 from obralake.operators import linkage as L
 from obralake.operators import neighbours as N
+from obralake.operators import signals
 from obralake.plans import linkage as plan
 
 WORDS = "CABO PLACA DISJUNTOR TOMADA CAIXA LUVA TUBO FIO RALO CANO PREGO LAMPADA".split()
@@ -73,6 +75,74 @@ def test_preselect_is_exact(spark, monkeypatch, spread, seeds, checked):
         assert [mine[p] for p in sorted(mine)] == ranked(scores[row], 15), text
 
 
+def common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+    return row[-1]
+
+
+def token_set(left, right):
+    a, b = set((left or "").split()), set((right or "").split())
+    if not a or not b:
+        return 0.0
+    s, x, y = (" ".join(sorted(t)) for t in (a & b, a - b, b - a))
+    if s and (not x or not y):
+        return 1.0
+    ratio = lambda m, n: 2 * common(m, n) / (len(m) + len(n))
+    return max(ratio(f"{s} {x}", f"{s} {y}"), ratio(s, f"{s} {x}"), ratio(s, f"{s} {y}")) if s else ratio(x, y)
+
+
+def test_token_set_similarity(spark):
+    texts = sorted(set(names(25, 8))) + ["", "A", "ÇÃO É", "X " * 3, "Z" * 70 + " K", "PECA " + "CABO LUVA " * 9, None]
+    rows = [(a, b) for a in texts for b in texts]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", lexical.token_set_ratio("a", "b").alias("x")).collect()
+    assert all(abs(r["x"] - token_set(r["a"], r["b"])) < 1e-12 for r in got)
+    t = signals._Texts(pd.Series([x or "" for x in texts]))
+    bound = signals._letter_bounds(t, t)
+    exact = np.array([[token_set(a, b) for b in texts] for a in texts])
+    assert (bound >= exact - 1e-12).all()
+    rng = random.Random(1)
+    a, b = (["".join(rng.choices("abcd ", k=rng.randint(0, 80))) for _ in range(300)] for _ in range(2))
+    assert lexical.common_lengths(a, b).tolist() == [common(x, y) for x, y in zip(a, b)]
+
+
+def test_few_pairs_are_aligned(spark):
+    """Of products and items with meaningful vectors, as in real use."""
+    items, skus = sorted(set(names(600, 3))), sorted(set(names(200, 4)))
+    rng = np.random.default_rng(5)
+    at = {w: rng.normal(size=16) for n in items + skus for w in n.split()}
+    vector = lambda n: (v := sum(at[w] for w in n.split())) / np.linalg.norm(v)
+    frame = lambda key, texts: spark.createDataFrame(
+        [(k, n, vector(n).tolist()) for k, n in enumerate(texts)], f"{key} bigint, n string, vetor array<double>")
+    i, s = frame("item_key", items), frame("sku_key", skus)
+    vectors = L.store(L.tfidf_vectors(i, s), "vectors")
+    found = signals.signal_topk(vectors, plan._text_vectors(s, "sku_key", "sid", "vetor"),
+                                plan._text_vectors(i, "item_key", "iid", "vetor"), 10,
+                                L.effective_weights(("tf", "emb", "lex")), "vetor")
+    assert found.agg(F.sum("aligned")).first()[0] < 0.1 * len(items) * len(skus)
+
+
+def test_three_signals_of_empty_tables(spark):
+    i = spark.createDataFrame([(1, None, None), (2, "PECA", [1.0, 0.0])], "item_key bigint, n string, vetor array<double>")
+    s = spark.createDataFrame([(1, "PECA", None), (2, None, [1.0, 0.0])], "sku_key bigint, n string, vetor array<double>")
+    i = i.withColumn("descricao", F.col("n"))
+    got = {(r["sku_key"], r["item_key"]): (r["tf"], r["emb"], r["lex"]) for r in plan.link_signals(i, s, 5).collect()}
+    assert got == {(1, 1): (0.0, 0.0, 0.0), (1, 2): (1.0, 0.0, 1.0), (2, 1): (0.0, 0.0, 0.0), (2, 2): (0.0, 1.0, 0.0)}
+    assert plan.link_signals(i.limit(0), s, 5).collect() == []
+
+
+def test_nearest_vectors_of_empty_and_null(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "a bigint, embedding array<double>")
+    b = df.withColumnRenamed("a", "b")
+    assert [(r["a"], r["b"]) for r in N.vector_topk(df, b, 3, "a", "b").collect()] == [(1, 1)]
+    assert N.vector_topk(df, b.limit(0), 3, "a", "b").collect() == []
+
+
 def test_three_signals_are_exact(spark):
     items, skus = sorted(set(names(150, 3))), sorted(set(names(40, 4)))
     rng = np.random.default_rng(5)
@@ -87,7 +157,7 @@ def test_three_signals_are_exact(spark):
         got.setdefault(r["sku_key"], []).append((r["base"], r["item_key"]))
     tf, emb = cosines(items, skus), np.round(np.clip(vs @ vi.T, 0, 1), 9)
     for row, sku in enumerate(skus):
-        lex = np.array([lexical.token_set_similarity(sku, n) for n in items])
+        lex = np.array([token_set(sku, n) for n in items])
         base = np.round(0.35 * tf[row] + 0.45 * emb[row] + 0.2 * lex, 9)
         assert [j for _, j in sorted(got[row], reverse=True)] == ranked(base, 10), sku
 
