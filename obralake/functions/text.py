@@ -64,6 +64,17 @@ AMP = r"(?<![\d.])(\d+(?:\.\d+)?)\s*A\b"
 POLE_WORDS = [("MONOPOLAR", 1), ("UNIPOLAR", 1), ("BIPOLAR", 2), ("TRIPOLAR", 3), ("TETRAPOLAR", 4)]
 
 
+# Forms of numbers, cables, gangs, plates and poles.
+DECIMAL_COMMA, POINT_ZERO, LAST_ZEROS = r"(\d),(\d)", r"(\d+)\.0+(?!\d)", r"(\d+\.\d*?)0+(?!\d)"
+REEL, CABLE_BRAND, CABLE_NAME = "CARRETEL", "FLEXSIL", "CABO COBRE FLEXIVEL"
+CABLE_SIZE, CABLE_SIZED, REEL_OF_CABLE = r"750\s*V\s+(\d+(?:\.\d+)?)\b(?!MM)", "750V $1MM2", "CARRETEL CABO"
+GANG_PAIR = r"(\d)\s*\+\s*(\d)\s*POSTOS?"
+GANG_TRIPLE = r"(\d)\s*\+\s*(\d)\s*\+\s*(\d)\s*POSTOS?"
+PLATE_FORM = r'\b(4)"?\s*X\s*(2|4)"?(?![\d.]|\s*(?:MM|CM))'
+ONE_MODULE = r"\b1M\b"
+POLES, GANGS, PLATE_SIZE = r"\b(\d) POLOS\b", r"\b(\d)\s*POSTOS?\b", r"\b(4X2|4X4)\b"
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` evaluated once, however often the body names it."""
     return F.transform(F.array(value), lambda v: body(v))[0]
@@ -87,17 +98,17 @@ def _swap(value: Column, pattern: str, to: str) -> Column:
 
 def tidy_numbers(value: Column) -> Column:
     """Decimal comma to point, no `.0`, no trailing zeros after the point."""
-    pointed = _swap(value, r"(\d),(\d)", "$1.$2")
-    whole = _swap(pointed, r"(\d+)\.0+(?!\d)", "$1")
-    return _swap(whole, r"(\d+\.\d*?)0+(?!\d)", "$1")
+    pointed = _swap(value, DECIMAL_COMMA, "$1.$2")
+    whole = _swap(pointed, POINT_ZERO, "$1")
+    return _swap(whole, LAST_ZEROS, "$1")
 
 
 def cable_words(value: Column) -> Column:
     """One cable brand and its reels, spelled as the catalogue spells them."""
-    spelled = F.replace(F.replace(value, F.lit("CARRETEL"), F.lit("")),
-                        F.lit("FLEXSIL"), F.lit("CABO COBRE FLEXIVEL"))
-    sized = _swap(spelled, r"750\s*V\s+(\d+(?:\.\d+)?)\b(?!MM)", "750V $1MM2")
-    applies = value.contains("FLEXSIL") | value.contains("CARRETEL CABO")
+    spelled = F.replace(F.replace(value, F.lit(REEL), F.lit("")),
+                        F.lit(CABLE_BRAND), F.lit(CABLE_NAME))
+    sized = _swap(spelled, CABLE_SIZE, CABLE_SIZED)
+    applies = value.contains(CABLE_BRAND) | value.contains(REEL_OF_CABLE)
     return F.when(applies, sized).otherwise(value)
 
 
@@ -117,9 +128,6 @@ def sum_gangs(value: Column) -> Column:
 
     Two terms are looked for before three, so `1+2+3 POSTOS` becomes `1+5 POSTOS`.
     """
-    pair = r"(\d)\s*\+\s*(\d)\s*POSTOS?"
-    triple = r"(\d)\s*\+\s*(\d)\s*\+\s*(\d)\s*POSTOS?"
-
     def spell_out(text: Column, pattern: str, terms: int) -> Column:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
@@ -132,19 +140,19 @@ def sum_gangs(value: Column) -> Column:
         return F.aggregate(F.sort_array(F.array_distinct(found), asc=False), text, spell)
 
     def both(text: Column) -> Column:
-        summed = let(spell_out(text, pair, 2), lambda t: spell_out(t, triple, 3))
+        summed = let(spell_out(text, GANG_PAIR, 2), lambda t: spell_out(t, GANG_TRIPLE, 3))
         return F.when(text.contains("+"), summed).otherwise(text)
 
     return let(value, both)
 
 
 def plate_size_form(value: Column) -> Column:
-    return _swap(value, r'\b(4)"?\s*X\s*(2|4)"?(?![\d.]|\s*(?:MM|CM))', "$1X$2")
+    return _swap(value, PLATE_FORM, "$1X$2")
 
 
 def standardize(value: Column) -> Column:
     """Plates (gang sums, 4X2 and 4X4) in one spelling; `1M` is a width, not a measure."""
-    return _swap(plate_size_form(sum_gangs(value)), r"\b1M\b", " ")
+    return _swap(plate_size_form(sum_gangs(value)), ONE_MODULE, " ")
 
 
 def product_text(value: Column, mode: str = "faithful") -> Column:
@@ -199,7 +207,7 @@ def _first_digit(value: Column, pattern: str) -> Column:
 
 
 def pole_count(value: Column) -> Column:
-    by_number = _first_digit(value, r"\b(\d) POLOS\b")
+    by_number = _first_digit(value, POLES)
     out = by_number
     for word, n in reversed(POLE_WORDS):
         out = F.when(value.contains(word), F.lit(n)).otherwise(out)
@@ -208,11 +216,11 @@ def pole_count(value: Column) -> Column:
 
 def gang_count(value: Column) -> Column:
     return F.when(value.contains("CEGA"), F.lit(0)).otherwise(
-        _first_digit(value, r"\b(\d)\s*POSTOS?\b"))
+        _first_digit(value, GANGS))
 
 
 def plate_size(value: Column) -> Column:
-    found = F.regexp_extract(value, r"\b(4X2|4X4)\b", 1)
+    found = F.regexp_extract(value, PLATE_SIZE, 1)
     return F.when(found != "", found)
 
 

@@ -17,11 +17,14 @@ from ..functions import rules as R
 from ..functions import text as T
 from ..session import store
 
-# Signal weights, tier limits and the width of the pre-selection.
+# Signal weights, tier limits, the width of the pre-selection, shares of the score.
 WEIGHTS = {"emb": 0.45, "lex": 0.20, "tf": 0.35}
 ACCEPT, REVIEW, FAMILY = 0.60, 0.50, 0.40
 MIN_MARGIN = 0.0
 CANDIDATES, CANDIDATES_V1 = 40, 60
+BASE_SHARE, CONT_SHARE, NO_HEAD = 0.8, 0.2, 0.85
+CONT_SHARE_V1, TF_SHARE_V1, NO_HEAD_V1 = 0.7, 0.3, 0.7
+ACCEPT_V1, ACCEPT_BARE_V1, REVIEW_V1, FAMILY_V1 = 0.60, 0.75, 0.55, 0.40
 
 # Scores equal to this many digits are ties; then the higher item key wins.
 SCORE_DIGITS = 9
@@ -359,8 +362,8 @@ def features(pairs: DataFrame, vectors: DataFrame, present: Sequence[str] = ("tf
         R.containment(F.col("words"), F.col("word_weights"), F.col("item_tokens")).alias("cont"),
         R.type_adjustment(F.col("sn"), F.col("cn")).alias("ajuste"),
         R.head_word_ok(F.col("words"), F.col("item_tokens")).alias("head_ok"))
-    mixed = R.apply_measures(0.8 * F.col("base") + 0.2 * F.col("cont"), F.col("hit"))
-    score = mixed * F.col("ajuste") * F.when(F.col("head_ok"), 1.0).otherwise(0.85)
+    mixed = R.apply_measures(BASE_SHARE * F.col("base") + CONT_SHARE * F.col("cont"), F.col("hit"))
+    score = mixed * F.col("ajuste") * F.when(F.col("head_ok"), 1.0).otherwise(NO_HEAD)
     return known.withColumn("score", to_grid(score)).drop(
         "words", "word_weights", "item_tokens", "asked", "offered", "ranges",
         "sku_measures", "item_measures")
@@ -380,8 +383,8 @@ def features_v1(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     known = with_idf.select(
         "*", hit.alias("hit"), R.containment(words, weights, F.col("item_tokens")).alias("cont"),
         R.head_word_ok(words, F.col("item_tokens")).alias("head_ok"))
-    mixed = R.apply_measures(0.7 * F.col("cont") + 0.3 * F.col("tf"), F.col("hit"))
-    score = mixed * F.when(F.col("head_ok"), 1.0).otherwise(0.7)
+    mixed = R.apply_measures(CONT_SHARE_V1 * F.col("cont") + TF_SHARE_V1 * F.col("tf"), F.col("hit"))
+    score = mixed * F.when(F.col("head_ok"), 1.0).otherwise(NO_HEAD_V1)
     return known.withColumn("score", to_grid(score)).select(
         "sid", "iid", *[c for c in pairs.columns if c not in ("sid", "iid")],
         "hit", "cont", "head_ok", "score")
@@ -401,9 +404,9 @@ def tier(score: Column, margin: Column, hit: Column) -> Column:
 
 
 def tier_v1(score: Column, hit: Column) -> Column:
-    needed = F.when(hit.isNull(), F.lit(0.75)).otherwise(F.lit(0.60))
-    return (F.when((score >= needed) & measures_ok(hit), "alta").when(score >= 0.55, "media")
-            .when(score >= 0.40, "baixa").otherwise("sem_par"))
+    needed = F.when(hit.isNull(), F.lit(ACCEPT_BARE_V1)).otherwise(F.lit(ACCEPT_V1))
+    return (F.when((score >= needed) & measures_ok(hit), "alta").when(score >= REVIEW_V1, "media")
+            .when(score >= FAMILY_V1, "baixa").otherwise("sem_par"))
 
 
 def top_three(scored: DataFrame, key: str = "item_key", by: str = "sid") -> DataFrame:

@@ -11,16 +11,16 @@ from .common import table
 
 # Text pieces around (size, name, key) per part type; the last entry is for all other types.
 SKU_FORMS = {
-    "ECONOMY": "'DISJ BIPOLAR ' || p_size || ' A ' || p_name || ' 6801' || p_partkey",
-    "LARGE": "'Carretel Cabo FlexSil 750 V ' || p_size || ',50 ' || p_name || ' Cinza 00003.' || p_partkey",
+    "ECONOMY": "'DISJ BIPOLAR ' || p_size || ' A ' || p_name || ' 7390' || p_partkey",
+    "LARGE": "'FlexSil carretel cabo 750 V ' || p_size || ',50 ' || p_name || ' Ocre 00071.' || p_partkey",
     "MEDIUM": "'PLACA 2+' || p_size || ' POSTOS 4\" X 2\" ' || p_name || ' PLUS'",
-    "PROMO": "'Módulo tom 2P+T ' || p_size || ' A 1M ' || p_name || ' PVM' || p_partkey || 'BC'",
+    "PROMO": "'Módulo tom 2P+T ' || p_size || ' A 1M ' || p_name || ' PVM' || p_partkey || 'QT'",
     "SMALL": "'KIT caixa de embutir vertical ' || p_size || ',00mm² ' || p_name",
     None: "'Placa cega 4x4 ' || p_name || ' tripolar ' || p_size || '0,00 kg'",
 }
 ITEM_FORMS = {
     "ECONOMY": "'DISJUNTOR TRIPOLAR, CORRENTE DE ' || p_size || ' A ' || p_name",
-    "LARGE": "'CABO DE COBRE, FLEXÍVEL, 1 CONDUTOR, 450/750 V, SEÇÃO ' || p_size || ',5 MM2 ' || p_name",
+    "LARGE": "'CABO FLEXÍVEL DE 1 CONDUTOR, COBRE NU, ATÉ 750 V, BITOLA ' || p_size || ',5 MM2 ' || p_name",
     "MEDIUM": "'ESPELHO / PLACA DE ' || p_size || ' POSTOS 4\" X 4\", ' || p_name",
     "PROMO": "'TOMADA 2P+T ' || p_size || 'A, 250V (APENAS MÓDULO) ' || p_name",
     "SMALL": "'CAIXA DE SOBREPOR HORIZONTAL ' || p_size || ' MM ' || p_name",

@@ -41,7 +41,7 @@ def test_ranges_mode_keeps_signs(spark):
 
 
 def test_codes_and_attributes(spark):
-    assert apply(spark, ["PLACA 680173 X JA4803M0JW 00003.016 FIM", "CO8X1 A"], T.strip_codes) == [
+    assert apply(spark, ["PLACA 739204 X KB2217Q0TX 00071.254 FIM", "CO8X1 A"], T.strip_codes) == [
         "PLACA X FIM", "CO8X1 A"]
     assert apply(spark, ["BIPOLAR", "3 POLOS", "NADA"], T.pole_count) == [2, 3, None]
     assert apply(spark, ["PLACA CEGA 2 POSTOS", "2 POSTOS", "X"], T.gang_count) == [0, 2, None]
