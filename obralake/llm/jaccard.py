@@ -70,7 +70,7 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
                     "n": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                                            for s in sets]})
                 every = np.concatenate(sets)
-                own = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+                own = np.repeat(np.arange(len(sets), dtype=np.uint8), sizes)  # BLOCK is at most 256
                 bucket = (every >> np.uint64(20)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 every, own, bucket = every[order], own[order], bucket[order]
@@ -103,7 +103,7 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
                 at += len(values)
                 again = t > 1
                 if again.any():
-                    found.append((block, np.frombuffer(own, np.int32)[again].tobytes(),
+                    found.append((block, np.frombuffer(own, np.uint8)[again].tobytes(),
                                   values[again].tobytes(), t[again].tobytes()))
             if found:
                 out = pd.concat([out, pd.DataFrame(found, columns=["block", "own", "hashes", "times"])])
@@ -121,14 +121,15 @@ def _prefixes(counted: DataFrame, percent: int) -> DataFrame:
         whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
         if not len(packed):
             return pd.DataFrame(columns=["no", "n", "reach", "shared"])
-        own = np.concatenate([np.frombuffer(x, np.int32) for x in packed["own"]])
+        own = np.concatenate([np.frombuffer(x, np.uint8) for x in packed["own"]])
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in packed["hashes"]])
         times = np.concatenate([np.frombuffer(x, np.uint32) for x in packed["times"]])
         order = np.lexsort((hashes, times, own))
         own, hashes = own[order], hashes[order]
         out = []
         for no, n in zip(whole["no"].astype(np.int64), whole["n"].astype(np.int64)):
-            a, b = np.searchsorted(own, [no - pdf["block"].iloc[0], no - pdf["block"].iloc[0] + 1])
+            a, b = np.searchsorted(own, int(no - pdf["block"].iloc[0])), np.searchsorted(
+                own, int(no - pdf["block"].iloc[0]), "right")
             alone = n - (b - a)
             reach = min(n, n - int(required(n, percent)) + SUBSET) - alone
             if reach >= SUBSET and required(n, percent) >= SUBSET:
@@ -229,33 +230,31 @@ def _linked(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     A group of more than UNIT nodes is cut into chunks of similar size sets, and only chunks that can
     hold links are compared with each other.
     """
-    members = store(sets.join(grouped, "node"), "members")
-    # A little wider than the ratio of sizes that links allow, for rounding.
-    band = F.floor(F.log("n") / float(np.log(100 / percent) + 1e-6)).cast("int")
-    crowd = members.groupBy("group").agg(F.count("*").alias("crowd"))
-    bands = store(members.withColumn("band", band).groupBy("group", "band").agg(
-        F.count("*").alias("many")).join(crowd, "group").select(
-        "group", F.when(F.col("crowd") > UNIT, F.col("band")).otherwise(-1).alias("band"),
-        F.col("many")).groupBy("group", "band").agg(F.sum("many").alias("many")).select(
-        "group", "band", F.ceil(F.col("many") / (UNIT // 2)).cast("int").alias("salts")), "bands")
-    chunks = bands.select("group", "band", "salts", F.explode(
-        F.sequence(F.lit(0), F.when(F.col("band") < 0, 0).otherwise(F.col("salts") - 1))).alias("salt"))
-    chunk = F.col("band").cast("long") * 1_000_000_000 + F.col("salt")
-    chunks = store(chunks.select("group", "band", chunk.alias("chunk")), "chunks")
+    # Nodes are dealt to units without their elements, which move twice at the end.
+    width = float(np.log(100 / percent) + 1e-6)  # of sizes that links allow, and a little for rounding
+    members = store(sets.select("node", "n").join(grouped, "node").withColumn(
+        "band", F.floor(F.log("n") / width).cast("int")), "members")
+    crowd = members.groupBy("group").agg(F.count("*").alias("crowd")).filter(F.col("crowd") > UNIT)
+    members = store(members.join(crowd, "group", "left").withColumn(
+        "band", F.when(F.col("crowd").isNull(), -1).otherwise(F.col("band"))).drop("crowd"), "members")
+    bands = store(members.groupBy("group", "band").agg(F.when(F.col("band") < 0, 1).otherwise(
+        F.ceil(F.count("*") / (UNIT // 2))).cast("int").alias("salts")), "bands")
+
+    def chunk(salt):
+        return (F.col("band").cast("long") * 1_000_000_000 + salt).alias("chunk")
+
+    chunks = store(bands.select("group", "band", F.explode(F.sequence(
+        F.lit(0), F.col("salts") - 1)).alias("salt")).select("group", "band", chunk(F.col("salt"))), "chunks")
     other = chunks.select("group", F.col("band").alias("band_b"), F.col("chunk").alias("b"))
     near = chunks.withColumnRenamed("chunk", "a").withColumn(
         "band_b", F.explode(F.array("band", F.col("band") + 1)))
     units = near.join(other, ["group", "band_b"]).filter(F.col("a") <= F.col("b")).select("group", "a", "b")
     parts = store(units.select("group", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"),
                                "a", "b"), "units")
-    placed = members.join(crowd.filter(F.col("crowd") > UNIT), "group", "left").withColumn(
-        "band", F.when(F.col("crowd").isNull(), -1).otherwise(band)).join(
-        bands.withColumnRenamed("band", "band_of"), (members["group"] == bands["group"]) & (
-            F.col("band") == F.col("band_of"))).drop(bands["group"]).withColumn(
-        "chunk", F.when(F.col("band") < 0, F.lit(-1_000_000_000)).otherwise(
-            F.col("band").cast("long") * 1_000_000_000 + F.pmod(F.xxhash64("node"), F.col("salts"))))
-    spread = placed.select("group", "chunk", "node", "n", "copies", "shared").join(
-        parts, ["group", "chunk"])
+    placed = members.join(bands, ["group", "band"]).select(
+        "group", "node", chunk(F.pmod(F.xxhash64("node"), F.col("salts"))))
+    spread = store(placed.join(parts, ["group", "chunk"]), "spread").join(
+        sets.select("node", "n", "copies", "shared"), "node")
     # Else a join by group would have brought all units of a group into one task.
     return spread.repartition("group", "a", "b").groupBy("group", "a", "b").applyInPandas(
         _compare(percent), "node binary, root binary, links long")
