@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from suite import modules
 
 from .check_oracles import compare, oracle_connection
 
@@ -13,7 +14,7 @@ SLOW = ("linkage", "tfidf", "tier_", "monthly", "wide_to_map", "cost_sheet")
 
 
 def names():
-    every = list(entry.queries())
+    every = [n for m in modules() for n in m.QUERIES]
     if os.environ.get("ALL_QUERIES"):
         return every
     return [n for n in every if not n.startswith(SLOW)]
