@@ -13,9 +13,10 @@ from obralake.llm.pseudonyms import pseudonymise
 from obralake.session import store
 
 from ..check_oracles import compare, oracle_connection
-from .common import SF
+from .common import SF, documents, prose
 from .test_decontamination import brute as leaks
 from .test_jaccard import brute as copies
+from .test_jaccard import edited
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +54,17 @@ def test_one_document_of_each_group_stays(stages):
     assert set(rows(stages["near_copies"])) == want
 
 
+def test_near_copies_share_four_fifths_of_their_five_word_shingles(spark):
+    base = prose(1, 250)
+    rows = [(1, base), (2, edited(base, 20, 70, 120, 170, 220)), (3, edited(base, *range(5, 250, 12))), (4, prose(2, 250))]
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    near = lambda i, j: 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+    want = {i for i in sets if not any(near(i, j) for j in sets if j < i)}
+    assert want == {1, 3, 4} and 2 in {i for i, _, c, _ in copies(rows) if i == c}  # apart by three words and 0.9
+    got = corpus_pipeline.drop_copies(spark, documents(spark, rows), SF)
+    assert {r.doc_id for r in got.collect()} == want
+
+
 def test_leaks_go(spark, stages):
     before = [(r.doc_id, r.text) for r in rows(stages["near_copies"]).values()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
