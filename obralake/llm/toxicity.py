@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -24,6 +25,10 @@ ALPHABET = 28
 SIGN_COST, GAP_COST, REPEAT_COST = 0.5, 0.7, 0.2
 #: Longest disguised word that is decoded; what is longer is an address or a key.
 LONGEST = 32
+#: Log costs of a word that is no disguise: a sign in it, a word's end that a sign between letters makes.
+PLAIN_SIGN, PLAIN_GAP = 4.0, 0.5
+#: Signs around words, but for those that stand for letters.
+AROUND = ".,;:?\"'()[]{}<>%&#*-_~^`=/\\"
 #: Lengths of the n-grams that score, the most that are kept, and the least z-score of the difference
 #: between the labels' shares: beyond chance for some million n-grams.
 LENGTHS, FEATURES, LEAST_Z = (4, 5, 6), 1 << 14, 5.5
@@ -65,9 +70,14 @@ def decode(word: str, model: np.ndarray) -> str:
     """Most likely letters behind a disguised word: Viterbi over the lattice of its readings.
 
     A place of the lattice reads as a letter, a sign's letters, or nothing; a run of one letter reads
-    as one or two of it. States are the last two letters.
+    as one or two of it. States are the last two letters, so the time is linear in the length.
     """
-    place, states = 0, {(0, 0): (0.0, "")}
+    return _best(word, model)[1]
+
+
+def _best(word: str, model: np.ndarray, end_cost: float = 0.0) -> tuple[float, str]:
+    """Score and letters of the best reading; `end_cost`, if given, is that of leaving out a sign at an end."""
+    states: dict = {(0, 0): (0.0, None)}
 
     def step(old: dict, options: list[tuple[str, float]]) -> dict:
         new: dict = {}
@@ -79,15 +89,11 @@ def decode(word: str, model: np.ndarray) -> str:
                     s += model[p, q, i]
                     p, q = q, i
                 if (p, q) not in new or new[p, q][0] < s:
-                    new[p, q] = s, out + text
+                    new[p, q] = s, (out, text)
         return new
 
-    while place < len(word):
-        c = word[place]
-        run = place
-        while run < len(word) and word[run] == c:
-            run += 1
-        times = run - place
+    runs = _runs(word)
+    for at, (c, times) in enumerate(runs):
         if c.isalpha():
             options = [(c, REPEAT_COST * (times - 1)), *([(c * 2, REPEAT_COST * (times - 2))] if times > 1 else [])]
         else:
@@ -96,11 +102,35 @@ def decode(word: str, model: np.ndarray) -> str:
             if c in BETWEEN or c == " ":
                 options.append(("", 0.1))
             elif not c.isdigit() or not options:
-                options.append(("", GAP_COST))
+                out_cost = end_cost * min(times, 2) if end_cost and c in LEET and _at_end(runs, at) else GAP_COST
+                options.append(("", out_cost))
         states = step(states, options)
-        place = run
-    last = {k: (s + model[k[0], k[1], 0], out) for k, (s, out) in states.items()}
-    return max(last.values())[1]
+    score, out = max(((s + model[k[0], k[1], 0], out) for k, (s, out) in states.items()), key=lambda x: x[0])
+    parts = []
+    while out:
+        out, text = out
+        parts.append(text)
+    return score, "".join(reversed(parts))
+
+
+def _runs(word: str) -> list[tuple[str, int]]:
+    """Each sign of a word and how often it follows itself."""
+    return [(c, sum(1 for _ in same)) for c, same in itertools.groupby(word)]
+
+
+def _at_end(runs: list[tuple[str, int]], at: int) -> bool:
+    """Whether a sign stands at either end of its word, exclamation marks in their own place aside."""
+    return at == 0 and runs[at][0] != "¡" or at == len(runs) - 1 and runs[at][0] != "!"
+
+
+def _plain(word: str, model: np.ndarray) -> float:
+    """Score of a word that is what it looks like: signs end words, and signs for letters are rare."""
+    x = np.r_[0, _model_letters(word)]
+    runs = _runs(word)
+    marks = {0: "¡", len(runs) - 1: "!"}
+    cost = sum(PLAIN_SIGN * min(n, 2) if c in LEET and marks.get(i) != c else PLAIN_GAP * (c in BETWEEN)
+               for i, (c, n) in enumerate(runs))
+    return float(model[x[:-2], x[1:-1], x[2:]].sum()) - cost
 
 
 def _kinds() -> np.ndarray:
@@ -117,14 +147,14 @@ def _suspects(text: str) -> list[tuple[int, int]]:
     x = np.concatenate(([SPACE] * 3, code_points(text), [SPACE] * 3))
     kind = once("kinds", _kinds)[x]
     letter, sign, gap, space = kind == 1, kind == 2, kind == 3, kind == 4
+    word = letter | sign | gap
     mark = np.zeros(len(x), bool)
     a, b, c, d = slice(0, -3), slice(1, -2), slice(2, -1), slice(3, None)
-    # A sign with a letter before it and one within the next two; a sign that begins a word; a run of
-    # three letters; letters with signs between; single letters with spaces between.
-    mark[b] |= letter[a] & sign[b] & (letter[c] | (sign[c] & letter[d]))
-    mark[b] |= space[a] & sign[b] & letter[c] & letter[d]
+    # A sign beside a letter or another sign; a sign between two of them; a run of three letters; single
+    # letters with spaces between.
+    mark[b] |= sign[b] & (word[a] | word[c])
+    mark[b] |= gap[b] & word[a] & word[c]
     mark[b] |= letter[a] & (x[a] == x[b]) & (x[b] == x[c])
-    mark[b] |= letter[a] & gap[b] & letter[c] & gap[d]
     mark[b] |= space[a] & (letter | sign)[b] & space[c] & (letter | sign)[d]
     at = np.flatnonzero(mark)
     if not len(at):
@@ -132,37 +162,54 @@ def _suspects(text: str) -> list[tuple[int, int]]:
     edges = np.flatnonzero(space)
     single = np.zeros(len(x), bool)
     single[1:-1] = space[:-2] & (letter | sign)[1:-1] & space[2:]
+    # Only words with a letter: so many letters stand before each place.
+    before = np.r_[0, np.cumsum(letter)]
     spans: list[tuple[int, int]] = []
+    done = 0
     for i in at:
-        if spans and i < spans[-1][1]:
+        if i < done:
             continue
-        first = edges[np.searchsorted(edges, i) - 1] + 1
-        last = edges[np.searchsorted(edges, i)]
-        if single[i] and space[i - 1]:
-            last = i + 1
+        if single[i]:
+            first, last = i, i + 1
             while last + 1 < len(x) and x[last] == SPACE and single[last + 1]:
                 last += 2
-            if last - i < 5:
-                continue
-            first = i
-        if 2 < last - first <= 2 * LONGEST:
-            spans.append((int(first), int(last)))
-    return [(f - 3, e - 3) for f, e in spans if f >= 3]
+            least = 5
+        else:
+            edge = np.searchsorted(edges, i)
+            first, last = edges[edge - 1] + 1, edges[edge]
+            least = 3
+        if last - first <= 2 * LONGEST:
+            done = last
+        else:
+            continue
+        if last - first >= least and before[last] > before[first]:
+            spans.append((int(first) - 3, int(last) - 3))
+    return spans
 
 
 def restore(text: str | None, model: np.ndarray) -> str:
-    """The text with disguised words in plain letters; other words stay."""
+    """The text with disguised words in plain letters; other words stay.
+
+    A word with signs counts as disguised if the model likes its best reading better than the word as
+    it stands; one with a run of three equal letters always does.
+    """
     text = text or ""
     out, done = [], 0
     for first, last in _suspects(text):
-        word = text[first:last].lower()
-        kept = word.strip(".,;:!?\"'()[]{}<>%&#*-_~^`|+=/\\")
+        kept = text[first:last].lower().strip(AROUND)
         core = kept.rstrip("$") if kept.endswith("$$$") else kept
-        if not 2 < len(core) <= (2 * LONGEST if " " in core else LONGEST):
+        runs = _runs(core)
+        if len(core) > (2 * LONGEST if " " in core else LONGEST):
+            continue
+        if sum(min(n, 2) for c, n in runs if c.isalpha() or c in LEET) < 3:
+            continue
+        stretched = any(n > 2 and c.isalpha() for c, n in runs)
+        if core.isalpha() and not stretched or not any(c.isalpha() for c in core):
             continue
-        if sum(c.isalpha() for c in core) * 3 < len(core.replace(" ", "")):
+        score, plain = _best(core, model, PLAIN_SIGN)
+        if plain == core.strip("".join(LEET) + AROUND) or not stretched and score <= _plain(core, model):
             continue
-        out += [text[done:first], decode(core, model), " "]
+        out += [text[done:first], plain, " "]
         done = last
     return "".join(out) + text[done:]
 

@@ -56,6 +56,35 @@ def test_restoration_leaves_plain_words_alone(model):
         "loser" in restore("such a l o s e r today", model)
 
 
+DISGUISES = {"l0$3r": "loser", "l053r": "loser", "5h17": "shit", "a55": "ass", "a$$": "ass", "h473": "hate",
+             "worthle55": "worthless", "st.upid": "stupid", "!diot": "idiot", "idio+": "idiot", "--".join("stupid"): "stupid"}
+
+
+@pytest.fixture(scope="module")
+def plain_model(spark):
+    words = "idiot stupid loser worthless hate shit ass hello mister little tree well known don t it s a the"
+    return character_model(documents(spark, [(1, " ".join([words] * 300))]), "text")
+
+
+@pytest.mark.parametrize("word, plain", DISGUISES.items())
+def test_restoration_reaches_disguises(plain_model, word, plain):
+    assert restore(f"you {word}, go", plain_model).split()[:2] == ["you", plain]
+
+
+def test_model_rejects_plain_words_with_signs(plain_model):
+    for text in ["a well-known tree", "don't, it's", "hello! little!!", "the$$$ a$$$", "mister 1999", "tree.Hello"]:
+        assert restore(text, plain_model) == text
+
+
+def test_disguised_texts_score_as_plain_ones(spark):
+    words = ["loser", "shit", "ass", "hate", "worthless", "stupid", "idiot"]
+    rows = [(i, prose(i, 30) + (f" you {words[i // 2 % 7]} " if i % 2 else " you hello ") + "go") for i in range(700)]
+    odd = [(1000 + i, f"{prose(3, 30)} you {w} go") for i, w in enumerate(DISGUISES)]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    got = score_toxicity(documents(spark, rows + odd), marks).collect()
+    assert {r.doc_id: r.predicted for r in got if r.doc_id >= 1000} == {i: 1 for i, _ in odd}
+
+
 def test_toxic_texts_are_told_apart(spark):
     bad = ["idiot", "loser", "stupid"]
     rows, labels = [], []
