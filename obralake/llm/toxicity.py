@@ -23,8 +23,6 @@ BETWEEN = ".-_*~'`^,"
 ALPHABET = 28
 #: Log costs of the channel: a sign for a letter, a sign left out, a repeated letter left out.
 SIGN_COST, GAP_COST, REPEAT_COST = 0.5, 0.7, 0.2
-#: Longest disguised word that is decoded; what is longer is an address or a key.
-LONGEST = 32
 #: Log costs of a word that is no disguise: a sign in it, a word's end that a sign between letters makes.
 PLAIN_SIGN, PLAIN_GAP = 4.0, 0.5
 #: Signs around words, but for those that stand for letters.
@@ -178,10 +176,7 @@ def _suspects(text: str) -> list[tuple[int, int]]:
             edge = np.searchsorted(edges, i)
             first, last = edges[edge - 1] + 1, edges[edge]
             least = 3
-        if last - first <= 2 * LONGEST:
-            done = last
-        else:
-            continue
+        done = last
         if last - first >= least and before[last] > before[first]:
             spans.append((int(first) - 3, int(last) - 3))
     return spans
@@ -191,7 +186,7 @@ def restore(text: str | None, model: np.ndarray) -> str:
     """The text with disguised words in plain letters; other words stay.
 
     A word with signs counts as disguised if the model likes its best reading better than the word as
-    it stands; one with a run of three equal letters always does.
+    it stands, whatever its length; one with a run of three equal letters always does.
     """
     text = text or ""
     out, done = [], 0
@@ -199,8 +194,6 @@ def restore(text: str | None, model: np.ndarray) -> str:
         kept = text[first:last].lower().strip(AROUND)
         core = kept.rstrip("$") if kept.endswith("$$$") else kept
         runs = _runs(core)
-        if len(core) > (2 * LONGEST if " " in core else LONGEST):
-            continue
         if sum(min(n, 2) for c, n in runs if c.isalpha() or c in LEET) < 3:
             continue
         stretched = any(n > 2 and c.isalpha() for c, n in runs)

@@ -57,7 +57,9 @@ def test_restoration_leaves_plain_words_alone(model):
 
 
 DISGUISES = {"l0$3r": "loser", "l053r": "loser", "5h17": "shit", "a55": "ass", "a$$": "ass", "h473": "hate",
-             "worthle55": "worthless", "st.upid": "stupid", "!diot": "idiot", "idio+": "idiot", "--".join("stupid"): "stupid"}
+             "worthle55": "worthless", "st.upid": "stupid", "!diot": "idiot", "idio+": "idiot",
+             "st" + "u" * 60 + "pid": "stupid", "--".join("stupid"): "stupid", ("-" * 12).join("stupid"): "stupid",
+             ("." * 40).join("loser"): "loser"}
 
 
 @pytest.fixture(scope="module")
@@ -76,10 +78,18 @@ def test_model_rejects_plain_words_with_signs(plain_model):
         assert restore(text, plain_model) == text
 
 
+def test_long_runs_are_decoded_whole(plain_model):
+    for n in (1, 20, 3000):
+        word = "loser" + "stupid" * n
+        assert restore(" ".join(word) + " tree", plain_model).split() == [word, "tree"]
+        assert restore(word.replace("u", "uuu").replace("e", "3"), plain_model).split() == [word]
+
+
 def test_disguised_texts_score_as_plain_ones(spark):
     words = ["loser", "shit", "ass", "hate", "worthless", "stupid", "idiot"]
     rows = [(i, prose(i, 30) + (f" you {words[i // 2 % 7]} " if i % 2 else " you hello ") + "go") for i in range(700)]
     odd = [(1000 + i, f"{prose(3, 30)} you {w} go") for i, w in enumerate(DISGUISES)]
+    odd.append((2000, prose(3, 30) + " " + " ".join("loser" + "hello" * 20)))
     marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
     got = score_toxicity(documents(spark, rows + odd), marks).collect()
     assert {r.doc_id: r.predicted for r in got if r.doc_id >= 1000} == {i: 1 for i, _ in odd}
