@@ -19,7 +19,8 @@ ADDRESS = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 DATE = (r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})"
         r"(?![\d]|[/.-]\d)")
 PHONE = (r"(?<![\w+])(?:\+\d{1,3}[\x20.-]?)?\(\d{2,4}\)[\x20.-]?\d{3,4}[\x20.-]?\d{3,4}(?!\d)"
-         r"|(?<![\w+])\+\d{1,3}(?:[\x20.-]?\d{2,4}){2,4}(?!\d)")
+         r"|(?<![\w+])\+\d{1,3}(?:[\x20.-]?\d{2,4}){2,4}(?!\d)"
+         r"|(?<![\w.+-])(?:1[\x20.-])?[2-9]\d\d(?:-[2-9]\d\d-|\.[2-9]\d\d\.|\x20[2-9]\d\d\x20)\d{4}(?![\w-]|\.\d)")
 NATIONAL = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\w.-])\d(?:[\x20-]?\d){12,18}(?![\w-]|\.\d)"
 FORMS = {kind: re.compile(form, re.ASCII) for kind, form in {
@@ -171,6 +172,12 @@ def _iban(text: str, key: bytes) -> str | None:
 
 def _phone(text: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", text)
+    if text[0] not in "+(" and "(" not in text:  # a plain form: area and exchange begin with 2 to 9
+        head, number = digits[:-10], digits[-10:]
+        while True:
+            number = _permute_signs(number, key, "phone")
+            if number[0] > "1" and number[3] > "1":
+                return _refill(text, head + number)
     if not 7 <= len(digits) <= 15:
         return None
     country = re.match(r"\+\d{1,3}(?=[\x20.(-])", text)
@@ -185,6 +192,27 @@ def _email(text: str, key: bytes) -> str:
 
 REPLACE = {"email": _email, "iban": _iban, "date": _date, "address": _address, "phone": _phone,
            "national": _national, "card": _card}
+#: Fewest digits of a card number, fewest signs of an account number.
+SHORTEST = {"card": 13, "iban": 15}
+
+
+def _replaced(kind: str, text: str, key: bytes) -> tuple[str | None, int]:
+    """The pseudonym of a valid value that `text` begins with, and the value's length.
+
+    Cards and accounts may have swallowed what follows them, so they are tried up to each separator,
+    longest first; cards of their issuer's usual length before all, as one digit checks by chance.
+    """
+    ends = [len(text)]
+    if kind in SHORTEST:
+        size = lambda end: sum(c.isalnum() for c in text[:end])
+        ends += [i for i in range(len(text) - 1, 0, -1) if text[i] in " -" and size(i) >= SHORTEST[kind]]
+        if kind == "card":
+            usual = 15 if text[:2] in ("34", "37") else 16
+            ends.sort(key=lambda end: size(end) != usual)
+    for end in ends:
+        if (new := REPLACE[kind](text[:end], key)) is not None:
+            return new, end
+    return None, 0
 
 
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
@@ -207,10 +235,13 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]
             new = None
             for kind, form in FORMS.items():  # what does not validate may still be another form
                 own = form.match(text, match.start(), last + REACH)
-                if own and (new := REPLACE[kind](own[0], key)) is not None:
+                if not own:
+                    continue
+                new, length = _replaced(kind, own[0], key)
+                if new is not None:
                     out += [text[done:own.start()], new]
-                    found.append((kind, own.start(), own.end()))
-                    done = at = own.end()
+                    done = at = own.start() + length
+                    found.append((kind, own.start(), done))
                     break
             if new is None:
                 at = match.start() + 1
@@ -225,7 +256,8 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text",
     E-mail names, bank accounts, dates, network addresses, phone numbers, national numbers and card
     numbers are validated (check digits, ranges, calendar) and permuted within their format under
     `key`: a value has one pseudonym in every document, and the text keeps its length. What does not
-    validate stays. `found_col` receives structs of kind, start and end (None: not returned; a column
+    validate stays; so do phone numbers without country sign or brackets, but for those of three, three
+    and four digits. `found_col` receives structs of kind, start and end (None: not returned; a column
     of that name is replaced). A null text stays null and has none found; repeated rows get equal
     results; an empty table gives no rows; other columns pass through as they are.
     """

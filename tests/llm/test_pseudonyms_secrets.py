@@ -35,6 +35,26 @@ def test_format_and_validity_are_kept(kind):
     assert pseudonymise(text, b"other")[0] != new
 
 
+@pytest.mark.parametrize("kind, value, rest", [
+    ("card", "4111 1111 1111 1111", " 12/26"), ("card", "4111 1111 1111 1111", " 123"),
+    ("card", "4111111111111111", " 12/26"), ("card", "4111-1111-1111-1111", "-123 x"),
+    ("card", "4111 1111 1111 1111", " 1 23"), ("iban", "BE68 5390 0754 7034", " EUR"),
+    ("iban", "BE68 5390 0754 7034", " PLEASE PAY"), ("iban", "BE68539007547034", " 1000 EUR"),
+    ("iban", "GB82 WEST 1234 5698 7654 32", " EUR"), ("phone", "212-555-0187", " x"),
+    ("phone", "1-212-555-0187", ""), ("phone", "212.555.0187", "."), ("phone", "212 555 0187", ", 12")])
+def test_what_follows_a_value_does_not_hide_it(kind, value, rest):
+    text = f"pay {value}{rest}"
+    new, found = pseudonymise(text, KEY)
+    assert found == [(kind, 4, 4 + len(value))]
+    assert new[4:4 + len(value)] != value and new[4 + len(value):] == rest and len(new) == len(text)
+    assert [k for k, _, _ in pseudonymise(new[4:4 + len(value)], KEY)[1]] == [kind]  # still valid
+
+
+def test_usual_card_length_goes_before_a_chance_longer_one():
+    text = next(t for i in range(10) if luhn(re.sub(" ", "", t := f"4111 1111 1111 1111 {i}")))
+    assert pseudonymise(text, KEY)[1] == [("card", 0, 19)]
+
+
 def test_what_is_not_valid_stays():
     for text in ["4155 2795 6545 5124", "2021-02-30", "31/02/2020", "999.1.1.1", "1.2.3", "000-12-3456",
                  "GB82 WEST 1234 5698 7654 33", "a@b", "x" * 5000, "1" * 5000, "@" * 3000, "v1.2.3.4.5", ""]:
