@@ -163,6 +163,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n.n, 0) AS n_hit, coa
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
 
+def resample_documents(spark: SparkSession, sf: str) -> DataFrame:
+    from .resampling import weighted
+    return weighted(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("key")
+
+
+# The checksum is taken byte by byte from a table of 256 remainders, and only once a distinct feature.
+RESAMPLE_SQL = f"""
+WITH RECURSIVE step AS (SELECT b, CAST(b AS BIGINT) AS c, 0 AS i FROM range(256) t(b) UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i + 1 FROM step WHERE i < 8),
+crc AS (SELECT list(c ORDER BY b) AS v FROM step WHERE i = 8),
+d AS (SELECT 0 AS side, doc_id AS id, row_number() OVER () AS no, {_words_sql("text")} AS w FROM documents
+      UNION ALL SELECT 1, NULL, row_number() OVER (), {_words_sql("text")} FROM benchmark),
+f AS (SELECT side, no, w[i] AS g FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM d)
+      UNION ALL SELECT side, no, w[i] || ' ' || w[i + 1] FROM (SELECT *, unnest(range(1, len(w))) AS i FROM d)),
+g AS (SELECT g, hex(encode(g)) AS h FROM (SELECT DISTINCT g FROM f)),
+k AS (SELECT g, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2),
+             lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+             lambda a, x: xor(a // 256, v[xor(a % 256, x) + 1])), 4294967295) % 10000 AS bucket FROM g, crc),
+n AS (SELECT bucket, CAST(count(*) FILTER (WHERE side = 0) AS DOUBLE) AS s,
+             CAST(count(*) FILTER (WHERE side = 1) AS DOUBLE) AS t FROM f JOIN k USING (g) GROUP BY bucket),
+a AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM n),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS gain
+         FROM n, a),
+m AS (SELECT no, count(*) AS n_features, sum(gain) AS total FROM f JOIN k USING (g) JOIN gain USING (bucket)
+      WHERE side = 0 GROUP BY no),
+r AS (SELECT id AS doc_id, len(w) < 20 AS short, coalesce(n_features, 0) AS n_features, coalesce(CAST(
+             (total - ((total % n_features) + n_features) % n_features) // n_features AS BIGINT), 0) AS weight,
+             CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN m USING (no) WHERE side = 0),
+x AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+o AS (SELECT *, row_number() OVER (ORDER BY short, score DESC, doc_id) AS place,
+             25 * count(*) FILTER (WHERE NOT short) OVER () // 100 AS drawn FROM x)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM o"""
+
+
 QUERIES = {
     "op1_preferences": preferences,
     "op2_jaccard": link_near_copies,
@@ -174,9 +209,11 @@ QUERIES = {
     "op8_pack": pack_documents,
     "op9_shard": shard_documents,
     "op10_decontaminate": decontaminate,
+    "op11_resample": resample_documents,
 }
 ORACLES = {
     "op1_preferences": PREFERENCES_SQL,
     "op4_mtree": SEARCH_SQL,
     "op10_decontaminate": DECONTAMINATE_SQL,
+    "op11_resample": RESAMPLE_SQL,
 }
