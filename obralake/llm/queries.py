@@ -198,6 +198,40 @@ o AS (SELECT *, row_number() OVER (ORDER BY short, score DESC, doc_id) AS place,
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM o"""
 
 
+def rate_repetition(spark: SparkSession, sf: str) -> DataFrame:
+    from .repetition import repetition
+    return repetition(table(spark, sf, "documents")).drop("longest_repeat", "repeats")
+
+
+def _twice_sql(name: str, n: int) -> str:
+    """Windows of `n` words that their text holds twice or more: `no`, `i`."""
+    return (f"{name} AS (SELECT no, i FROM (SELECT no, i, count(*) OVER (PARTITION BY no, g) AS c FROM ("
+            f"SELECT no, i, array_to_string(w[i:i + {n - 1}], ' ') AS g FROM (SELECT no, w, "
+            f"unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n}))) WHERE c > 1)")
+
+
+def _inside_sql(windows: str, n: int) -> str:
+    return (f"(SELECT no, count(DISTINCT x) AS n FROM (SELECT no, unnest(range(i, i + {n})) AS x "
+            f"FROM {windows}) GROUP BY no)")
+
+
+# A text has a repeat of n words or more where a window of n words is found twice.
+REPETITION_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(
+             coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+{_twice_sql("three", 3)}, {_twice_sql("ten", 10)}, {_twice_sql("beyond", 101)},
+b AS (SELECT d.*, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+             CAST(len(w) AS BIGINT) AS n_words, coalesce(r.n, 0) AS n_repeat_words, coalesce(c.n, 0) AS n_covered_words,
+             no IN (SELECT no FROM beyond) AS long_repeat
+      FROM d LEFT JOIN {_inside_sql("three", 3)} r USING (no) LEFT JOIN {_inside_sql("ten", 10)} c USING (no)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+  n_covered_words, NOT base_failed AND 100 * n_covered_words <= 30 * n_words AND NOT long_repeat AS kept
+FROM f"""
+
+
 QUERIES = {
     "op1_preferences": preferences,
     "op2_jaccard": link_near_copies,
@@ -210,10 +244,12 @@ QUERIES = {
     "op9_shard": shard_documents,
     "op10_decontaminate": decontaminate,
     "op11_resample": resample_documents,
+    "op12_repetition": rate_repetition,
 }
 ORACLES = {
     "op1_preferences": PREFERENCES_SQL,
     "op4_mtree": SEARCH_SQL,
     "op10_decontaminate": DECONTAMINATE_SQL,
     "op11_resample": RESAMPLE_SQL,
+    "op12_repetition": REPETITION_SQL,
 }
