@@ -218,9 +218,11 @@ def _inside_sql(windows: str, n: int) -> str:
 # A text has a repeat of n words or more where a window of n words is found twice.
 REPETITION_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS no, doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(
-             coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') AS w FROM documents),
+             coalesce(text, ''), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
 {_twice_sql("three", 3)}, {_twice_sql("ten", 10)}, {_twice_sql("beyond", 101)},
-b AS (SELECT d.*, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+b AS (SELECT d.*, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
              CAST(len(w) AS BIGINT) AS n_words, coalesce(r.n, 0) AS n_repeat_words, coalesce(c.n, 0) AS n_covered_words,
              no IN (SELECT no FROM beyond) AS long_repeat
       FROM d LEFT JOIN {_inside_sql("three", 3)} r USING (no) LEFT JOIN {_inside_sql("ten", 10)} c USING (no)),
@@ -232,6 +234,34 @@ SELECT doc_id, n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: lengt
 FROM f"""
 
 
+def cluster_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from .centroids import cluster
+    return cluster(table(spark, sf, "embeddings"))
+
+
+def _cluster_sql(rounds: int = 10) -> str:
+    """One query a round, each over the one before it."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v[i] - p[i]) * (v[i] - p[i])))"
+    nearest = ("(SELECT no, vec_id, v, c, p, d FROM (SELECT *, row_number() OVER (PARTITION BY no ORDER BY d, c) AS r "
+               f"FROM (SELECT no, vec_id, v, c, p, {square} AS d FROM e, {{0}})) WHERE r = 1)")
+    out = ["""WITH e AS MATERIALIZED (SELECT row_number() OVER () AS no, vec_id, list_transform(embedding,
+             lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS p FROM (
+           SELECT sha256('3:' || vec_id) AS h, v FROM e ORDER BY h, v LIMIT 8))"""]
+    for i in range(rounds):
+        near = nearest.format(f"c{i}")
+        out.append(f"""s{i} AS (SELECT c, i, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM (
+           SELECT c, unnest(v) AS x, unnest(range(1, 65)) AS i FROM {near}) GROUP BY c, i),
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.p, o.p) AS p FROM c{i} o LEFT JOIN (SELECT c, list(
+           CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS p FROM s{i} GROUP BY c) m ON m.c = o.c)""")
+    out.append(f"a AS (SELECT *, CAST(d AS BIGINT) AS distance FROM {nearest.format(f'c{rounds}')})")
+    return ",\n".join(out) + """
+SELECT vec_id, CAST(c AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM a"""
+
+
 QUERIES = {
     "op1_preferences": preferences,
     "op2_jaccard": link_near_copies,
@@ -245,6 +275,7 @@ QUERIES = {
     "op10_decontaminate": decontaminate,
     "op11_resample": resample_documents,
     "op12_repetition": rate_repetition,
+    "op13_centroids": cluster_vectors,
 }
 ORACLES = {
     "op1_preferences": PREFERENCES_SQL,
@@ -252,4 +283,5 @@ ORACLES = {
     "op10_decontaminate": DECONTAMINATE_SQL,
     "op11_resample": RESAMPLE_SQL,
     "op12_repetition": REPETITION_SQL,
+    "op13_centroids": _cluster_sql(),
 }
