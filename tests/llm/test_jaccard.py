@@ -10,13 +10,13 @@ from obralake.llm.jaccard import keep_one_of_each, link_documents
 from .common import documents, prose
 
 
-def shingles(text):
+def shingles(text, size=3):
     w = (text or "").encode().lower().split()
-    return {tuple(w[i:i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+    return {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(rows, percent=90):
-    sets = [shingles(t) for _, t in rows]
+def brute(rows, percent=90, size=3):
+    sets = [shingles(t, size) for _, t in rows]
     root, links = list(range(len(rows))), [0] * len(rows)
 
     def find(i):

@@ -65,7 +65,7 @@ def test_dates_are_permuted_among_dates():
     days = [datetime.date(1950, 1, 1) + datetime.timedelta(days=37 * i) for i in range(400)]
     new = {pseudonymise(d.strftime("%d/%m/%Y"), KEY)[0] for d in days}
     assert len(new) == 400
-    assert {pseudonymise(d.isoformat(), KEY)[0] for d in days}.isdisjoint({d.isoformat() for d in days[:1]}) or True
+    assert len({pseudonymise(d.isoformat(), KEY)[0] for d in days}) == 400
     for d in ("3.4.1999", "12/25/2020", "1/1/2001"):
         assert pseudonymise(d, KEY)[1][0][0] == "date"
 
