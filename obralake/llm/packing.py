@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,20 +22,42 @@ KEPT_WORDS = 150_000
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+def _letters() -> dict[str, int]:
+    """Byte of each character that stands for one in a byte-level vocabulary: printable bytes stand for
+    themselves, the others are numbered from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks of byte strings and ids of special tokens of a byte-level BPE file (JSON)."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    special = {t["content"]: t["id"] for t in data["added_tokens"]}
+    byte = _letters()
+    vocabulary = data["model"]["vocab"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in data["model"]["merges"]]
+    numbers = [vocabulary[m] for m in merged]
+    if numbers != sorted(numbers) or any(t[k] for t in data["added_tokens"] for k in (
+            "lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{path}: ids must follow the merges, and special tokens stand as they are")
+    return {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in special}, special
+
+
 class WordEncoder(dict):
     """Byte-level BPE ids as little-endian uint32 bytes, encoded word by word.
 
     The pattern never matches across the border between a non-space and a space, so a text without
-    two spaces in a row splits at its spaces; other texts are encoded whole. Strings of special
-    tokens are ordinary text. `path` is a file of ranks (base64 token and id a line).
+    two spaces in a row splits at its spaces; other texts, and those with the string of a special
+    token, are encoded whole. `path` is a tokenizer's JSON file.
     """
 
     def __init__(self, path: str):
         super().__init__()
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        ranks, self.special = read_vocabulary(path)
         self.encoder = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks,
-                                         special_tokens={})
+                                         special_tokens=self.special)
 
     def ids(self, text: str) -> bytes:
         return np.array(self.encoder.encode_ordinary(text), "<u4").tobytes()
@@ -47,6 +69,8 @@ class WordEncoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return np.array(self.encoder.encode(text, allowed_special="all"), "<u4").tobytes()
         if "  " in text:
             return self.ids(text)
         first, *rest = text.split(" ")

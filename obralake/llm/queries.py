@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import string
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +14,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-#: Folder of the public tokenizers' files; every executor has it.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file; every executor has it."""
+    return public_tokenizers.path(name)
 
 
 def pack_documents(spark: SparkSession, sf: str) -> DataFrame:
     from .packing import pack
-    return pieces(pack(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
+    return pieces(pack(table(spark, sf, "documents"), vocabulary_file()))
 
 
 def pieces(packed: DataFrame) -> DataFrame:

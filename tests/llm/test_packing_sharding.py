@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -6,12 +7,12 @@ import pytest
 from tokenizers import Tokenizer
 
 from obralake.llm.differencing import deal, difference
-from obralake.llm.packing import pack, windows
+from obralake.llm.packing import WordEncoder, pack, windows
 from obralake.llm.sharding import shard
 
 from .common import crc, documents, prose
 
-RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["", " ", "  ", "a  b", "x \n\n y", "\n a", "a ", "é ü  z", "don't <|endoftext|> we'll", "ab   c"]
 
 
@@ -37,10 +38,19 @@ def test_windows_never_overflow():
     assert np.bincount(lane, lengths).max() <= 2048
 
 
+def test_ids_are_those_of_the_tokenizer():
+    real, encoder = Tokenizer.from_file(VOCABULARY), WordEncoder(VOCABULARY)
+    rng = random.Random(2)
+    bits = [" ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\u2028", "<|endoftext|>", "<|endof", "a", "Zoë", "12",
+            "3.5", "'s", "'re", "’", "日本", "😀", "e\u0301", "\x00", "\x1c", "...", "$", "_", "I'll", "ß"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == real.encode(text, add_special_tokens=False).ids, text
+
+
 def test_every_id_is_in_one_piece(spark):
-    got = pack(documents(spark, rows()).repartition(3), RANKS, block=64).collect()
-    real = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    real.encode_special_tokens = True
+    got = pack(documents(spark, rows()).repartition(3), VOCABULARY, block=64).collect()
+    real = Tokenizer.from_file(VOCABULARY)
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in got:
         by_doc[r.doc_id].append(r)
@@ -100,5 +110,5 @@ def test_shards_of_many_blocks(spark, monkeypatch, blocks):
 
 def test_empty_tables(spark):
     none = documents(spark, [])
-    assert pack(none, RANKS).collect() == []
+    assert pack(none, VOCABULARY).collect() == []
     assert shard(none, 4).collect() == []

@@ -76,7 +76,7 @@ def test_texts_are_pseudonymised_and_packed(spark, stages):
     before, after = rows(stages["decontamination"]), rows(stages["pseudonyms"])
     key = queries.PSEUDONYM_KEY.encode()
     assert {i: r.text for i, r in after.items()} == {i: pseudonymise(r.text, key)[0] for i, r in before.items()}
-    encoder = WordEncoder(f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken")
+    encoder = WordEncoder(queries.vocabulary_file())
     ids = {i: encoder.encode(r.text) + np.array([1], "<u4").tobytes() for i, r in after.items()}
     pieces = stages["packing"].collect()
     for r in pieces:
