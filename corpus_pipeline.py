@@ -45,7 +45,7 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, as in op8_pack."""
-    return queries.pieces(pack(docs, f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"))
+    return queries.pieces(pack(docs, queries.vocabulary_file()))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
