@@ -315,7 +315,7 @@ def preselect(items: DataFrame, vectors: DataFrame, k: int = CANDIDATES,
 def to_grid(score: Column) -> Column:
     """Half-up to SCORE_DIGITS, spelled out so that every engine lands on the same side."""
     scale = float(10 ** SCORE_DIGITS)
-    return F.floor(score * scale + 0.5).cast("double") / scale
+    return F.floor(score * scale + 0.50001).cast("double") / scale
 
 
 def effective_weights(present: Sequence[str], weights: dict[str, float] | None = None) -> dict[str, float]:
@@ -358,7 +358,7 @@ def features(pairs: DataFrame, vectors: DataFrame, present: Sequence[str] = ("tf
     joined = pairs.join(item_features(vectors), "iid").join(text_features(vectors), "sid")
     hit = R.hit_ratio(F.col("asked"), F.col("offered"), F.col("ranges"))
     known = joined.select(
-        "*", base_score(present).alias("base"), hit.alias("hit"),
+        "*", to_grid(base_score(present)).alias("base"), hit.alias("hit"),
         R.containment(F.col("words"), F.col("word_weights"), F.col("item_tokens")).alias("cont"),
         R.type_adjustment(F.col("sn"), F.col("cn")).alias("ajuste"),
         R.head_word_ok(F.col("words"), F.col("item_tokens")).alias("head_ok"))

@@ -116,6 +116,9 @@ def linkage_v1(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("medidas_batem", 6).alias("medidas_batem"))
 
 
+SIGNAL_VALUES = ("tf", "emb", "lex", "base", "score")
+
+
 def linkage_three_signals(spark: SparkSession, sf: str) -> DataFrame:
     """All three signals, for all parts; a part has the vector of its key modulo their number."""
     vectors = table(spark, sf, "embeddings").select("vec_id", V.unit(F.col("embedding")).alias("vetor"))
@@ -127,10 +130,8 @@ def linkage_three_signals(spark: SparkSession, sf: str) -> DataFrame:
     items = with_vector(X.items(spark, sf), "item_key")
     skus = with_vector(X.products(spark, sf), "sku_key")
     # Of nine digits, and just above a half: no engine rounds it the other way.
-    base = F.floor(F.round("base", 9) * 1e6 + 0.50001) / 1e6
-    return plan.link_signals(items, skus).select(
-        "sku_key", "item_key", *[F.round(c, 6).alias(c) for c in ("tf", "emb", "lex", "score")],
-        base.alias("base"))
+    return plan.link_signals(items, skus).select("sku_key", "item_key", *[
+        (F.floor(F.round(c, 9) * 1e6 + 0.50001) / 1e6).alias(c) for c in SIGNAL_VALUES])
 
 
 def weighted_containment(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,7 +226,7 @@ def measures_sql(x: str) -> str:
 
 
 def grid_sql(x: str) -> str:
-    return f"floor(({x}) * 1e9::DOUBLE + 0.5::DOUBLE) / 1e9::DOUBLE"
+    return f"floor(({x}) * 1e9::DOUBLE + 0.50001::DOUBLE) / 1e9::DOUBLE"
 
 
 LINK_SQL = f"{X.PRODUCT_SQL}, {tfidf_stages('item', 'sku')}"
@@ -285,7 +286,7 @@ sv AS (SELECT n, e FROM (SELECT n, arg_min(sku_key, sku_key) AS k FROM sku GROUP
 pr AS (SELECT s.n AS sn, i.n AS cn, round(least(1, greatest(0, list_dot_product(s.e, i.e))), 9) AS emb FROM sv s, iv i),
 {lex_stages("pr", "sn", "cn")},
 bs AS (SELECT sn, cn, coalesce(tf, 0) AS tf, emb, lex,
-         round(0.35::DOUBLE * coalesce(tf, 0) + 0.45::DOUBLE * emb + 0.2::DOUBLE * lex, 9) AS base
+         {grid_sql("0.35::DOUBLE * coalesce(tf, 0) + 0.45::DOUBLE * emb + 0.2::DOUBLE * lex")} AS base
        FROM lx LEFT JOIN dot USING (sn, cn)),
 pre AS (SELECT sku_key, p.* FROM sku JOIN (SELECT sn, item_key, cn, tf, emb, lex, base FROM bs JOIN item ON cn = item.n
   QUALIFY row_number() OVER (PARTITION BY sn ORDER BY base DESC, item_key DESC) <= 40) p ON sku.n = p.sn)"""
@@ -297,11 +298,11 @@ cf AS (SELECT DISTINCT cn, {X.tokens_sql('cn')} AS toks, {X.numbers_sql('cn')} A
 sig AS (SELECT pre.*, {cont_sql('words', 'toks')} AS cont, {X.hit_sql('asked', 'offered')} AS hit,
   {X.adjustment_sql('sn', 'cn')} AS ajuste,
   words[1] IS NULL OR list_contains(toks[1:3], words[1]) AS head_ok
-  FROM pre JOIN sf USING (sn) JOIN cf USING (cn), {IDF_MAP})
-SELECT sku_key, item_key, round(tf, 6) AS tf, round(emb, 6) AS emb, round(lex, 6) AS lex,
-  floor(base * 1e6::DOUBLE + 0.50001::DOUBLE) / 1e6::DOUBLE AS base,
-  round({grid_sql(f"{measures_sql('(0.8::DOUBLE * base + 0.2::DOUBLE * cont)')} * ajuste * CASE WHEN head_ok THEN 1::DOUBLE ELSE 0.85::DOUBLE END")}, 6) AS score
-FROM sig""",
+  FROM pre JOIN sf USING (sn) JOIN cf USING (cn), {IDF_MAP}),
+val AS (SELECT *,
+  {grid_sql(f"{measures_sql('(0.8::DOUBLE * base + 0.2::DOUBLE * cont)')} * ajuste * CASE WHEN head_ok THEN 1::DOUBLE ELSE 0.85::DOUBLE END")} AS score FROM sig)
+SELECT sku_key, item_key, {", ".join(f"floor(round({c}, 9) * 1e6::DOUBLE + 0.50001::DOUBLE) / 1e6::DOUBLE AS {c}" for c in SIGNAL_VALUES)}
+FROM val""",
     "tfidf_weights": f"""WITH {LINK_SQL}
 SELECT side, n, term, round(w, 6) AS w, round(idf, 6) AS idf FROM w""",
     "tfidf_documents": f"""WITH {DOCS_TFIDF}

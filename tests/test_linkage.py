@@ -127,6 +127,36 @@ def test_few_pairs_are_aligned(spark):
     assert found.agg(F.sum("aligned")).first()[0] < 0.1 * len(items) * len(skus)
 
 
+def test_small_cells_leave_items_out_and_lose_nothing(spark):
+    """Vectors of the texts' words: cells that cannot hold one of the best are not visited."""
+    items, skus = sorted(set(names(500, 3))), sorted(set(names(60, 4)))
+    rng = np.random.default_rng(6)
+    at = {w: rng.normal(size=6) for n in items + skus for w in n.split()}
+    vector = lambda n: (v := sum(at[w] for w in n.split())) / np.linalg.norm(v)
+    frame = lambda key, texts: spark.createDataFrame(
+        [(k, n, vector(n).tolist() if k % 17 else None) for k, n in enumerate(texts)],
+        f"{key} bigint, n string, vetor array<double>")
+    i, s = frame("item_key", items), frame("sku_key", skus)
+    vectors = L.store(L.tfidf_vectors(i, s), "vectors")
+    sides = plan._text_vectors(s, "sku_key", "sid", "vetor"), plan._text_vectors(i, "item_key", "iid", "vetor")
+    def topk(cell, crowd):
+        found = signals.signal_topk(vectors, *sides, 5, L.effective_weights(("tf", "emb", "lex")), "vetor", cell, crowd)
+        return sorted((bytes(r.sid), bytes(r.iid), r.tf, r.emb, r.lex, r.base) for r in found.collect())
+
+    want = topk(100_000, 1000)
+    assert len(want) == 5 * len(skus) and topk(8, 4) == topk(30, 1000) == want
+
+
+def test_length_bound_is_no_less_than_the_similarity(spark):
+    texts = sorted(set(names(40, 8))) + ["", "A", "A B", "PECA", "PECA CABO"]
+    rows = [(a, b, token_set(a, b)) for a in texts for b in texts]
+    words = lambda t: sorted(set(t.split()))
+    df = spark.createDataFrame([(len(" ".join(words(a))), len(" ".join(words(b))), len(" ".join(
+        set(words(a)) & set(words(b)))), x) for a, b, x in rows], "own int, other int, shared int, x double")
+    bound = signals._letters_bound(F.col("own"), F.col("other"), F.col("other"), F.col("shared"))
+    assert df.filter((bound < F.col("x") - 1e-12) | (bound > 1)).count() == 0
+
+
 def test_three_signals_of_empty_tables(spark):
     i = spark.createDataFrame([(1, None, None), (2, "PECA", [1.0, 0.0])], "item_key bigint, n string, vetor array<double>")
     s = spark.createDataFrame([(1, "PECA", None), (2, None, [1.0, 0.0])], "sku_key bigint, n string, vetor array<double>")
@@ -158,7 +188,7 @@ def test_three_signals_are_exact(spark):
     tf, emb = cosines(items, skus), np.round(np.clip(vs @ vi.T, 0, 1), 9)
     for row, sku in enumerate(skus):
         lex = np.array([token_set(sku, n) for n in items])
-        base = np.round(0.35 * tf[row] + 0.45 * emb[row] + 0.2 * lex, 9)
+        base = np.floor((0.35 * tf[row] + 0.45 * emb[row] + 0.2 * lex) * 1e9 + 0.50001) / 1e9
         assert [j for _, j in sorted(got[row], reverse=True)] == ranked(base, 10), sku
 
 
