@@ -1,11 +1,18 @@
-"""The searches that the description columns serve."""
+"""The searches that the description columns serve: one phrase by a scan, tables of phrases by joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import store
+
+#: Texts of a token or trigram that share a join key.
+SPREAD = 50_000
+SLACK = 1e-9
 
 
 def token_search(df: DataFrame, query: str, tokens: str = "descricao_fts") -> DataFrame:
@@ -27,3 +34,109 @@ def trigram_search(df: DataFrame, phrase: str, text: str = "descricao_norm",
     asked = T.trigrams(T.unaccent(F.lower(F.lit(phrase))))
     return df.withColumn("semelhanca", trigram_similarity(mine, asked)).filter(
         F.col("semelhanca") >= threshold)
+
+
+def _spread(asked: DataFrame, offered: DataFrame, token: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a `part`: the texts of a frequent token are dealt to several keys."""
+    hot = offered.groupBy(token).agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("parts")).filter("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    return (asked.join(hot, token, "left").withColumn("part", F.explode(F.sequence(
+                F.lit(0), parts - 1))).drop("parts"),
+            offered.join(hot, token, "left").withColumn("part", F.pmod(
+                F.xxhash64("text_id"), parts).cast("int")).drop("parts"))
+
+
+def _texts(df: DataFrame, text: str, by: Sequence[str], split) -> DataFrame:
+    """Each text once for each value of `by`, with a digest, its distinct `parts` and their number."""
+    folded = T.unaccent(F.lower(F.col(text)))
+    key = F.unhex(F.md5(F.to_json(F.struct(*by, folded.alias("_t")))))
+    return df.select(*by, folded.alias("_t"), key.alias("text_id")).filter(
+        F.col("_t").isNotNull()).dropDuplicates(["text_id"]).select(
+        *by, "text_id", split(F.col("_t")).alias("parts")).withColumn("n", F.size("parts")).filter("n > 0")
+
+
+def _keyed(df: DataFrame, text: str, by: Sequence[str], key: str) -> DataFrame:
+    folded = T.unaccent(F.lower(F.col(text)))
+    return df.filter(F.col(text).isNotNull()).select(
+        key, F.unhex(F.md5(F.to_json(F.struct(*by, folded.alias("_t"))))).alias("text_id"))
+
+
+def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key: str,
+                 phrase: str = "frase", text: str = "descricao", by: Sequence[str] = (),
+                 threshold: float = 0.3) -> DataFrame:
+    """Pairs of a phrase and an item whose texts resemble each other: both keys and `semelhanca`.
+
+    Similarity is that of the trigram sets, as in `trigram_search`; `by` columns must be equal. Trigrams
+    are ordered by rarity, and two texts as similar as asked have one in common in their prefixes. A
+    pair that meets there is kept only while its lengths and the places of the last common trigram leave
+    room for enough of them; what is left is compared whole. Equal texts are compared once. Texts that
+    are null or have no letter or digit match nothing; repeated keys give a row each.
+    """
+    left = store(_texts(phrases, phrase, by, T.trigrams).withColumn("side", F.lit(1)), "phrases")
+    right = store(_texts(items, text, by, T.trigrams).withColumn("side", F.lit(0)), "texts")
+    every = left.unionByName(right).select("side", *by, "text_id", "n", F.explode("parts").alias("gram"))
+    often = store(every.groupBy("gram").agg(F.count("*").alias("often")), "grams")
+    ordered = every.join(often, "gram").groupBy("side", *by, "text_id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("often", "gram"))).alias("grams"))
+    least = F.ceil(F.col("n") * threshold - SLACK)
+    prefixes = store(ordered.select("side", *by, "text_id", "n", F.posexplode(
+        F.slice("grams", 1, (F.col("n") - least + 1).cast("int"))).alias("place", "g")).select(
+        "side", *by, "text_id", "n", "place", "g.gram"), "prefixes")
+    asked, offered = _spread(prefixes.filter("side = 1").drop("side"),
+                             prefixes.filter("side = 0").drop("side"), "gram")
+    asked = asked.withColumnsRenamed({"text_id": "phrase_id", "n": "a", "place": "i"})
+    offered = offered.withColumnsRenamed({"n": "b", "place": "j"})
+    need = F.ceil((F.col("a") + F.col("b")) * threshold / (1 + threshold) - SLACK)
+    met = asked.join(offered, [*by, "gram", "part"]).filter(
+        (F.least("a", "b") >= threshold * F.greatest("a", "b") - SLACK)).groupBy("phrase_id", "text_id").agg(
+        F.count("*").alias("common"), F.max("i").alias("i"), F.max("j").alias("j"),
+        F.first("a").alias("a"), F.first("b").alias("b"))
+    room = F.col("common") + F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) - 1
+    pairs = met.filter(room >= need).select("phrase_id", "text_id")
+    alike = trigram_similarity(F.col("asked"), F.col("parts"))
+    found = pairs.join(left.select(F.col("text_id").alias("phrase_id"), F.col("parts").alias("asked")), "phrase_id").join(
+        right.select("text_id", "parts"), "text_id").select(
+        "phrase_id", "text_id", alike.alias("semelhanca")).filter(F.col("semelhanca") >= threshold)
+    return store(found, "alike").join(
+        _keyed(phrases, phrase, by, phrase_key).withColumnRenamed("text_id", "phrase_id"), "phrase_id").join(
+        _keyed(items, text, by, item_key), "text_id").select(phrase_key, item_key, "semelhanca")
+
+
+def token_search_join(queries: DataFrame, docs: DataFrame, query_key: str, doc_key: str, k: int = 10,
+                      query: str = "consulta", text: str = "descricao", by: Sequence[str] = ()) -> DataFrame:
+    """The `k` best texts that hold every token of each query: both keys, `peso` and `posto`.
+
+    `peso` is the share of a text's distinct tokens that the query asks for; ties go to the smaller key.
+    Texts are found by the query's rarest token, and the others are looked up by text and token. Equal
+    texts are searched once. A query without tokens, or with one that no text holds, finds nothing.
+    """
+    asked = store(_texts(queries, query, by, T.search_tokens), "queries")
+    offered = store(_texts(docs, text, by, T.search_tokens), "texts")
+    postings = store(offered.select(*by, "text_id", "n", F.explode("parts").alias("token")), "postings")
+    often = store(postings.groupBy(*by, "token").agg(F.count("*").alias("often")), "tokens")
+    wanted = asked.select(*by, F.col("text_id").alias("query_id"), F.col("n").alias("many"),
+                          F.explode("parts").alias("token")).join(often, [*by, "token"])
+    plans = wanted.groupBy(*by, "query_id", "many").agg(
+        F.sort_array(F.collect_list(F.struct("often", "token"))).alias("tokens")).filter(
+        F.size("tokens") == F.col("many"))
+    plans = store(plans.select(*by, "query_id", "many", F.col("tokens")[0]["token"].alias("token"), F.transform(
+        F.slice("tokens", 2, F.greatest(F.size("tokens"), F.lit(1))), lambda t: t["token"]).alias("others")), "plans")
+    rare, lists = _spread(plans, postings, "token")
+    first = rare.join(lists, [*by, "token", "part"]).filter(F.col("n") >= F.col("many")).select(
+        "query_id", "text_id", "many", "n", "others")
+    alone = first.filter(F.size("others") == 0).select("query_id", "text_id", "many", "n")
+    checked = first.filter(F.size("others") > 0).select(
+        "query_id", "text_id", "many", "n", F.explode("others").alias("token")).join(
+        postings.select("text_id", "token"), ["text_id", "token"]).groupBy(
+        "query_id", "text_id", "many", "n").count().filter(F.col("count") == F.col("many") - 1).drop("count")
+    found = store(alone.unionByName(checked).select(
+        "query_id", "text_id", (F.col("many") / F.col("n")).alias("peso")), "found")
+    # Of equal texts only the k smallest keys can be among the best; then the best of each query text.
+    first_keys = Window.partitionBy("text_id").orderBy(doc_key)
+    keyed = _keyed(docs, text, by, doc_key).withColumn("c", F.row_number().over(first_keys)).filter(
+        F.col("c") <= k).drop("c")
+    best = Window.partitionBy("query_id").orderBy(F.desc("peso"), doc_key)
+    top = found.join(keyed, "text_id").withColumn("posto", F.row_number().over(best)).filter(
+        F.col("posto") <= k).select("query_id", doc_key, "peso", "posto")
+    return top.join(_keyed(queries, query, by, query_key).withColumnRenamed("text_id", "query_id"), "query_id").select(
+        query_key, doc_key, "peso", "posto")

@@ -113,10 +113,28 @@ def trigram_search(spark: SparkSession, sf: str) -> DataFrame:
         "item_key", F.round("semelhanca", 6).alias("semelhanca"))
 
 
+def trigram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Product texts of all parts against item descriptions of the same brand."""
+    brand = table(spark, sf, "part").select("p_partkey", "p_brand")
+    phrases = X.raw_products(spark, sf).join(brand, F.col("sku_key") == F.col("p_partkey"))
+    items = X.raw_items(spark, sf).withColumn("p_brand", F.col("unidade"))
+    return search.trigram_join(phrases, items, "sku_key", "item_key", "produto", by=["p_brand"]).select(
+        "sku_key", "item_key", F.round("semelhanca", 6).alias("semelhanca"))
+
+
+def token_search_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second to fourth word of the benchmark's items as a query against all documents."""
+    words = F.slice(F.split("text", " "), 2, 3)
+    queries = table(spark, sf, "benchmark").select("item_id", F.array_join(words, " ").alias("consulta"))
+    return search.token_search_join(queries, table(spark, sf, "documents"), "item_id", "doc_id", 10,
+                                    text="text").select(
+        "item_id", "doc_id", F.round("peso", 9).alias("peso"), "posto")
+
+
 QUERIES = {f.__name__: f for f in (
     normalize_text, normalize_text_v1, normalize_products, tokenize, strip_codes, extract_measures,
     plate_standardize, attribute_extract, measure_hit, type_rules, head_word_rule, token_set_ratio,
-    search_columns, token_search, trigram_search)}
+    search_columns, token_search, trigram_search, trigram_join, token_search_join)}
 
 DOCS_SQL = X.norm_stages("documents", "doc", "text")
 PAIRS_SQL = f"""{X.PRODUCT_SQL},
@@ -203,4 +221,17 @@ g AS (SELECT item_key, {GRAMS.format('d')} AS g FROM i),
 q AS (SELECT {GRAMS.format("'disjuntor tripolar 20 a blue gear'")} AS q),
 s AS (SELECT item_key, len(list_intersect(g, q))::DOUBLE / len(list_distinct(g || q)) AS semelhanca FROM g, q)
 SELECT item_key, round(semelhanca, 6) AS semelhanca FROM s WHERE semelhanca >= 0.3""",
+    "trigram_join": f"""
+WITH i AS (SELECT p_partkey AS item_key, p_brand, strip_accents(lower({X.case(X.ITEM_FORMS)})) AS d FROM part),
+s AS (SELECT p_partkey AS sku_key, p_brand, strip_accents(lower({X.case(X.SKU_FORMS)})) AS d FROM part),
+ig AS (SELECT item_key, p_brand, {GRAMS.format('d')} AS g FROM i),
+sg AS (SELECT sku_key, p_brand, {GRAMS.format('d')} AS q FROM s),
+p AS (SELECT sku_key, item_key, len(q) AS a, len(g) AS b, len(list_intersect(g, q)) AS c FROM sg JOIN ig USING (p_brand))
+SELECT sku_key, item_key, round(c::DOUBLE / (a + b - c), 6) AS semelhanca FROM p WHERE c::DOUBLE / (a + b - c) >= 0.3""",
+    "token_search_join": f"""
+WITH t AS (SELECT doc_id, {FTS.format('strip_accents(lower(text))')} AS t FROM documents),
+q AS (SELECT item_id, {FTS.format("strip_accents(lower(array_to_string(string_split(text, ' ')[2:4], ' ')))")} AS q FROM benchmark),
+f AS (SELECT item_id, doc_id, round(len(q)::DOUBLE / len(t), 9) AS peso, row_number() OVER (
+  PARTITION BY item_id ORDER BY len(q)::DOUBLE / len(t) DESC, doc_id) AS posto FROM q JOIN t ON len(q) > 0 AND list_has_all(t, q))
+SELECT item_id, doc_id, peso, posto::INT AS posto FROM f WHERE posto <= 10""",
 }
