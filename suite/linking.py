@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obralake.functions import rules as R
 from obralake.functions import text as T
 from obralake.functions import vectors as V
+from obralake.operators import calibration as C
 from obralake.operators import linkage as L
 from obralake.operators.neighbours import vector_topk
 from obralake.plans import linkage as plan
@@ -177,8 +178,21 @@ def linkage_threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return L.evaluate(_gold(spark, sf), [0.4, 0.5, 0.6, 0.75])
 
 
+def calibration_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """The linkage's first choices under all three labels: of ten parts six have their own item as
+    gold, one has another one, two have none and one only a relative."""
+    found = _linked(spark, sf)
+    digit = F.pmod("sku_key", F.lit(10))
+    label = F.when(digit < 7, "par").when(digit < 9, "sem_par").otherwise("familia")
+    gold = F.when(digit < 6, F.col("sku_key")).when(digit < 7, F.col("sku_key") + 1)
+    return C.calibration_curve(found.select(
+        label.alias("rotulo"), gold.alias("gold_codigo"), F.col("item_codigo").alias("top1"), "score")).select(
+        "limite", "total", "certos", "outros", "familias", "nenhuns",
+        *[F.round(c, 9).alias(c) for c in ("precisao", "alcance", "f1")])
+
+
 QUERIES = {f.__name__: f for f in (
-    tfidf_weights, tfidf_documents, tfidf_cosine_topk, linkage_blocking, linkage_preselect,
+    calibration_curve, tfidf_weights, tfidf_documents, tfidf_cosine_topk, linkage_blocking, linkage_preselect,
     linkage_features, linkage_scores, linkage_topk, linkage_margin, tier_distribution, linkage_v1,
     linkage_three_signals, weighted_containment, embedding_topk, regime_pivot, linkage_eval,
     linkage_threshold_sweep)}
@@ -292,6 +306,18 @@ pre AS (SELECT sku_key, p.* FROM sku JOIN (SELECT sn, item_key, cn, tf, emb, lex
   QUALIFY row_number() OVER (PARTITION BY sn ORDER BY base DESC, item_key DESC) <= 40) p ON sku.n = p.sn)"""
 
 ORACLES = {
+    "calibration_curve": f"""WITH {FEAT_SQL},
+g AS (SELECT s1 AS limite, sku_key % 10 AS d, CASE WHEN nivel <> 'sem_par' THEN k1 END AS top1, sku_key FROM res),
+o AS (SELECT limite, CASE WHEN d < 6 AND coalesce(sku_key = top1, false) OR d = 6 AND coalesce(sku_key + 1 = top1, false)
+  THEN 'certo' WHEN d < 7 THEN 'outro' WHEN d < 9 THEN 'nenhum' ELSE 'familia' END AS o, d FROM g),
+n AS (SELECT count(*) FILTER (d < 7) AS pares FROM o),
+l AS (SELECT limite, count(*) FILTER (o = 'certo') AS a, count(*) FILTER (o = 'outro') AS b,
+  count(*) FILTER (o = 'familia') AS c, count(*) FILTER (o = 'nenhum') AS e FROM o WHERE limite IS NOT NULL GROUP BY limite),
+s AS (SELECT limite, CAST(sum(a) OVER w AS BIGINT) AS certos, CAST(sum(b) OVER w AS BIGINT) AS outros,
+  CAST(sum(c) OVER w AS BIGINT) AS familias, CAST(sum(e) OVER w AS BIGINT) AS nenhuns FROM l WINDOW w AS (ORDER BY limite DESC)),
+t AS (SELECT *, certos + outros + familias + nenhuns AS total FROM s)
+SELECT limite, total, certos, outros, familias, nenhuns, round(certos / total, 9) AS precisao,
+  round(certos / pares, 9) AS alcance, round(2 * certos / (total + pares), 9) AS f1 FROM t, n""",
     "linkage_three_signals": f"""WITH {LINK_SQL}, {DOT_SQL}, {SIGNALS_SQL},
 sf AS (SELECT DISTINCT sn, {X.words_sql(X.tokens_sql('sn'))} AS words, {X.asked_sql('sn')} AS asked FROM pre),
 cf AS (SELECT DISTINCT cn, {X.tokens_sql('cn')} AS toks, {X.numbers_sql('cn')} AS offered FROM pre),
