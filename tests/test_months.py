@@ -1,7 +1,9 @@
 """A month from archive to relational tables, repeats, removal and arrivals."""
 
 import os
+import warnings
 import zipfile
+import zlib
 from io import BytesIO as io_bytes
 
 from obralake.operators import picks
@@ -175,3 +177,37 @@ def test_latest_reference(spark):
     old = manifest.filter("referencia = '2024-12'")
     assert io.latest_reference(old, "2025-12-15").first()[0] is None
     assert io.pending(manifest, old).count() == 4
+
+
+def test_members_of_one_name_in_two_folders(spark, tmp_path):
+    book = lambda text: pack_workbook({"ISD": [[text]], "Capa": [["c"]]})
+    out = io_bytes()
+    with zipfile.ZipFile(out, "w") as z, warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for name, content in (("a/X.xlsx", book("um")), ("b/X.xlsx", book("dois")), ("c/", b""), ("b/X.xlsx", book("três")),
+                              ("d/Y.xlsx", b"no workbook"), ("leia.txt", b"x"), ("a/Referência.xlsx", book("main"))):
+            z.writestr(name, content)
+    (tmp_path / "A-2025-12.zip").write_bytes(out.getvalue())
+    (tmp_path / "B-2025-12.zip").write_bytes(b"PK broken")
+    (tmp_path / "C.xlsx").write_bytes(book("só"))
+    files = W.read_files(spark, str(tmp_path))
+    name = lambda p: os.path.basename(p)
+    listed = sorted((name(r.path), r.member or "", (r.problem or "").split(":")[0]) for r in W.members(files).collect())
+    assert listed == [("A-2025-12.zip", "a/Referência.xlsx", ""), ("A-2025-12.zip", "a/X.xlsx", ""),
+                      ("A-2025-12.zip", "b/X.xlsx", ""), ("A-2025-12.zip", "b/X.xlsx", "repeated name"),
+                      ("A-2025-12.zip", "d/Y.xlsx", ""), ("A-2025-12.zip", "leia.txt", ""),
+                      ("B-2025-12.zip", "", "BadZipFile"), ("C.xlsx", "C.xlsx", "")]
+    first = next(r for r in W.members(files).collect() if r.member == "leia.txt")
+    assert (first.bytes, first.crc32) == (1, zlib.crc32(b"x"))
+    want = {("A-2025-12.zip", "a/X.xlsx", "um"), ("A-2025-12.zip", "b/X.xlsx", "três"), ("C.xlsx", "C.xlsx", "só"),
+            ("A-2025-12.zip", "a/Referência.xlsx", "main")}
+    for parsed in (W.parse(files, ["ISD"]), W.member_cells(W.unpack(files), ["ISD"])):
+        rows = parsed.collect()
+        cells = {(name(r.path), r.file, r.value) for r in rows if r.problem is None}
+        problems = {(name(r.path), r.file, r.problem.split(":")[0]) for r in rows if r.problem}
+        assert ("A-2025-12.zip", "b/X.xlsx", "repeated name") in problems
+        assert ("B-2025-12.zip", None, "BadZipFile") in problems
+        assert any("d/Y.xlsx" in (f or "") and p == "BadZipFile" for _, f, p in problems)
+        assert cells == want  # a broken member does not stop the ones after it
+    main = W.cells(files, ["ISD"], main_only=True).collect()
+    assert [(r.file, r.value) for r in main] == [("a/Referência.xlsx", "main")]
