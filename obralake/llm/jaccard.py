@@ -12,14 +12,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import store
+from ..session import drop_stored, store
 from .components import components
+from .keys import row_key
 from .tasks import release, vocabulary
 
 #: Shingles counted by one task, documents whose answers one task gathers, words a worker keeps.
 BUCKET, BLOCK, KEPT_WORDS = 500_000, 256, 150_000
 #: Elements of an enumerated subset; members compared by one task with as many others.
 SUBSET, UNIT = 2, 512
+#: Most bits of the filter of sets that may have a link.
+FILTER_BITS = 1 << 26
 
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -51,10 +54,16 @@ def required(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-sizes * percent // 100)
 
 
-def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document, and for each block of documents the shingles that occur elsewhere too."""
-    id_type = docs.schema[id_col].dataType.simpleString()
+def _digest(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
+
+def _shipped(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col: str, choose) -> DataFrame:
+    """One row per document (`no` and what follows), and one for each block of documents and bucket with
+    the elements that `choose(set, digest)` says, packed: `own` (place in the block) and `hashes`.
+
+    `choose` gives None for a document that has no part in it, not even a row. Ids travel as text.
+    """
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = vocabulary("shingle words", _Words)
         no = TaskContext.get().partitionId() << 32
@@ -62,15 +71,19 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
             for at in range(0, len(pdf), BLOCK):
                 part = pdf.iloc[at:at + BLOCK]
                 sets = [shingle_set(t, shingle, words) for t in part[text_col]]
-                sizes = np.array([len(s) for s in sets])
-                nos = no + np.arange(len(sets))
+                digests = [_digest(s) for s in sets]
+                chosen = [choose(s, d) for s, d in zip(sets, digests)]
+                taken = [i for i, c in enumerate(chosen) if c is not None]
                 block, no = no, no + len(sets)
+                if not taken:
+                    continue
+                nos = block + np.array(taken)
                 yield pd.DataFrame({
-                    "bucket": nos % buckets, "block": block, "no": nos, "id": part[id_col].to_numpy(),
-                    "n": sizes, "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                                           for s in sets]})
-                every = np.concatenate(sets)
-                own = np.repeat(np.arange(len(sets), dtype=np.uint8), sizes)  # BLOCK is at most 256
+                    "bucket": nos % buckets, "block": block, "no": nos,
+                    "id": part[id_col].to_numpy()[taken], "n": [len(sets[i]) for i in taken],
+                    "digest": [digests[i] for i in taken]})
+                every = np.concatenate([chosen[i] for i in taken])
+                own = np.repeat(np.array(taken, np.uint8), [len(chosen[i]) for i in taken])  # BLOCK is at most 256
                 bucket = (every >> np.uint64(20)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 every, own, bucket = every[order], own[order], bucket[order]
@@ -81,22 +94,83 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
                     "own": [own[a:b].tobytes() for a, b in cuts],
                     "hashes": [every[a:b].tobytes() for a, b in cuts]})
 
-    schema = (f"bucket long, block long, no long, id {id_type}, n long, digest binary, own binary, "
-              "hashes binary")
-
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in read(batches):
-            yield pdf.reindex(columns=["bucket", "block", "no", "id", "n", "digest", "own", "hashes"])
+            pdf = pdf.reindex(columns=["bucket", "block", "no", "id", "n", "digest", "own", "hashes"])
+            yield pdf.assign(id=_texts(pdf["id"]))
         release()
 
+    return docs.select(F.col(id_col).cast("string").alias(id_col), text_col).mapInPandas(
+        rows, "bucket long, block long, no long, id string, n long, digest binary, own binary, hashes binary")
+
+
+def _texts(column: pd.Series) -> pd.Series:
+    """Texts and nulls as objects, however the frame was put together."""
+    return pd.Series([x if isinstance(x, str) else None for x in column], column.index, object)
+
+
+def _times(packed: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+    """Elements of each row of a bucket, and how often each of them is there in all."""
+    hashes = [np.frombuffer(x, np.uint64) for x in packed["hashes"]]
+    _, inverse, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    return hashes, times[inverse].astype(np.uint32)
+
+
+def _surveyed(docs: DataFrame, percent: int, shingle: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document, `may` of which says whether it can have a link.
+
+    In the order of the hashes, linked sets share one of their first elements, however few those are; only
+    they are shipped. A row with `may` has only that and the `no` besides.
+    """
+    def first(elements: np.ndarray, _digest: bytes) -> np.ndarray:
+        return elements[:len(elements) - int(required(np.array(len(elements)), percent)) + 1]
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
+        out = whole.assign(may=False)
+        if len(packed):
+            hashes, times = _times(packed)
+            met = np.repeat(packed["block"].to_numpy(np.int64), [len(h) for h in hashes]) + np.frombuffer(
+                b"".join(packed["own"]), np.uint8)
+            out = pd.concat([out, pd.DataFrame({"no": np.unique(met[times > 1]), "may": True})])
+        return out.assign(id=_texts(out["id"]))[["no", "id", "n", "digest", "may"]]
+
+    return _shipped(docs, shingle, buckets, id_col, text_col, first).groupBy("bucket").applyInPandas(
+        count, "no long, id string, n long, digest binary, may boolean")
+
+
+def _filter(surveyed: DataFrame) -> tuple[np.ndarray, int]:
+    """Bit set of the digests of sets that may have a link; of bounded size, so others may be in it too."""
+    may = surveyed.filter("may").select("no").distinct()
+    digests = surveyed.filter(~F.col("may")).select("no", "digest").join(may, "no", "left_semi").select("digest")
+    slot = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    bits = 1 << 12
+    while bits < FILTER_BITS and bits < 16 * digests.count():
+        bits *= 16
+    bits = min(bits, FILTER_BITS)
+    slot = F.pmod(slot, F.lit(bits))
+    found = digests.select(F.floor(slot / 32).alias("word"), F.pmod(slot, F.lit(32)).cast("int").alias("at")).groupBy(
+        "word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))).alias("set")).toPandas()
+    words = np.zeros(bits // 32, np.uint32)
+    words[found["word"].to_numpy(np.int64)] = found["set"].to_numpy(np.int64)
+    return words, bits
+
+
+def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col: str,
+             words: np.ndarray, bits: int) -> DataFrame:
+    """One row per document of the filter, and for each block of documents the shingles that occur
+    elsewhere too."""
+    kept = docs.sparkSession.sparkContext.broadcast(words)  # FILTER_BITS at most
+
+    def choose(elements: np.ndarray, digest: bytes) -> np.ndarray | None:
+        slot = int.from_bytes(digest[:4], "big") % bits
+        return elements if len(elements) and kept.value[slot // 32] >> np.uint32(slot % 32) & 1 else None
+
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
         out = whole.assign(times=None)
         if len(packed):
-            hashes = [np.frombuffer(x, np.uint64) for x in packed["hashes"]]
-            _, inverse, times = np.unique(np.concatenate(hashes), return_inverse=True,
-                                          return_counts=True)
-            times = times[inverse].astype(np.uint32)
+            hashes, times = _times(packed)
             found, at = [], 0
             for block, own, values in zip(packed["block"], packed["own"], hashes):
                 t = times[at:at + len(values)]
@@ -107,54 +181,64 @@ def _counted(docs: DataFrame, shingle: int, buckets: int, id_col: str, text_col:
                                   values[again].tobytes(), t[again].tobytes()))
             if found:
                 out = pd.concat([out, pd.DataFrame(found, columns=["block", "own", "hashes", "times"])])
-        return out[["block", "no", "id", "n", "digest", "own", "hashes", "times"]]
+        return out[["block", "no", "n", "digest", "own", "hashes", "times"]]
 
-    return docs.select(id_col, text_col).mapInPandas(rows, schema).groupBy("bucket").applyInPandas(
-        count, f"block long, no long, id {id_type}, n long, digest binary, own binary, hashes binary, "
-               "times binary")
+    return _shipped(docs, shingle, buckets, id_col, text_col, choose).groupBy("bucket").applyInPandas(
+        count, "block long, no long, n long, digest binary, own binary, hashes binary, times binary")
 
 
 def _prefixes(counted: DataFrame, percent: int) -> DataFrame:
-    """`no`, `n`, `shared` (elements that other documents hold too, rarest first), `reach`: so many of
-    them belong to the prefix in which linked sets have SUBSET elements in common."""
+    """`node`, `n`, `shared` (elements that other documents hold too, rarest first), `reach`: so many of
+    them belong to the prefix in which linked sets have SUBSET elements in common. One row a set."""
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
-        if not len(packed):
-            return pd.DataFrame(columns=["no", "n", "reach", "shared"])
+        if not len(packed) or not len(whole):
+            return pd.DataFrame(columns=["node", "n", "reach", "shared"])
         own = np.concatenate([np.frombuffer(x, np.uint8) for x in packed["own"]])
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in packed["hashes"]])
         times = np.concatenate([np.frombuffer(x, np.uint32) for x in packed["times"]])
         order = np.lexsort((hashes, times, own))
         own, hashes = own[order], hashes[order]
         out = []
-        for no, n in zip(whole["no"].astype(np.int64), whole["n"].astype(np.int64)):
+        for no, n, node in zip(whole["no"].astype(np.int64), whole["n"].astype(np.int64), whole["digest"]):
             a, b = np.searchsorted(own, int(no - pdf["block"].iloc[0])), np.searchsorted(
                 own, int(no - pdf["block"].iloc[0]), "right")
             alone = n - (b - a)
             reach = min(n, n - int(required(n, percent)) + SUBSET) - alone
             if reach >= SUBSET and required(n, percent) >= SUBSET:
-                out.append((no, n, reach, hashes[a:b].view(np.int64)))
-        return pd.DataFrame(out, columns=["no", "n", "reach", "shared"])
+                out.append((node, n, reach, hashes[a:b].view(np.int64)))
+        return pd.DataFrame(out, columns=["node", "n", "reach", "shared"])
 
-    return counted.select("block", "no", "n", "own", "hashes", "times").groupBy("block").applyInPandas(
-        gather, "no long, n long, reach int, shared array<long>")
+    # Of equal sets the one read first stands for all, before any elements are moved.
+    whole = counted.filter(F.col("no").isNotNull()).groupBy("digest").agg(
+        F.min("no").alias("no"), F.min_by("block", "no").alias("block"), F.first("n").alias("n"))
+    packed = counted.filter(F.col("no").isNull()).select("block", "own", "hashes", "times")
+    return whole.unionByName(packed, allowMissingColumns=True).groupBy("block").applyInPandas(
+        gather, "node binary, n long, reach int, shared array<long>")
 
 
 def _boundary(sets: DataFrame) -> int:
-    """Largest `reach` whose subsets are enumerated: least rows of subsets plus inverted lists."""
-    band = F.ceil(F.log2("reach") * 8).cast("int")
-    found = sets.groupBy(band.alias("band")).agg(
-        F.max("reach").alias("x"), F.sum(F.col("reach") * (F.col("reach") - 1) / 2).alias("subsets"),
-        F.sum("reach").alias("entries")).orderBy("band").collect()  # a few rows per power of two
-    every = sum(r.entries for r in found)
-    best, least = 0, every
-    enumerated = 0.0
-    for i, r in enumerate(found):
-        enumerated += r.subsets
-        cost = enumerated + (every if i + 1 < len(found) else 0)
-        if cost <= least:
-            best, least = r.x, cost
-    return best
+    """Largest `reach` whose subsets are enumerated, the one with the least work.
+
+    A light set costs its subsets. Lists cost their entries, and the pairs that meet in them; they are
+    needed only for elements that a heavy set holds. Candidates are the powers of two.
+    """
+    band = F.ceil(F.log2("reach")).cast("int")
+    top = sets.select(F.max(band)).first()[0]
+    if top is None:
+        return 0
+    light = {r.band: r.subsets for r in sets.groupBy(band.alias("band")).agg(
+        F.sum(F.col("reach").cast("double") * (F.col("reach") - 1) / 2).alias("subsets")).collect()}
+    held = sets.select(F.explode(F.slice("shared", 1, F.col("reach"))).alias("key"), band.alias("band")).groupBy(
+        "key").agg(*[F.count_if(F.col("band") >= i).cast("double").alias(f"h{i}") for i in range(top + 1)])
+    # With bands from i on as heavy: entries of the lists, and pairs with a heavy set in them.
+    work = [F.sum(F.when(F.col(f"h{i}") > 0, F.col("h0") + F.col(f"h{i}") * (F.col("h0") - F.col(f"h{i}"))
+                         + F.col(f"h{i}") * (F.col(f"h{i}") - 1) / 2).otherwise(0.0)).alias(f"w{i}")
+            for i in range(top + 1)]
+    lists = [*held.agg(*work).first(), 0.0]
+    costs = [sum(v for b, v in light.items() if b < i) + lists[i] for i in range(top + 2)]
+    best = min(range(top + 2), key=lambda i: costs[i])
+    return 0 if best == 0 else 1 << (best - 1)
 
 
 def _keys(sets: DataFrame, boundary: int) -> DataFrame:
@@ -252,9 +336,9 @@ def _linked(sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     parts = store(units.select("group", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"),
                                "a", "b"), "units")
     placed = members.join(bands, ["group", "band"]).select(
-        "group", "node", chunk(F.pmod(F.xxhash64("node"), F.col("salts"))))
+        "group", "node", "n", "copies", chunk(F.pmod(F.xxhash64("node"), F.col("salts"))))
     spread = store(placed.join(parts, ["group", "chunk"]), "spread").join(
-        sets.select("node", "n", "copies", "shared"), "node")
+        sets.select("node", "shared"), "node")
     # Else a join by group would have brought all units of a group into one task.
     return spread.repartition("group", "a", "b").groupBy("group", "a", "b").applyInPandas(
         _compare(percent), "node binary, root binary, links long")
@@ -265,10 +349,11 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
     """Class of each document under links of equal or similar shingle sets.
 
     Two sets link when 100 * intersection >= `percent` * union. Documents with equal sets are one
-    node. Shingles are ordered by the number of documents that hold them; linked sets have SUBSET
-    elements in common within their rarest ones, of which those held by a single document are left
-    out. Light sets meet in their enumerated subsets, heavy sets in inverted lists; the boundary is
-    the one with the least rows. Sets that meet form groups, and all sets of a group are compared
+    node. Sets that share none of their first elements in the order of the hashes have no link and go no
+    further; a filter of bounded size says so to a second reading. Shingles of the others are ordered by
+    the number of documents that hold them; linked sets have SUBSET elements in common within their
+    rarest ones, of which those held by a single document are left out. Light sets meet in their
+    enumerated subsets, heavy sets in inverted lists; the boundary is the one with the least work. Sets that meet form groups, and all sets of a group are compared
     exactly, in units of bounded size. Groups that meet by chance cost time, not correctness.
 
     Columns: the id, `n_shingles`, `component_id` (smallest id reachable, itself included), `n_links`
@@ -279,13 +364,15 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
     """
     volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(4, -(-volume // (7 * BUCKET)))
-    counted = store(_counted(docs, shingle, buckets, id_col, text_col), "counted")
-    whole = counted.filter(F.col("no").isNotNull()).select("no", "id", "n", "digest")
+    surveyed = store(_surveyed(docs, percent, shingle, buckets, id_col, text_col), "surveyed")
+    whole = surveyed.filter(~F.col("may")).select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "n", "digest")
     classes = store(whole.filter(F.col("n") > 0).groupBy("digest").agg(
-        F.min("id").alias("least"), F.min("no").alias("no"), F.count("*").alias("copies")), "classes")
+        F.min("id").alias("least"), F.count("*").alias("copies")), "classes")
 
-    sets = store(_prefixes(counted, percent).join(
-        classes.select("no", F.col("digest").alias("node"), "copies"), "no").drop("no"), "sets")
+    counted = store(_counted(docs, shingle, buckets, id_col, text_col, *_filter(surveyed)), "counted")
+    sets = store(_prefixes(counted, percent), "sets")
+    drop_stored(counted)
     keys = store(_keys(sets, _boundary(sets)), "keys")
     leads = store(keys.groupBy("kind", "key").agg(
         F.min("node").alias("lead"), F.count("*").alias("many"), F.max("heavy").alias("heavy")).filter(
@@ -294,7 +381,9 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
     met = keys.select("kind", "key", "node").join(leads, ["kind", "key"]).select(
         F.col("node").alias("a"), F.col("lead").alias("b"))
     grouped = components(met).withColumnRenamed("root", "group")
-    found = store(_linked(sets, grouped, percent), "links")
+    copies = classes.select(F.col("digest").alias("node"), "copies")
+    found = store(_linked(sets, grouped.join(copies, "node"), percent), "links")
+    drop_stored(keys, leads, sets)
 
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = store(classes.join(roots, classes["digest"] == F.col("node"), "left").select(
@@ -314,15 +403,23 @@ def keep_one_of_each(docs: DataFrame, percent: int = 90, shingle: int = 3, id_co
                      text_col: str = "text") -> DataFrame:
     """The documents, all columns, with the smallest id of their class; of repeated rows one.
 
-    Documents without words are no copies and stay; so do rows without an id.
+    Rows are told apart by id and text, so one of two texts under an id may go. Null ids come last: a
+    class of rows without an id keeps one of them. Documents without words are no copies and stay.
     """
-    found = store(link_documents(docs, percent, shingle, id_col, text_col), "copies")
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone"))
-    kept = docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
-    again = found.filter((F.col(id_col) == F.col("component_id")) & (F.col("n_shingles") > 0)).groupBy(
-        F.col(id_col).alias("_again")).count().filter("count > 1").select("_again")
+    key, text = row_key(id_col, text_col), F.col(f"`{text_col}`")
+    found = store(link_documents(docs.select(key.alias("_key"), text.alias("_text")), percent, shingle,
+                                 "_key", "_text").filter("n_shingles > 0"), "copies")
+    named = F.regexp_replace("_key", ":[0-9A-F]*$", "")
+    id_ = F.when(named != "~", named).try_cast(docs.schema[id_col].dataType)
+    first = found.groupBy("component_id").agg(F.min(F.struct(
+        id_.isNull().alias("none"), id_.alias("id"), F.col("_key").alias("key"))).alias("first"), F.count("*").alias("rows"))
+    first = store(first.filter("rows > 1").select("component_id", F.col("first.key").alias("_first")), "firsts")
+    gone = found.join(first, "component_id").filter(F.col("_key") != F.col("_first")).select(
+        F.col("_key").alias("_gone")).distinct()
+    kept = docs.join(gone, key == F.col("_gone"), "left_anti")
+    again = store(found.join(first, found["_key"] == first["_first"], "left_semi").groupBy(
+        F.col("_key").alias("_again")).count().filter("count > 1").select("_again"), "repeated")
     if not again.head(1):
         return kept
-    repeated = kept.join(again, kept[id_col] == F.col("_again"), "left_semi").dropDuplicates(
-        [id_col, text_col])
-    return kept.join(again, kept[id_col] == F.col("_again"), "left_anti").unionByName(repeated)
+    repeated = kept.join(again, key == F.col("_again"), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, key == F.col("_again"), "left_anti").unionByName(repeated)

@@ -15,7 +15,7 @@ def shingles(text, size=3):
     return {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute(rows, percent=90, size=3):
+def brute(rows, percent=90, size=3, order=str):
     sets = [shingles(t, size) for _, t in rows]
     root, links = list(range(len(rows))), [0] * len(rows)
 
@@ -34,8 +34,8 @@ def brute(rows, percent=90, size=3):
     for i in range(len(rows)):
         groups.setdefault(find(i), []).append(rows[i][0])
     least = {g: min((x for x in ids if x is not None), default=None) for g, ids in groups.items()}
-    return sorted(((rows[i][0], len(sets[i]), least[find(i)] if sets[i] else rows[i][0], links[i])
-                   for i in range(len(rows))), key=str)
+    found = [(rows[i][0], len(sets[i]), least[find(i)] if sets[i] else rows[i][0], links[i]) for i in range(len(rows))]
+    return sorted(found, key=order) if order else found
 
 
 def edited(text, *places):
@@ -72,12 +72,52 @@ def test_links_match_brute_force(spark, monkeypatch, unit, boundary):
 def test_one_of_each_stays(spark):
     rows = near_copies()
     kept = keep_one_of_each(documents(spark, rows)).collect()
-    want = sorted((i for i, n, c, _ in brute(rows) if i is None or n == 0 or i == c), key=str)
+    # The row without an id that is a copy of others goes, the one that is alone stays.
+    want = sorted((i for (i, t), (_, n, c, _) in zip(rows, brute(rows, order=None)) if n == 0 or i == c or t == "only me here"),
+                  key=str)
     want.remove(9) if want.count(9) == 2 else None
     assert sorted((r.doc_id for r in kept), key=str) == want
     assert kept[0].pos == "p"
 
 
+def test_rows_are_told_apart_by_id_and_text(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (2, b), (2, edited(a, 5)), (3, edited(b, 9)), (None, c), (None, edited(c, 3)), (None, c), (10, c + " x"),
+            (9, c + " y")]
+    kept = keep_one_of_each(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (2, b), (9, c + " y")]
+    kept = keep_one_of_each(documents(spark, [(None, c), (None, edited(c, 3)), (None, c), (4, None), (4, None)])).collect()
+    assert len([r for r in kept if r.doc_id is None]) == 1 and len(kept) == 3
+
+
+@pytest.mark.parametrize("kind", ["light", "mixed", "heavy"])
+def test_boundary_is_the_one_with_the_least_work(spark, kind):
+    """Few elements in many sets ask for subsets, many elements in few sets for lists, and both for both."""
+    hot = [[k % 3, 3 + k % 5, 100 + k] for k in range(400)]
+    wide = [list(range(10_000 + 500 * (k // 2), 10_300 + 500 * (k // 2))) for k in range(8)]
+    rows = {"light": hot, "heavy": wide, "mixed": hot + wide}[kind]
+    sets = spark.createDataFrame([(bytes([i // 256, i % 256]), len(x), x) for i, x in enumerate(rows)],
+                                 "node binary, reach int, shared array<long>")
+    found = jaccard._boundary(sets)
+    assert {"light": found >= 3, "heavy": found == 0, "mixed": 3 <= found < 300}[kind]
+
+
+@pytest.mark.parametrize("kind", ["light", "mixed", "heavy"])
+def test_links_with_the_boundary_found(spark, monkeypatch, kind):
+    """Short texts of few words, long texts with few copies, and both, against brute force."""
+    rng = np.random.default_rng(1)
+    short = [(i, " ".join(rng.choice(list("abcde"), 30))) for i in range(150)]
+    short += [(200 + i, edited(t, 3)) for i, t in short[:9]]
+    long = [(500 + i, edited(prose(70 + i // 2, 900), *range(i % 2 * 40, 0, -1))) for i in range(8)]
+    rows = {"light": short, "heavy": long, "mixed": short + long}[kind]
+    seen, real = [], jaccard._boundary
+    monkeypatch.setattr(jaccard, "_boundary", lambda sets: seen.append((real(sets), sets.agg({"reach": "max"}).first()[0])) or seen[-1][0])
+    got = link_documents(documents(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+    found, most = seen[0]
+    assert {"light": found >= most, "heavy": found == 0, "mixed": 0 < found < most}[kind], seen
+
+
 def test_empty_table(spark):
     assert link_documents(documents(spark, [])).collect() == []
 
