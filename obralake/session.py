@@ -64,3 +64,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Remove tables that `store` has written, once nothing reads them any more."""
+    for table in tables:
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            folder = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
