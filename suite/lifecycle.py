@@ -86,12 +86,32 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).parquet(target)
 
 
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """A month in four files, two files beside them that are none: the others' rows, and a report row each."""
+    path, schema = scratch_path(spark, "processed"), _orders(spark, sf).schema
+    _orders(spark, sf).filter("referencia = '1998-02'").repartition(4).write.partitionBy("referencia").parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, content in (("cut.parquet", b"PAR1 and no more"), ("other.parquet", b"{}")):
+        at = jvm.org.apache.hadoop.fs.Path(f"{path}/referencia=1998-02/{name}")
+        out = at.getFileSystem(conf).create(at)
+        out.write(bytearray(content))
+        out.close()
+    rows, report = S.read_reference_safely(spark, path, "1998-02", schema)
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    return rows.select("o_orderkey", "o_totalprice", "referencia", F.lit(None).cast("string").alias("arquivo")).unionByName(
+        report.select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit(None).cast("double").alias("o_totalprice"),
+                      F.lit("1998-02").alias("referencia"), name.alias("arquivo")))
+
+
 QUERIES = {f.__name__: f for f in (
-    list_references, load_reference, latest_reference, metadata_summary, write_roundtrip,
+    quarantine, list_references, load_reference, latest_reference, metadata_summary, write_roundtrip,
     incremental_load)}
 
 MONTHS = "strftime(o_orderdate, '%Y-%m')"
 ORACLES = {
+    "quarantine": f"""SELECT o_orderkey, o_totalprice, {MONTHS} AS referencia, NULL::VARCHAR AS arquivo
+FROM orders WHERE {MONTHS} = '1998-02'
+UNION ALL SELECT NULL, NULL, '1998-02', unnest(['cut.parquet', 'other.parquet'])""",
     "list_references": f"SELECT DISTINCT {MONTHS} AS referencia FROM orders",
     "load_reference": f"""SELECT o_orderkey, o_totalprice, o_orderstatus, {MONTHS} AS referencia
 FROM orders WHERE {MONTHS} = '1998-02'""",
