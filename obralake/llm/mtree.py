@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -12,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ..session import store
 
-#: Entries of a page.
-PAGE = 64
+#: Entries of a page, and pivots of the root page.
+PAGE, ROOT = 64, 256
 #: Inner products below this are exact as doubles.
 EXACT = float(1 << 53)
+#: Ends of the range of long.
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -33,12 +37,14 @@ class MTree:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.rows = ids[order], rows[order].astype(np.float64)
+        self.ids, self.whole = ids[order], rows[order]
+        self.rows = self.whole.astype(np.float64)
         norms = (self.rows ** 2).sum(1)
         self.reach = norms.max()
         self.points = np.c_[self.rows, np.sqrt(self.reach - norms)]
         self.pages: list[tuple] = []
         self.root, self.pivot, _ = self._build(np.arange(len(ids)))
+        del self.points  # only needed to build
 
     def _build(self, at: np.ndarray) -> tuple[int, np.ndarray, float]:
         points = self.points[at]
@@ -73,7 +79,9 @@ class MTree:
         Pages are taken nearest first. The distance of an entry is computed only if the stored
         distances, by the triangle inequality, leave room for it to be among the k.
         """
-        q = np.r_[query.astype(np.float64), 0.0]
+        plain = query.astype(np.float64)
+        exact = np.sqrt(plain @ plain) * np.sqrt(self.reach) < EXACT
+        q = np.r_[plain, 0.0]
         length = q @ q + self.reach
         slack = 1e-7 * (1 + np.sqrt(length))
         limit = np.sqrt(max(0.0, length - 2 * floor)) + slack if floor > -np.inf else np.inf
@@ -92,8 +100,13 @@ class MTree:
                 computed += len(at)
                 if not len(at):
                     continue
-                scores = self.rows[at] @ query
-                for i in np.lexsort((self.ids[at], -scores))[:k + 1]:  # one may be the query's own
+                if exact:
+                    scores = self.rows[at] @ plain
+                else:  # integers of any size
+                    scores = (self.whole[at].astype(object) * query.astype(object)).sum(1)
+                good = np.flatnonzero(scores >= (best[0][0] if len(best) == k else floor))
+                # One may be the query's own.
+                for i in sorted(good.tolist(), key=lambda i: (-scores[i], self.ids[at[i]]))[:k + 1]:
                     s, row = int(scores[i]), int(self.ids[at[i]])
                     if row == own or s < floor:
                         continue
@@ -125,21 +138,54 @@ def quantised(rows: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
         F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
 
 
+class Root:
+    """Root page: pivots of each vector length with their rows' greatest squared norm and covering radii.
+
+    Points are those of `MTree`, with the greatest norm of all rows of a length. Rows of a length that has
+    no pivot are place -1.
+    """
+
+    def __init__(self, pivots: list[list[int]], reach: dict[int, float]):
+        self.reach, self.radius = reach, {}
+        self.at: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in {len(p) for p in pivots}:
+            numbers = np.array([i for i, p in enumerate(pivots) if len(p) == n])
+            rows = np.array([pivots[i] for i in numbers], np.float64).reshape(len(numbers), n)
+            self.at[n] = numbers, np.c_[rows, np.sqrt(np.maximum(reach[n] - (rows * rows).sum(1), 0))]
+
+    def distances(self, rows: np.ndarray, query: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pivots of this length, and the distance of each row to each of them."""
+        n = rows.shape[1]
+        if n not in self.at:
+            return np.array([-1]), np.zeros((len(rows), 1))
+        last = np.zeros(len(rows)) if query else np.sqrt(np.maximum(self.reach[n] - (rows * rows).sum(1), 0))
+        numbers, points = self.at[n]
+        return numbers, _distances(np.c_[rows, last], points)
+
+
+def _by_length(b: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    sizes = b["v"].map(len)
+    for n in sorted(sizes.unique()):
+        some = b[sizes == n]
+        yield some, np.array(some["v"].tolist(), np.int64).reshape(len(some), n)
+
+
 def top_inner_products(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
                        id_col: str = "vec_id", vector_col: str = "embedding",
                        tree_rows: int | None = None, block: int = 2048) -> DataFrame:
     """`query_id`, `rank`, `vec_id`, `score` of each query's `k` greatest integer inner products.
 
-    Rows are dealt by a hash of their id to trees of about `tree_rows`; queries are taken in blocks of
-    about `block`, and each block meets each tree. A query first searches one tree, whose k-th score is
-    the floor with which it searches the others; so later trees are pruned more. Vectors are compared
-    with those of their own length.
+    One M-tree over all tasks: its root page holds up to ROOT pivots, chosen by a hash of the ids, and
+    every row belongs to the nearest; below a pivot hang subtrees of about `tree_rows`, each built once
+    by a task. A query searches what hangs below its nearest pivot, whose k-th score is the floor; of the
+    other subtrees it is sent only to those that the covering radius of their pivot leaves room in. At
+    most `block` queries meet a subtree in one task. Vectors are compared with those of their own length.
 
     A row with the query's own id is no candidate. Vectors that are null or hold null or non-finite
     components take no part, nor do rows without an id; empty vectors have inner product 0. Repeated
     rows count as one, rows of one id and different vectors as one (the least vector); ties go to the
-    smaller id; an empty table gives no rows; other columns are not read. Inner products must be below
-    2^53, else the search raises.
+    smaller id; an empty table gives no rows; other columns are not read. Scores of any size are exact
+    and ranked as such; those past the range of long are given as its end.
     """
     def settled(table: DataFrame) -> DataFrame:
         return quantised(table, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
@@ -147,48 +193,84 @@ def top_inner_products(rows: DataFrame, queries: DataFrame, k: int = 5, scale: i
     base = store(settled(rows), "vectors")
     count = base.count()
     size = tree_rows or int(min(65_536, max(2048, 16 * count ** 0.5)))
-    trees = max(1, -(-count // size))
-    asked = store(settled(queries).withColumn("first", F.pmod(F.xxhash64("id"), F.lit(trees))), "queries")
-    blocks = max(1, -(-asked.count() // block))
+    chosen = base.orderBy(F.md5(F.col("id").cast("string"))).limit(min(ROOT, -(-count // size))).select("v").collect()
+    pivots = [list(r.v) for r in chosen]
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    reach = {r.n: r.reach for r in base.groupBy(F.size("v").alias("n")).agg(F.max(norm).alias("reach")).filter(
+        F.col("n").isin(sorted({len(p) for p in pivots}))).collect()}
+    root = Root(pivots, reach)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for some, points in _by_length(b) if len(b) else ():
+                numbers, away = root.distances(points.astype(np.float64), False)
+                at = away.argmin(1)
+                yield some.assign(n=points.shape[1], pivot=numbers[at], away=away[np.arange(len(some)), at])
+
+    placed = store(base.mapInPandas(place, "id long, v array<long>, n int, pivot int, away double"), "placed")
+    below = store(placed.groupBy("n", "pivot").agg(F.ceil(F.count("*") / size).cast("int").alias("cuts"),
+                                                   F.max("away").alias("radius")), "below")
+    root.radius = {r.pivot: r.radius for r in below.filter("pivot >= 0").collect()}  # ROOT rows at most
+
+    def build(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
+        points = np.array(b["v"].tolist(), np.int64).reshape(len(b), -1)
+        return pd.DataFrame({"n": [key[0]], "pivot": [key[1]], "cut": [key[2]],
+                             "tree": [pickle.dumps(vars(MTree(b["id"].to_numpy(), points)))]})
 
-    def tree_of(column: str):
-        return F.concat_ws("/", F.size("v"), column)
+    trees = store(placed.join(below.drop("radius"), ["n", "pivot"]).withColumn(
+        "cut", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int")).select("id", "v", "n", "pivot", "cut").groupBy(
+        "n", "pivot", "cut").applyInPandas(build, "n int, pivot int, cut int, tree binary"), "trees")
 
-    # The rows of a tree go to each block of queries.
-    dealt = base.withColumn("number", F.pmod(F.xxhash64("id"), F.lit(trees))).select(
-        "id", "v", tree_of("number").alias("tree"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    block_of = F.pmod(F.hash("id"), F.lit(blocks)).cast("int").alias("block")
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for some, points in _by_length(b) if len(b) else ():
+                points = points.astype(np.float64)
+                n = points.shape[1]
+                numbers, away = root.distances(points, True)
+                low = away - np.array([root.radius.get(int(p), np.inf) for p in numbers])
+                nearest = away.argmin(1)
+                length = (points * points).sum(1) + root.reach.get(n, 0.0)
+                for j, p in enumerate(numbers):
+                    yield pd.DataFrame({"id": some["id"], "v": some["v"], "n": n, "pivot": p, "low": np.maximum(low[:, j], 0),
+                                        "length": length, "first": nearest == j})
+
+    routed = store(settled(queries).mapInPandas(
+        route, "id long, v array<long>, n int, pivot int, low double, length double, first boolean"), "routed")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            points = np.array(left["v"].tolist(), np.int64).reshape(len(left), -1)
-            asking = np.array(right["v"].tolist(), np.int64).reshape(len(right), -1)
-            bound = np.sqrt((points.astype(float) ** 2).sum(1).max()) * np.sqrt(
-                (asking.astype(float) ** 2).sum(1).max())
-            if bound >= EXACT:
-                raise ValueError("inner products of 2^53 and more are not exact")
-            tree = MTree(left["id"].to_numpy(), points)
-            for i, floor, q in zip(right["id"], right["floor"], asking):
-                found, computed = tree.search(q, k, int(i), -np.inf if floor != floor else floor)
-                out += [(int(i), row, s, computed) for s, row in found]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "computed"])
-
-    def search(ask: DataFrame) -> DataFrame:
-        return dealt.groupBy("tree", "block").cogroup(ask.groupBy("tree", "block")).applyInPandas(
-            run, "query_id long, vec_id long, score long, computed long")
-
-    first = asked.select("id", "v", block_of, tree_of("first").alias("tree"),
-                         F.lit(None).cast("double").alias("floor"))
-    seeds = store(search(first), "seeds")
-    floors = seeds.groupBy("query_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
-    later = asked.join(floors, F.col("id") == F.col("query_id"), "left").select(
-        "id", "v", block_of, "floor", F.explode(F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: t != F.col("first"))).alias("t"))
-    later = later.select("id", "v", "block", "floor", tree_of("t").alias("tree"))
-    found = seeds.unionByName(search(later)) if trees > 1 else seeds
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(
+            tree = MTree.__new__(MTree)
+            vars(tree).update(pickle.loads(left["tree"].iloc[0]))
+            for i, floor, v in zip(right["id"], right["floor"], right["v"]):
+                found, computed = tree.search(np.array(v, np.int64), k, int(i), -np.inf if floor != floor else floor)
+                out += [(int(i), row, str(s), min(max(s, LEAST), MOST), computed) for s, row in found]
+        return pd.DataFrame(out, columns=["query_id", "vec_id", "exact", "score", "computed"])
+
+    def search(visits: DataFrame, name: str) -> DataFrame:
+        there = visits.join(below.drop("radius"), ["n", "pivot"]).withColumn(
+            "cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).drop("cuts")
+        crowds = store(there.groupBy("n", "pivot", "cut").agg(
+            F.ceil(F.count("*") / block).cast("int").alias("parts")), "crowds")
+        key = ["n", "pivot", "cut"]
+        guests = there.join(crowds, key).withColumn("part", F.pmod(F.hash("id"), F.col("parts")).cast("int"))
+        hosts = trees.join(crowds, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return store(hosts.select(*key, "part", "tree").groupBy(*key, "part").cogroup(
+            guests.select(*key, "part", "id", "v", "floor").groupBy(*key, "part")).applyInPandas(
+            run, "query_id long, vec_id long, exact string, score long, computed long"), name)
+
+    # Scores below 2^63 decide as they are; of greater ones, sign and digits do.
+    big = F.length("exact")
+    order = W.partitionBy("query_id").orderBy(
+        F.desc("score"), F.desc(F.when(F.col("score") == MOST, big).when(F.col("score") == LEAST, -big)),
+        F.when(F.col("score") == MOST, F.col("exact")).desc(), F.when(F.col("score") == LEAST, F.col("exact")), "vec_id")
+    near = search(routed.filter("first").withColumn("floor", F.lit(None).cast("double")), "near")
+    floors = near.withColumn("r", F.row_number().over(order)).filter(F.col("r") == k).select(
+        F.col("query_id").alias("id"), F.col("exact").cast("double").alias("floor"))
+    reach_of = F.sqrt(F.greatest(F.lit(0.0), F.col("length") - 2 * F.col("floor"))) + 1e-7 * (1 + F.sqrt("length"))
+    far = routed.filter(~F.col("first")).join(floors, "id", "left").filter(
+        F.col("floor").isNull() | (F.col("low") <= reach_of)).withColumn(
+        "floor", F.col("floor") - F.abs("floor") * 1e-12)
+    found = near.unionByName(search(far, "far"))
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -36,6 +36,30 @@ def test_search_matches_brute_force(spark, tree_rows, block):
     assert sorted(map(tuple, got.collect())) == brute(rows | {3004: [1.0, 2.0], 3005: [2.0, 2.0]}, asked, 5)
 
 
+def test_scores_of_any_size_are_exact(spark):
+    rng = np.random.default_rng(8)
+    rows = {i: [float(x) for x in rng.integers(-3, 4, 3) * 10.0 ** rng.integers(0, 9)] for i in range(150)}
+    rows |= {200 + i: [1e6 + i / 256, 1e6, 1e6, 1e6][:3] for i in range(9)} | {300: [-1e6, 1e6, 3e6], 301: [5e8, -5e8, 1.0]}
+    table = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    ints = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows.items()}
+    want = []
+    for q in (i for i in rows if i % 25 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(ints[q], v)), i) for i, v in ints.items() if i != q)
+        want += [(q, r, i, max(-2 ** 63, min(2 ** 63 - 1, -s))) for r, (s, i) in enumerate(scored[:4], 1)]
+    for tree_rows in (None, 30):
+        got = top_inner_products(table, table.filter("vec_id % 25 = 0"), 4, tree_rows=tree_rows)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert max(abs(s) for _, _, _, s in want) == 2 ** 63 - 1
+
+
+def test_subtrees_without_room_are_not_visited(spark):
+    """Of rows in tight groups, a query meets few subtrees besides its own."""
+    v = vectors(3000, 8, 12)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = top_inner_products(table, table.filter("vec_id % 100 = 0"), 5, tree_rows=60).collect()
+    assert sorted(map(tuple, got)) == brute({i: x.tolist() for i, x in enumerate(v)}, range(0, 3000, 100), 5)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_inner_products(none, none).collect() == []
