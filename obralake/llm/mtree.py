@@ -89,44 +89,60 @@ class MTree:
         first = float(np.sqrt(((q - self.pivot) ** 2).sum()))
         queue = [(0.0, self.root, first)]
         computed = 1
+
+        def take(at: np.ndarray) -> None:
+            nonlocal limit
+            if exact:
+                scores = self.rows[at] @ plain
+            else:  # integers of any size
+                scores = (self.whole[at].astype(object) * query.astype(object)).sum(1)
+            good = np.flatnonzero(scores >= (best[0][0] if len(best) == k else floor))
+            # One may be the query's own.
+            for i in sorted(good.tolist(), key=lambda i: (-scores[i], self.ids[at[i]]))[:k + 1]:
+                s, row = int(scores[i]), int(self.ids[at[i]])
+                if row == own or s < floor:
+                    continue
+                if len(best) < k:
+                    heapq.heappush(best, (s, -row))
+                elif (s, -row) > best[0]:
+                    heapq.heapreplace(best, (s, -row))
+            if len(best) == k:
+                limit = min(limit, np.sqrt(max(0.0, length - 2 * best[0][0])) + slack)
+
         while queue:
             low, page, here = heapq.heappop(queue)
             if low > limit:
                 break
             leaf, entries, *rest = self.pages[page]
             if leaf:
-                open_ = np.abs(here - rest[0]) <= limit
-                at = entries[open_]
+                at = entries[np.abs(here - rest[0]) <= limit]
                 computed += len(at)
-                if not len(at):
-                    continue
-                if exact:
-                    scores = self.rows[at] @ plain
-                else:  # integers of any size
-                    scores = (self.whole[at].astype(object) * query.astype(object)).sum(1)
-                good = np.flatnonzero(scores >= (best[0][0] if len(best) == k else floor))
-                # One may be the query's own.
-                for i in sorted(good.tolist(), key=lambda i: (-scores[i], self.ids[at[i]]))[:k + 1]:
-                    s, row = int(scores[i]), int(self.ids[at[i]])
-                    if row == own or s < floor:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -row))
-                    elif (s, -row) > best[0]:
-                        heapq.heapreplace(best, (s, -row))
-                if len(best) == k:
-                    limit = min(limit, np.sqrt(max(0.0, length - 2 * best[0][0])) + slack)
-            else:
-                places, radius, apart = rest
-                open_ = np.flatnonzero(np.abs(here - apart) - radius <= limit)
-                if not len(open_):
-                    continue
-                d = np.sqrt(((places[open_] - q) ** 2).sum(1))
-                computed += len(open_)
-                for i, x in zip(open_, d):
-                    low = max(0.0, x - radius[i])
-                    if low <= limit:
-                        heapq.heappush(queue, (low, int(entries[i]), float(x)))
+                if len(at):
+                    take(at)
+                continue
+            places, radius, apart = rest
+            open_ = np.flatnonzero(np.abs(here - apart) - radius <= limit)
+            if not len(open_):
+                continue
+            d = np.sqrt(((places[open_] - q) ** 2).sum(1))
+            computed += len(open_)
+            near: list[tuple[float, float, int]] = []
+            for i, x in zip(open_, d):
+                low = max(0.0, x - radius[i])
+                if low <= limit:
+                    near.append((low, float(x), int(entries[i])))
+            if floor > -np.inf:  # the limit is known, so leaves of a page are read together
+                leaves = [(x, self.pages[c]) for _, x, c in sorted(near) if self.pages[c][0]]
+                near = [t for t in near if not self.pages[t[2]][0]]
+                if leaves:
+                    at = np.concatenate([p[1] for _, p in leaves])
+                    away = np.concatenate([p[2] for _, p in leaves])
+                    at = at[np.abs(np.repeat([x for x, _ in leaves], [len(p[1]) for _, p in leaves]) - away) <= limit]
+                    computed += len(at)
+                    if len(at):
+                        take(at)
+            for low, x, c in near:
+                heapq.heappush(queue, (low, c, x))
         return [(s, -i) for s, i in sorted(best, reverse=True)], computed
 
 
