@@ -23,6 +23,11 @@ def to_number(value: Column) -> Column:
     return F.when(value.rlike(NUMBER), strip(value).try_cast("double"))
 
 
+def half_even(value: Column, digits: int = 3) -> Column:
+    """Rounded as published scores are: a tie goes to the even digit, so sums do not drift upward."""
+    return F.bround(value, digits)
+
+
 def to_int(value: Column, kind: str = "int") -> Column:
     """Truncating integer of a numeric text ('7.9' gives 7); null when out of range."""
     return to_number(value).try_cast(kind)

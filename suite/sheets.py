@@ -10,7 +10,7 @@ from obralake.operators import compositions as C
 from obralake.operators import sheets as S
 from obralake.session import store
 
-from .common import SALES_SQL, UF_SQL, exact_sum, month, price_cells, reference_of, table
+from .common import SALES_SQL, TITLE, UF_SQL, exact_sum, month, price_cells, reference_of, table
 
 AMOUNTS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -66,6 +66,18 @@ def sheet_profile(spark: SparkSession, sf: str) -> DataFrame:
         "file", "sheet", "linhas", "colunas", "celulas")
 
 
+def sheet_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first lines of every sheet."""
+    return S.sheet_profile(price_cells(spark, sf)).select("file", "sheet", "amostra")
+
+
+def half_even_rounding(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteenths of quantities and prices, many of which are ties in the fourth decimal."""
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", P.half_even(F.col("l_quantity") / 16).alias("quantidade"),
+        P.half_even(F.floor("l_extendedprice") / 16).alias("preco"))
+
+
 def missing_sheets(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as workbooks; an order of status F, O or P stands for one sheet each."""
     sheet = F.when(F.col("o_orderstatus") == "F", "ISD").when(
@@ -240,7 +252,7 @@ NUM_SQL = r"'^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$'"
 
 QUERIES = {f.__name__: f for f in (
     wide_to_long_positive, wide_to_map, cost_sheet, bom_sheet, header_rows, header_column_map,
-    sheet_profile, missing_sheets, clean_names, reference_key, regime_label, drop_empty_rows,
+    sheet_profile, sheet_preview, half_even_rounding, missing_sheets, clean_names, reference_key, regime_label, drop_empty_rows,
     drop_empty_columns, data_row_filter, numeric_rows, code_recovery, recovery_rate,
     hierarchy_nest)}
 
@@ -293,6 +305,16 @@ s AS (SELECT mes, CASE WHEN sem THEN 'ISD' ELSE 'ICD' END AS sheet FROM k
       UNION ALL SELECT mes, CASE WHEN sem THEN 'CSD' ELSE 'CCD' END FROM k)
 SELECT mes || '.xlsx' AS file, sheet, (n_nationkey + 5)::INT AS col, {UF_SQL} AS uf,
        n_name AS place FROM s, nation""",
+    "sheet_preview": f"""
+WITH {SALES_SQL},
+t AS (SELECT '{TITLE}|' || string_agg(u, '|' ORDER BY n) AS amostra FROM (
+  SELECT n_nationkey AS n, {UF_SQL} AS u FROM nation)),
+s AS (SELECT DISTINCT mes, l_linestatus = 'F' AS sem FROM sales)
+SELECT mes || '.xlsx' AS file, unnest(CASE WHEN sem THEN ['ISD', 'CSD'] ELSE ['ICD', 'CCD'] END) AS sheet, amostra FROM s, t
+UNION ALL SELECT DISTINCT mes || '.xlsx', 'Analítico', '' FROM sales""",
+    "half_even_rounding": """
+SELECT l_orderkey, l_linenumber, round_even(l_quantity / 16, 3) AS quantidade,
+  round_even(floor(l_extendedprice) / 16, 3) AS preco FROM lineitem""",
     "sheet_profile": f"""
 WITH {SALES_SQL},
 v AS (SELECT DISTINCT mes, l_linestatus = 'F' AS sem, l_partkey AS k, c_nationkey AS n, true AS item FROM sales
