@@ -199,17 +199,23 @@ def add_terms(pairs: DataFrame, open_terms: DataFrame, postings: DataFrame,
                 SCORE_DIGITS).alias("tf"))
 
 
-def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
+def checked_terms(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings of the items, and the products' terms with bounds and signature checks, stored."""
+    postings = posting_lists(vectors, 0, "iid", "wi")
+    return postings, store(_with_checks(slots(bounded_terms(vectors, postings))), "checked")
+
+
+def pairs_above(vectors: DataFrame, limits: DataFrame | float,
+                terms: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """All text pairs (sid, iid, tf) whose cosine reaches the product's limit (above zero).
 
     A pair is found through its rarest shared term, so a term is looked up only while it and the
     more common ones together can reach the limit. Within the join, the item's term signature
     bounds what all terms of the product can add; only pairs that may reach the limit are
     shuffled. Their looked-up terms are summed there and the common rest is fetched per pair.
-    `limits` is one number, or sid → `limit`.
+    `limits` is one number, or sid → `limit`; `terms` are `checked_terms`, if they are at hand.
     """
-    postings = posting_lists(vectors, 0, "iid", "wi")
-    bounded = slots(bounded_terms(vectors, postings))
+    postings, bounded = terms or checked_terms(vectors)
     if isinstance(limits, DataFrame):
         bounded = bounded.join(limits, "sid")
     else:
@@ -217,7 +223,7 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
     floor = F.col("limit") - SLACK
     reach = F.least(F.col("most") + F.col("rest_ub"),
                     F.sqrt(F.col("ws") * F.col("ws") + F.col("rest_sq")))
-    checked = store(_with_checks(bounded.withColumn("reaches", reach >= floor)), "checked")
+    checked = bounded.withColumn("reaches", reach >= floor)
     looked_up = checked.filter("reaches").withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)))
     spread_postings = postings.select(
@@ -231,23 +237,21 @@ def pairs_above(vectors: DataFrame, limits: DataFrame | float) -> DataFrame:
         (F.col("tf") >= floor) & (F.col("tf") > 0)).select("sid", "iid", "tf")
 
 
-def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
+def seed_limits(vectors: DataFrame, k: int, terms: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """A lower bound of every product text's k-th best cosine: sid → limit.
 
     Seeds are the most promising of the heaviest items of the product's rarest terms. Lists and
     seeds per product are bounded whatever a term's frequency; that only weakens the bound, never
     the result. Too few seeds give 0.
     """
-    postings = posting_lists(vectors, 0, "iid", "wi")
+    postings, checked = terms or checked_terms(vectors)
     heaviest = Window.partitionBy("term").orderBy(F.desc("wi"), "iid")
     champions = postings.withColumn("r", F.row_number().over(heaviest)).filter(
         F.col("r") <= SEED_LIST).select("term", "iid", "sig")
     rare_first = Window.partitionBy("sid").orderBy("n_items", "term").rowsBetween(
         Window.unboundedPreceding, -1)
     listed = F.least(F.col("n_items"), F.lit(SEED_LIST))
-    checked = store(_with_checks(slots(bounded_terms(vectors, postings)).withColumn(
-        "ahead", F.coalesce(F.sum(listed).over(rare_first), F.lit(0)))), "checked")
-    chosen = checked.filter(F.col("ahead") < 2 * k).select("sid", "term", *CHECKS)
+    chosen = checked.withColumn("ahead", F.coalesce(F.sum(listed).over(rare_first), F.lit(0))).filter(F.col("ahead") < 2 * k).select("sid", "term", *CHECKS)
     promising = Window.partitionBy("sid").orderBy(F.desc("most"), "iid")
     seeds = chosen.join(champions, "term").select(
         "sid", "iid", "sig", _attainable().alias("most")).groupBy("sid", "iid").agg(
@@ -266,8 +270,9 @@ def seed_limits(vectors: DataFrame, k: int) -> DataFrame:
 
 def topk_texts(vectors: DataFrame, k: int) -> DataFrame:
     """Pairs that contain every product text's k best item texts by cosine (positive ones)."""
-    limits = store(seed_limits(vectors, k), "limits")
-    found = pairs_above(vectors, limits)
+    terms = checked_terms(vectors)
+    limits = store(seed_limits(vectors, k, terms), "limits")
+    found = pairs_above(vectors, limits, terms)
     best = Window.partitionBy("sid").orderBy(F.desc("tf"))
     return found.withColumn("r", F.rank().over(best)).filter(F.col("r") <= k).drop("r")
 
