@@ -61,12 +61,14 @@ def document_frequency(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]
     return df, rows
 
 
-def train(docs: DataFrame, text_col: str, label_col: str, sample: int) -> dict:
-    """Model from labelled rows: frequencies from all of them, weights from about `sample`.
+def train(docs: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> dict:
+    """Model from labelled rows: frequencies from all of them, weights from about `sample`, at most twice
+    as many.
 
-    Each label gives up to an equal share of the sample, chosen by a hash of the text.
+    Each label gives up to an equal share of the sample, chosen by a hash of id and text, so that copies
+    of a text are chosen one by one; repeated rows count once in it, null texts not at all.
     """
-    known = docs.filter(F.col(label_col).isNotNull())
+    known = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     df, rows = document_frequency(known, text_col)
     idf = np.log((1 + rows) / (1 + df)) + 1
     sizes = {r[0]: r[1] for r in known.groupBy(label_col).count().collect()}
@@ -79,16 +81,19 @@ def train(docs: DataFrame, text_col: str, label_col: str, sample: int) -> dict:
     for label in labels:
         limit = min(1.0, share / sizes[label])
         kept = kept | ((F.col(label_col) == label)
-                       & (F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < int(limit * (1 << 20)) + 1))
+                       & (F.pmod(F.col("_hash"), F.lit(1 << 20)) < int(limit * (1 << 20)) + 1))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [_counts(t) for t in pdf[text_col]]
-            yield pd.DataFrame({"label": pdf[label_col], "at": [a.astype(np.uint16).tobytes() for a, _ in found],
+            yield pd.DataFrame({"_hash": pdf["_hash"], "label": pdf[label_col],
+                                "at": [a.astype(np.uint16).tobytes() for a, _ in found],
                                 "tf": [c.astype(np.uint32).tobytes() for _, c in found]})
 
-    got = known.filter(kept).select(text_col, label_col).mapInPandas(
-        features, f"label {docs.schema[label_col].dataType.simpleString()}, at binary, tf binary").collect()
+    chosen = known.select(text_col, label_col, F.xxhash64(
+        F.col(id_col).cast("string"), text_col).alias("_hash")).filter(kept).mapInPandas(
+        features, f"_hash long, label {docs.schema[label_col].dataType.simpleString()}, at binary, tf binary")
+    got = chosen.dropDuplicates(["_hash"]).orderBy("_hash").limit(2 * sample).collect()
     got.sort(key=lambda r: (bytes(r["at"]), bytes(r.tf), labels.index(r.label)))
     x = [_weigh(np.frombuffer(r["at"], np.uint16).astype(np.int64), np.frombuffer(r.tf, np.uint32), idf)
          for r in got]
@@ -105,11 +110,11 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
     """`lang_pred` and calibrated `score` of each document, by a model of `learn`'s labels.
 
     Follow-the-regularised-leader with elastic-net penalties fits the weights on about `sample`
-    labelled rows; a fifth of them sets the temperature. Texts that are null or have no letter are
+    labelled rows (twice as many at most); a fifth of them sets the temperature. Texts that are null or have no letter are
     `und` with score 0, as is everything if nothing can be learned; repeated rows get a row each; ties
     go to the first label; `keep` names further columns to return.
     """
-    model = train(learn, text_col, label_col, sample)
+    model = train(learn, id_col, text_col, label_col, sample)
     labels, idf, weights, t = model["labels"], model["idf"], model["weights"], model["t"]
 
     def predict(texts: list[str | None]) -> list[list]:

@@ -161,3 +161,13 @@ def test_temperature_lessens_the_log_loss():
     loss = lambda t: -np.log(ftrl.softmax(scores / t)[np.arange(500), y]).mean()
     assert loss(t) < loss(1.0) and t > 1
     assert ftrl.temperature(np.zeros((0, 2)), np.zeros(0, int)) == 1.0
+
+
+def test_hot_and_null_texts_do_not_fill_the_sample(spark, monkeypatch):
+    rows = [(i, "the same words again and again", "en") for i in range(600)] + [(1000 + i, None, "en") for i in range(400)]
+    rows += [(7, "the same words again and again", "en")] * 300 + [(2000 + i, f"palavras de outra língua {i}", "pt") for i in range(40)]
+    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen, real = [], ftrl.fit
+    monkeypatch.setattr(ftrl, "fit", lambda x, *rest, **more: seen.append(len(x)) or real(x, *rest, **more))
+    got = identify(learn.filter("doc_id >= 2000 or doc_id = 1"), learn, sample=60).collect()
+    assert seen[0] <= 120 and {r.lang_pred for r in got} == {"en", "pt"}
