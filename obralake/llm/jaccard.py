@@ -220,8 +220,8 @@ def _prefixes(counted: DataFrame, percent: int) -> DataFrame:
 def _boundary(sets: DataFrame) -> int:
     """Largest `reach` whose subsets are enumerated, the one with the least work.
 
-    A light set costs its subsets. Lists cost their entries, and the pairs that meet in them; they are
-    needed only for elements that a heavy set holds. Candidates are the powers of two.
+    A light set costs its subsets, a list its entries; lists are needed only for elements that a heavy
+    set holds. What meets is compared in groups either way. Candidates are the powers of two.
     """
     band = F.ceil(F.log2("reach")).cast("int")
     top = sets.select(F.max(band)).first()[0]
@@ -231,10 +231,8 @@ def _boundary(sets: DataFrame) -> int:
         F.sum(F.col("reach").cast("double") * (F.col("reach") - 1) / 2).alias("subsets")).collect()}
     held = sets.select(F.explode(F.slice("shared", 1, F.col("reach"))).alias("key"), band.alias("band")).groupBy(
         "key").agg(*[F.count_if(F.col("band") >= i).cast("double").alias(f"h{i}") for i in range(top + 1)])
-    # With bands from i on as heavy: entries of the lists, and pairs with a heavy set in them.
-    work = [F.sum(F.when(F.col(f"h{i}") > 0, F.col("h0") + F.col(f"h{i}") * (F.col("h0") - F.col(f"h{i}"))
-                         + F.col(f"h{i}") * (F.col(f"h{i}") - 1) / 2).otherwise(0.0)).alias(f"w{i}")
-            for i in range(top + 1)]
+    # With bands from i on as heavy: entries of the lists that a heavy set is in.
+    work = [F.sum(F.when(F.col(f"h{i}") > 0, F.col("h0")).otherwise(0.0)).alias(f"w{i}") for i in range(top + 1)]
     lists = [*held.agg(*work).first(), 0.0]
     costs = [sum(v for b, v in light.items() if b < i) + lists[i] for i in range(top + 2)]
     best = min(range(top + 2), key=lambda i: costs[i])
