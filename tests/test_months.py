@@ -13,6 +13,7 @@ from obralake.plans import etl
 from obralake.session import scratch_path
 from obralake.sources import tables as io
 from obralake.sources import workbooks as W
+from obralake.streaming.arrivals import archive_stream, load_archives
 from suite.books import pack_archive, pack_workbook
 
 from .test_sheets import BOM, CSD, ISD
@@ -122,6 +123,50 @@ def test_reload_keeps_first_names_and_clears_months(spark, tmp_path):
     assert not io.has_months(spark, f"{target}/relational/composicao_analitico")
 
 
+def test_archives_arrive_in_any_order(spark, tmp_path):
+    """One archive a batch: the later one replaces the month, one that comes late or again changes nothing."""
+    source, target = tmp_path / "in", scratch_path(spark, "target")
+    source.mkdir()
+
+    def put(name, at, content=None):
+        path = archive(tmp_path) if content is None else tmp_path / "made.zip"
+        if content is not None:
+            path.write_bytes(content)
+        os.utime(path, (1_700_000_000 + at, 1_700_000_000 + at))
+        path.rename(source / name)
+
+    def state():
+        read = lambda t: spark.read.parquet(f"{target}/relational/{t}").collect()
+        return ([(r["referencia"], r["codigo"], r["descricao"]) for r in read("insumos")],
+                sorted((r["uf"], r["tipo_desoneracao"], r["custo"]) for r in read("insumo_custos")),
+                io.has_months(spark, f"{target}/relational/composicao_analitico"))
+
+    def outcomes():
+        return sorted((r["path"].rsplit("/", 1)[-1], r["outcome"][:10]) for r in spark.read.parquet(
+            f"{target}/outcomes").collect())
+
+    marks = scratch_path(spark, "marks")
+    run = lambda at=marks: load_archives(archive_stream(spark, str(source), files_per_batch=1), target, at)
+    isd = [*ISD[:4], ["MAT", "7", "NOVO NOME", "UN", "C", "5", None, None]]
+    put("A-2025-12.zip", 100)
+    put("B-2025-11.zip", 150, b"PK broken")
+    run()
+    assert state()[0] == [("2025-12", 7, "TIJOLO")] and state()[2]
+    put("C-2025-12.zip", 300, pack_archive({"Referência.xlsx": pack_workbook({"ISD": grid(isd)})}))
+    put("D-2025-12.zip", 200)
+    run()
+    want = ([("2025-12", 7, "NOVO NOME")], [("AC", "SEM", 5.0)], False)
+    assert state() == want
+    put("E-2025-12.zip", 250)
+    run()
+    assert state() == want
+    assert outcomes() == [("A-2025-12.zip", "used"), ("B-2025-11.zip", "BadZipFile"), ("C-2025-12.zip", "used"),
+                          ("D-2025-12.zip", "used"), ("E-2025-12.zip", "superseded")]
+    run(scratch_path(spark, "marks"))  # all again, from the first
+    assert state() == want
+    assert ("A-2025-12.zip", "superseded") in outcomes()
+
+
 def test_repeated_keys_of_one_batch_store_one_row(spark):
     rows = spark.createDataFrame([(1, 5.0, "b", "m"), (1, 5.0, "a", "m"), (1, 2.0, "z", "m")],
                                  "id int, v double, t string, referencia string")

@@ -10,7 +10,7 @@ from suite import modules
 from .check_oracles import compare, oracle_connection
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SLOW = ("linkage", "tfidf", "tier_", "monthly", "wide_to_map", "cost_sheet")
+SLOW = ("linkage", "tfidf", "tier_", "monthly", "archive_arrivals", "wide_to_map", "cost_sheet")
 
 
 def names():
