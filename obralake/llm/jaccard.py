@@ -412,8 +412,9 @@ def keep_one_of_each(docs: DataFrame, percent: int = 90, shingle: int = 3, id_co
     first = found.groupBy("component_id").agg(F.min(F.struct(
         id_.isNull().alias("none"), id_.alias("id"), F.col("_key").alias("key"))).alias("first"), F.count("*").alias("rows"))
     first = store(first.filter("rows > 1").select("component_id", F.col("first.key").alias("_first")), "firsts")
-    gone = found.join(first, "component_id").filter(F.col("_key") != F.col("_first")).select(
-        F.col("_key").alias("_gone")).distinct()
+    # Stored, so that its size is known before whole texts would be shuffled to meet it.
+    gone = store(found.join(first, "component_id").filter(F.col("_key") != F.col("_first")).select(
+        F.col("_key").alias("_gone")).distinct(), "gone")
     kept = docs.join(gone, key == F.col("_gone"), "left_anti")
     again = store(found.join(first, found["_key"] == first["_first"], "left_semi").groupBy(
         F.col("_key").alias("_again")).count().filter("count > 1").select("_again"), "repeated")
