@@ -231,3 +231,35 @@ def test_evaluation_of_tiers(spark):
     assert got == {"alta": (2, 2, 1, 0.5), "baixa": (1, 0, 0, 0.0)}
     assert L.effective_weights(("tf", "lex"))["emb"] == 0.0
     assert abs(sum(L.effective_weights(("tf", "lex")).values()) - 1) < 1e-12
+
+
+def test_texts_of_the_best_items_count_their_copies(spark):
+    """With twenty copies of every item, one text fills ten candidates; more texts are not kept."""
+    texts = sorted(set(names(60, 5)))
+    items, skus = texts * 20, names(25, 6)
+    i, s = frames(spark, items, skus)
+    vectors = L.tfidf_vectors(i, s).cache()
+    scores = cosines(items, skus)
+    want = set()
+    for n, row in zip(skus, scores):
+        best = sorted(row, reverse=True)[9]
+        want |= {(n, t) for t, score in zip(items, row) if score >= best and score > 0}
+    named = vectors.select("side", "doc", "n")
+    got = L.topk_texts(vectors, 10).join(
+        named.filter("side = 1").select(F.col("doc").alias("sid"), F.col("n").alias("sn")), "sid").join(
+        named.filter("side = 0").select(F.col("doc").alias("iid"), F.col("n").alias("cn")), "iid")
+    assert {(r.sn, r.cn) for r in got.collect()} == want
+    near = L.preselect(i, vectors, 10).join(named.select(F.col("doc").alias("sid"), F.col("n").alias("sn")).distinct(), "sid")
+    found = {}
+    for r in near.collect():
+        found.setdefault(r.sn, {})[r.posto] = r.item_key
+    for n, row in zip(skus, scores):
+        assert [found[n][p] for p in range(1, 11)] == ranked(row, 10)
+
+
+def test_terms_are_counted_where_their_text_lies(spark):
+    texts = spark.createDataFrame([(1, "CABO CABO AZUL", 2), (2, "TUBO", 1)], "no bigint, n string, copies bigint")
+    counts = L.term_counts(texts)
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {tuple(r) for r in counts.collect()} == {
+        (1, "CABO", 2, 2), (1, "AZUL", 1, 2), (1, "CABO CABO", 1, 2), (1, "CABO AZUL", 1, 2), (2, "TUBO", 1, 1)}
