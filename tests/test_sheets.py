@@ -152,3 +152,21 @@ def test_generic_sheet_and_title_names(spark):
     assert names == {0: "código_novo", 1: "índice_", 2: "unnamed_2"}
     rows = S.generic_rows(table, "Outra", names, F.lit(MONTH)).orderBy("seq").collect()
     assert [(r["código_novo"], r["índice_"], r["unnamed_2"]) for r in rows] == [("1", None, "z"), (None, "2", None)]
+
+
+def test_sales_are_joined_once_for_all_sheets(spark):
+    from suite import common
+
+    cells = common.price_cells(spark, "/root/testdata/sf0.001")
+    assert "l_orderkey" not in cells._jdf.queryExecution().executedPlan().toString()
+    for sheets in (S.ITEM_SHEETS, S.COST_SHEETS, [S.BOM_SHEET]):
+        some = common.price_cells(spark, "/root/testdata/sf0.001", sheets)
+        same = cells.filter(F.col("sheet").isin(*sheets))
+        assert some.exceptAll(same).isEmpty() and same.exceptAll(some).isEmpty()
+
+
+def test_long_rows_are_summed_where_their_key_lies(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_partkey" in plan and "REPARTITION" in plan
