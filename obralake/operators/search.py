@@ -111,8 +111,10 @@ def token_search_join(queries: DataFrame, docs: DataFrame, query_key: str, doc_k
     texts are searched once. A query without tokens, or with one that no text holds, finds nothing.
     """
     asked = store(_texts(queries, query, by, T.search_tokens), "queries")
-    offered = store(_texts(docs, text, by, T.search_tokens), "texts")
-    postings = store(offered.select(*by, "text_id", "n", F.explode("parts").alias("token")), "postings")
+    # Of the texts' tokens only those that a query has are ever looked up.
+    wanted = store(asked.select(*by, F.explode("parts").alias("token")).distinct(), "wanted")
+    postings = store(_texts(docs, text, by, T.search_tokens).select(
+        *by, "text_id", "n", F.explode("parts").alias("token")).join(wanted, [*by, "token"], "left_semi"), "postings")
     often = store(postings.groupBy(*by, "token").agg(F.count("*").alias("often")), "tokens")
     wanted = asked.select(*by, F.col("text_id").alias("query_id"), F.col("n").alias("many"),
                           F.explode("parts").alias("token")).join(often, [*by, "token"])

@@ -79,3 +79,19 @@ def test_no_cross_join_and_keys_carry_the_month(spark):
     plan = found._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert found.filter(F.col("p").isNull()).count() == 0
+
+
+def test_only_tokens_of_queries_are_stored(spark, monkeypatch):
+    kept = {}
+
+    def store(df, name):
+        kept[name] = df.cache()
+        return kept[name]
+
+    monkeypatch.setattr(search, "store", store)
+    queries = spark.createDataFrame([(1, "cabo azul"), (2, "tubo nenhum")], "q bigint, consulta string")
+    docs = spark.createDataFrame([(1, "Cabo azul flexível"), (2, "cabo verde"), (3, "tubo azul"), (4, None)],
+                                 "d bigint, descricao string")
+    got = search.token_search_join(queries, docs, "q", "d").collect()
+    assert [(r.q, r.d, r.posto) for r in got] == [(1, 1, 1)]
+    assert {r.token for r in kept["postings"].collect()} == {"cabo", "azul", "tubo"}
