@@ -65,17 +65,26 @@ def attribute_extract(spark: SparkSession, sf: str) -> DataFrame:
         T.plate_size(n).alias("tamanho"), F.array_join(amps, " ").alias("amperes"))
 
 
-def rule_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Every part sold by a supplier, beside the item that has the supplier's number."""
+def rule_pairs(spark: SparkSession, sf: str, skus: DataFrame | None = None,
+               items: DataFrame | None = None) -> DataFrame:
+    """Every part sold by a supplier, beside the item that has the supplier's number.
+
+    `skus` and `items` hold what is wanted of each side beside its key; without them, the texts.
+    """
+    skus = skus or X.products(spark, sf).select("sku_key", F.col("n").alias("sn"))
+    items = items or X.items(spark, sf).select("item_key", F.col("n").alias("cn"))
     pairs = table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("sku_key"), F.col("l_suppkey").alias("item_key")).distinct()
-    return pairs.join(X.products(spark, sf).select("sku_key", F.col("n").alias("sn")), "sku_key").join(
-        X.items(spark, sf).select("item_key", F.col("n").alias("cn")), "item_key")
+    return pairs.join(skus, "sku_key").join(items, "item_key")
 
 
 def measure_hit(spark: SparkSession, sf: str) -> DataFrame:
-    hit = R.measure_hit(F.col("sn"), F.col("cn"))
-    return rule_pairs(spark, sf).select("sku_key", "item_key", F.round(hit, 6).alias("hit"))
+    """Numbers are read once per text, not per pair."""
+    n = F.col("n")
+    skus = X.products(spark, sf).select("sku_key", R.asked_numbers(n).alias("asked"))
+    items = X.items(spark, sf).select("item_key", T.numbers(n).alias("offered"), T.amp_ranges(n).alias("ranges"))
+    hit = R.hit_ratio(F.col("asked"), F.col("offered"), F.col("ranges"))
+    return rule_pairs(spark, sf, skus, items).select("sku_key", "item_key", F.round(hit, 6).alias("hit"))
 
 
 def type_rules(spark: SparkSession, sf: str) -> DataFrame:

@@ -95,3 +95,13 @@ def test_only_tokens_of_queries_are_stored(spark, monkeypatch):
     got = search.token_search_join(queries, docs, "q", "d").collect()
     assert [(r.q, r.d, r.posto) for r in got] == [(1, 1, 1)]
     assert {r.token for r in kept["postings"].collect()} == {"cabo", "azul", "tubo"}
+
+
+def test_rules_read_texts_before_they_are_paired(spark):
+    """What is read of a text stands below the join, so it is read once per text."""
+    import __spark_entry__ as entry
+
+    for name in ("measure_hit", "weighted_containment"):
+        plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[:plan.index("Join")]
+        assert "regexp" not in above and "md5" not in above
