@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from ..session import store
 
 #: Texts of a token or trigram that share a join key.
 SPREAD = 50_000
+#: Texts of either side in a block of texts that are compared pair by pair.
+BLOCK = 2000
+#: Trigrams that are compared at once.
+COLUMNS = 4096
 SLACK = 1e-9
 
 
@@ -61,6 +67,85 @@ def _keyed(df: DataFrame, text: str, by: Sequence[str], key: str) -> DataFrame:
         key, F.unhex(F.md5(F.to_json(F.struct(*by, folded.alias("_t"))))).alias("text_id"))
 
 
+def _blocks(left: DataFrame, right: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
+    """Alike texts from blocks of both sides with equal `by`, each pair compared once."""
+    place = lambda g, i: F.ascii(F.substring(g, i, 1)).cast("bigint")
+    code = F.transform("parts", lambda g: (place(g, 1) * 2 ** 21 + place(g, 2)) * 2 ** 21 + place(g, 3))
+    left, right = (df.select(*by, F.lit(0).alias("_all"), "text_id", "n", code.alias("codes")) for df in (left, right))
+    by = [*by, "_all"]
+    many = F.ceil(F.count("*") / BLOCK).cast("int")
+    sizes = left.groupBy(*by).agg(many.alias("p")).join(right.groupBy(*by).agg(many.alias("q")), by)
+    mine = lambda parts: F.pmod(F.xxhash64("text_id"), F.col(parts)).cast("int")
+    each = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    asked = left.join(sizes, by).select(*by, mine("p").alias("i"), each("q").alias("j"), F.col("text_id").alias("phrase_id"),
+                                        F.col("n").alias("a"), F.col("codes").alias("asked"))
+    offered = right.join(sizes, by).select(*by, each("p").alias("i"), mine("q").alias("j"), "text_id",
+                                           F.col("n").alias("b"), F.col("codes").alias("parts"))
+    keys = [*by, "i", "j"]
+
+    def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        common = _common_counts(mine["asked"], theirs["parts"])
+        a, b = mine["a"].to_numpy(), theirs["b"].to_numpy()
+        alike = common / (a[:, None] + b[None, :] - common)
+        x, y = np.nonzero(alike >= threshold)
+        return pd.DataFrame({"phrase_id": mine["phrase_id"].to_numpy()[x], "text_id": theirs["text_id"].to_numpy()[y],
+                             "semelhanca": alike[x, y]})
+
+    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(
+        compare, "phrase_id binary, text_id binary, semelhanca double")
+
+
+def _common_counts(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """How many codes each text of the left has in common with each of the right; codes are distinct in a text."""
+    out = np.zeros((len(left), len(right)))
+    if not len(left) or not len(right):
+        return out
+    sides = [(np.repeat(np.arange(len(s)), s.map(len)), np.concatenate(s.tolist())) for s in (left, right)]
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    for at in range(0, len(shared), COLUMNS):
+        some = shared[at:at + COLUMNS]
+        has = []
+        for (row, codes), n in zip(sides, out.shape):
+            column = np.minimum(np.searchsorted(some, codes), len(some) - 1)
+            met = some[column] == codes
+            bits = np.zeros((n, len(some)), np.float32)
+            bits[row[met], column[met]] = 1
+            has.append(bits)
+        out += has[0] @ has[1].T
+    return out
+
+
+def _meetings(prefixes: DataFrame, left: DataFrame, right: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """How often texts meet in a trigram of their prefixes, and how many pairs of texts there are at all."""
+    count = lambda side: F.count_if(F.col("side") == side).cast("double")
+    met = prefixes.groupBy(*by, "gram").agg((count(1) * count(0)).alias("m"))
+    texts = left.select("side", *by).unionByName(right.select("side", *by)).groupBy(*by).agg(
+        (count(1) * count(0)).alias("m"))
+    for name in by:
+        met, texts = met.filter(F.col(name).isNotNull()), texts.filter(F.col(name).isNotNull())
+    return tuple(df.agg(F.coalesce(F.sum("m"), F.lit(0.0))).first()[0] for df in (met, texts))
+
+
+def _by_prefix(prefixes: DataFrame, left: DataFrame, right: DataFrame, by: Sequence[str],
+               threshold: float) -> DataFrame:
+    """Alike texts among those that have a trigram of their prefixes in common."""
+    asked, offered = _spread(prefixes.filter("side = 1").drop("side"),
+                             prefixes.filter("side = 0").drop("side"), "gram")
+    asked = asked.withColumnsRenamed({"text_id": "phrase_id", "n": "a", "place": "i"})
+    offered = offered.withColumnsRenamed({"n": "b", "place": "j"})
+    need = F.ceil((F.col("a") + F.col("b")) * threshold / (1 + threshold) - SLACK)
+    met = asked.join(offered, [*by, "gram", "part"]).filter(
+        (F.least("a", "b") >= threshold * F.greatest("a", "b") - SLACK)).groupBy("phrase_id", "text_id").agg(
+        F.count("*").alias("common"), F.max("i").alias("i"), F.max("j").alias("j"),
+        F.first("a").alias("a"), F.first("b").alias("b"))
+    room = F.col("common") + F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) - 1
+    pairs = met.filter(room >= need).select("phrase_id", "text_id")
+    alike = trigram_similarity(F.col("asked"), F.col("parts"))
+    return pairs.join(left.select(F.col("text_id").alias("phrase_id"), F.col("parts").alias("asked")), "phrase_id").join(
+        right.select("text_id", "parts"), "text_id").select(
+        "phrase_id", "text_id", alike.alias("semelhanca")).filter(F.col("semelhanca") >= threshold)
+
+
 def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key: str,
                  phrase: str = "frase", text: str = "descricao", by: Sequence[str] = (),
                  threshold: float = 0.3) -> DataFrame:
@@ -69,7 +154,8 @@ def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key
     Similarity is that of the trigram sets, as in `trigram_search`; `by` columns must be equal. Trigrams
     are ordered by rarity, and two texts as similar as asked have one in common in their prefixes. A
     pair that meets there is kept only while its lengths and the places of the last common trigram leave
-    room for enough of them; what is left is compared whole. Equal texts are compared once. Texts that
+    room for enough of them; what is left is compared whole. Where texts would meet more often than there
+    are pairs, blocks of texts are compared pair by pair instead. Equal texts are compared once. Texts that
     are null or have no letter or digit match nothing; repeated keys give a row each.
     """
     left = store(_texts(phrases, phrase, by, T.trigrams).withColumn("side", F.lit(1)), "phrases")
@@ -82,21 +168,8 @@ def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key
     prefixes = store(ordered.select("side", *by, "text_id", "n", F.posexplode(
         F.slice("grams", 1, (F.col("n") - least + 1).cast("int"))).alias("place", "g")).select(
         "side", *by, "text_id", "n", "place", "g.gram"), "prefixes")
-    asked, offered = _spread(prefixes.filter("side = 1").drop("side"),
-                             prefixes.filter("side = 0").drop("side"), "gram")
-    asked = asked.withColumnsRenamed({"text_id": "phrase_id", "n": "a", "place": "i"})
-    offered = offered.withColumnsRenamed({"n": "b", "place": "j"})
-    need = F.ceil((F.col("a") + F.col("b")) * threshold / (1 + threshold) - SLACK)
-    met = asked.join(offered, [*by, "gram", "part"]).filter(
-        (F.least("a", "b") >= threshold * F.greatest("a", "b") - SLACK)).groupBy("phrase_id", "text_id").agg(
-        F.count("*").alias("common"), F.max("i").alias("i"), F.max("j").alias("j"),
-        F.first("a").alias("a"), F.first("b").alias("b"))
-    room = F.col("common") + F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) - 1
-    pairs = met.filter(room >= need).select("phrase_id", "text_id")
-    alike = trigram_similarity(F.col("asked"), F.col("parts"))
-    found = pairs.join(left.select(F.col("text_id").alias("phrase_id"), F.col("parts").alias("asked")), "phrase_id").join(
-        right.select("text_id", "parts"), "text_id").select(
-        "phrase_id", "text_id", alike.alias("semelhanca")).filter(F.col("semelhanca") >= threshold)
+    met, pairs = _meetings(prefixes, left, right, by)
+    found = _blocks(left, right, by, threshold) if met > pairs and threshold > 0 else _by_prefix(prefixes, left, right, by, threshold)
     return store(found, "alike").join(
         _keyed(phrases, phrase, by, phrase_key).withColumnRenamed("text_id", "phrase_id"), "phrase_id").join(
         _keyed(items, text, by, item_key), "text_id").select(phrase_key, item_key, "semelhanca")

@@ -105,3 +105,18 @@ def test_rules_read_texts_before_they_are_paired(spark):
         plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         above = plan[:plan.index("Join")]
         assert "regexp" not in above and "md5" not in above
+
+
+def test_blocks_and_prefixes_give_the_same_pairs(spark, monkeypatch):
+    """Texts that meet in many trigrams are compared in blocks, however small these are."""
+    monkeypatch.setattr(search, "BLOCK", 7)
+    phrases = spark.createDataFrame(made(60, 21), "k bigint, brand string, frase string")
+    items = spark.createDataFrame(made(50, 22), "i bigint, brand string, descricao string")
+    found = {}
+    for name, count in (("blocks", (2, 1)), ("prefixes", (1, 2))):
+        monkeypatch.setattr(search, "_meetings", lambda *a, count=count: count)
+        for by in ((), ("brand",)):
+            rows = search.trigram_join(phrases, items, "k", "i", by=by).collect()
+            found[name, by] = sorted((r.k, r.i, r.semelhanca) for r in rows)
+    assert found["blocks", ()] == found["prefixes", ()] and found["blocks", ("brand",)] == found["prefixes", ("brand",)]
+    assert len(found["blocks", ()]) > len(found["blocks", ("brand",)]) > 0
