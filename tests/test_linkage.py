@@ -263,3 +263,28 @@ def test_terms_are_counted_where_their_text_lies(spark):
     assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert {tuple(r) for r in counts.collect()} == {
         (1, "CABO", 2, 2), (1, "AZUL", 1, 2), (1, "CABO CABO", 1, 2), (1, "CABO AZUL", 1, 2), (2, "TUBO", 1, 1)}
+
+
+def test_seeds_are_compared_once_per_kind_of_product(spark):
+    """Products that differ in a number no item has are one kind; every limit stays below its k-th best."""
+    items, forms = names(80, 7), sorted(set(names(30, 8)))
+    skus = [f"{n} {code}" for n in forms for code in ("990001", "990002 990003", "990004")]
+    i, s = frames(spark, items, skus)
+    vectors = L.tfidf_vectors(i, s).cache()
+    terms = L.checked_terms(vectors)
+    found = terms[1].select("sid", "kind").distinct().collect()
+    assert len({r.kind for r in found}) <= len(forms) < len({r.sid for r in found}) == len(skus)
+    limits = {r.n: r.limit for r in L.seed_limits(vectors, 5, terms).join(
+        vectors.filter("side = 1").select(F.col("doc").alias("sid"), "n"), "sid").collect()}
+    best = {n: sorted(row, reverse=True)[4] for n, row in zip(skus, cosines(items, skus))}
+    assert all(limits[n] <= best[n] + 1e-9 for n in skus) and sum(limits.values()) > 0
+
+
+def test_rules_are_read_once_per_pair_of_texts(spark):
+    """Copies of an item share the row of their text: the rules lie below the join with the keys."""
+    i, s = frames(spark, ["CABO FLEXIVEL 750 V"] * 5, ["CABO FLEXIVEL 2.5"])
+    vectors = L.tfidf_vectors(i, s).cache()
+    pairs = L.preselect(i, vectors, 5).cache()
+    got = L.features(pairs, vectors)
+    assert got.count() == 5 and len({(r.score, r.cont, r.base) for r in got.collect()}) == 1
+    assert "Aggregate [sid#" in got._jdf.queryExecution().optimizedPlan().toString()
