@@ -83,3 +83,13 @@ def test_parsing(spark):
     assert apply(spark, ["Analítico", "A-B c"], P.safe_sheet_name) == ["analítico", "a-b_c"]
     assert apply(spark, [None, "nan", " Insumo"], P.item_type) == [
         "COMPOSICAO_MAE", "COMPOSICAO_MAE", "INSUMO"]
+
+
+def test_texts_are_cut_into_tokens_once_and_not_per_pair(monkeypatch):
+    from obralake.functions import lexical
+    seen = []
+    plain = lexical.re.split
+    monkeypatch.setattr(lexical.re, "split", lambda p, t: seen.append(t) or plain(p, t))
+    items = ["CABO AZUL", "cabo\u00a0x", None, ""]
+    got = lexical.ratios(["CABO VERDE"] * 4, items)
+    assert len(seen) == 5 and got[2] == got[3] == 0.0 and 0 < got[0] < 1
