@@ -9,6 +9,7 @@ from obralake.operators import picks
 from obralake.operators import quality as Q
 from obralake.operators import removal
 from obralake.operators import star
+from obralake.session import store
 
 from .common import SALES_SQL, exact_sum, sales, table
 
@@ -45,8 +46,8 @@ def dim_reference(spark: SparkSession, sf: str) -> DataFrame:
     return star.dim_reference(sales_months(orders), stored)
 
 
-def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Part sales of a month as item records, one side per regime."""
+def _records(spark: SparkSession, sf: str, stored: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Part sales of a month as item records, one side per regime; `stored` if many tables are made of all their columns."""
     s = sales(spark, sf).join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = s.groupBy("mes", "l_linestatus", "p_partkey", "p_size", "p_type", "p_name", "p_brand",
                      "uf").agg(exact_sum("l_extendedprice").cast("double").alias("custo"))
@@ -57,6 +58,8 @@ def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         F.col("mes").alias("referencia"), F.col("p_size").alias("codigo"),
         F.col("p_brand").alias("unidade"), F.col("p_type").alias("categoria"),
         F.col("p_name").alias("descricao"), F.col("p_partkey").alias("seq"), "precos", "l_linestatus")
+    if stored:
+        records = store(records, "records")
     return (records.filter("l_linestatus = 'F'").drop("l_linestatus"),
             records.filter("l_linestatus = 'O'").drop("l_linestatus"))
 
@@ -170,7 +173,7 @@ def cascade_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 def remove_reference(spark: SparkSession, sf: str) -> DataFrame:
     """Rows left in each star table after one month is removed."""
-    sem, com = _records(spark, sf)
+    sem, com = _records(spark, sf, stored=True)
     refs = star.dim_reference(_months(spark, sf))
     items = star.dim_entities(sem, com, "insumo")
     comps = star.dim_entities(sem, com, "composicao")

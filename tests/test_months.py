@@ -256,3 +256,20 @@ def test_members_of_one_name_in_two_folders(spark, tmp_path):
         assert cells == want  # a broken member does not stop the ones after it
     main = W.cells(files, ["ISD"], main_only=True).collect()
     assert [(r.file, r.value) for r in main] == [("a/Referência.xlsx", "main")]
+
+
+def test_records_of_the_star_are_read_from_the_store(spark, tmp_path):
+    """Six tables are made of them: the sales are joined once and not once per table."""
+    from suite import star as suite_star
+    rows = {
+        "customer": "SELECT 1L c_custkey, 3 c_nationkey",
+        "orders": "SELECT 5L o_orderkey, 1L o_custkey, timestamp'1997-03-02' o_orderdate",
+        "part": "SELECT 7L p_partkey, 4 p_size, 'PROMO' p_type, 'cabo' p_name, 'M' p_brand",
+        "lineitem": "SELECT 5L l_orderkey, 7L l_partkey, explode(array('F', 'O')) l_linestatus, 2.5D l_extendedprice"}
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    sem, com = suite_star._records(spark, str(tmp_path), stored=True)
+    plan = sem.unionByName(com)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert [(r.referencia, r.codigo, list(r.precos.values())) for r in sem.collect()] == [("1997-03", 4, [2.5])]
+    assert com.count() == 1
