@@ -18,6 +18,8 @@ from ..session import store
 
 PIVOTS = 64
 BLOCK = 4_096
+# Queries that a task compares, or deals to cells, at once.
+ROWS = 256
 MARGIN = 1e-6
 DIGITS = 9
 
@@ -33,6 +35,25 @@ def _angles(vectors: np.ndarray, units: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.arccos(np.clip(cosines, -1.0, 1.0)), norms
 
 
+def _matches(asking: pd.DataFrame, offered: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Hits of a block that may be among the k best, ROWS of its queries at a time."""
+    if not len(asking) or not len(offered):
+        return pd.DataFrame({"sid": [], "iid": [], "emb": []})
+    ids, vectors = offered["iid"].to_numpy(), _matrix(offered["v"]).T
+    out = []
+    for at in range(0, len(asking), ROWS):
+        some = asking.iloc[at:at + ROWS]
+        sims = np.round(np.clip(_matrix(some["v"]) @ vectors, 0.0, 1.0), DIGITS)
+        floor = some["floor"].to_numpy() - MARGIN
+        if sims.shape[1] > k:
+            floor = np.maximum(floor, np.partition(sims, -k, axis=1)[:, -k])
+        row, col = np.nonzero(sims >= floor[:, None])
+        found = pd.DataFrame({"sid": some["sid"].to_numpy()[row], "iid": ids[col], "emb": sims[row, col]})
+        # Equal copies can all reach the floor: the k highest ids of a block are enough.
+        out.append(found.sort_values(["emb", "iid"], ascending=False).groupby("sid").head(k))
+    return pd.concat(out)
+
+
 def _id_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -85,9 +106,7 @@ def _visit(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id:
     longest = np.array([extent[c]["norm"] for c in cells])
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if not len(b):
-                continue
+        for b in (batch.iloc[at:at + ROWS] for batch in batches for at in range(0, len(batch), ROWS)):
             m = _matrix(b["v"])
             floor = b["floor"].to_numpy()
             if len(seeds) >= k:
@@ -118,18 +137,7 @@ def _visit(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id:
         F.pmod(F.xxhash64("sid"), crowd).cast("int").alias("crowd"), "sid", "v", "floor")
 
     def match(asking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(offered):
-            return pd.DataFrame({"sid": [], "iid": [], "emb": []})
-        sims = np.round(np.clip(_matrix(asking["v"]) @ _matrix(offered["v"]).T, 0.0, 1.0), DIGITS)
-        floor = asking["floor"].to_numpy() - MARGIN
-        if sims.shape[1] > k:
-            floor = np.maximum(floor, np.partition(sims, -k, axis=1)[:, -k])
-        row, col = np.nonzero(sims >= floor[:, None])
-        ids = offered["iid"].to_numpy()
-        found = pd.DataFrame({"sid": asking["sid"].to_numpy()[row], "iid": ids[col],
-                              "emb": sims[row, col]})
-        # Equal copies can all reach the floor: the k highest ids of a block are enough.
-        return found.sort_values(["emb", "iid"], ascending=False).groupby("sid").head(k)
+        return _matches(asking, offered, k)
 
     key = ["cell", "piece", "crowd"]
     return askers.groupBy(*key).cogroup(sides.groupBy(*key)).applyInPandas(

@@ -288,3 +288,17 @@ def test_rules_are_read_once_per_pair_of_texts(spark):
     got = L.features(pairs, vectors)
     assert got.count() == 5 and len({(r.score, r.cont, r.base) for r in got.collect()}) == 1
     assert "Aggregate [sid#" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocks_of_vectors_are_compared_some_queries_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    asking = pd.DataFrame({"sid": range(700), "v": list(rng.random((700, 4))), "floor": 0.0})
+    offered = pd.DataFrame({"iid": range(50), "v": list(rng.random((50, 4)))})
+    shapes, plain = [], np.round
+    monkeypatch.setattr(np, "round", lambda x, d=0: shapes.append(x.shape) or plain(x, d))
+    got = N._matches(asking, offered, 3)
+    assert max(rows for rows, _ in shapes) <= N.ROWS and sum(rows for rows, _ in shapes) == 700
+    monkeypatch.undo()
+    scores = np.clip(np.vstack(asking["v"]) @ np.vstack(offered["v"]).T, 0, 1)
+    want = {(i, j) for i, row in enumerate(np.round(scores, 9)) for j in sorted(range(50), key=lambda j: (-row[j], -j))[:3]}
+    assert set(zip(got["sid"], got["iid"])) == want
