@@ -75,6 +75,23 @@ def test_preselect_is_exact(spark, monkeypatch, spread, seeds, checked):
         assert [mine[p] for p in sorted(mine)] == ranked(scores[row], 15), text
 
 
+def test_copies_are_ranked_within_a_row(spark):
+    """Candidates move as pairs of texts, however many copies of an item text are among them; ties of two
+    texts alternate by key."""
+    items, skus = (["CABO AZUL", "AZUL CABO", "LUVA"] * 30)[:-1], ["CABO", "AZUL", "LUVA 10MM", "SOZINHO"]
+    i, s = frames(spark, items, skus)
+    vectors = L.store(L.tfidf_vectors(i, s), "vectors")
+    pairs = L.candidate_texts(i, vectors, 40).cache()
+    assert pairs.count() <= 3 * len(skus)
+    scores = cosines(items, skus)
+    got = {}
+    for r in L.by_item(pairs).collect():
+        got.setdefault(bytes(r["sid"]), {})[r["posto"]] = r["item_key"]
+    for row, text in enumerate(skus):
+        mine = got[hashlib.md5(text.encode()).digest()]
+        assert [mine[p] for p in sorted(mine)] == ranked(scores[row], 40), text
+
+
 def common(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
