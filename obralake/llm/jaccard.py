@@ -23,6 +23,8 @@ BUCKET, BLOCK, KEPT_WORDS = 500_000, 256, 150_000
 SUBSET, UNIT = 2, 512
 #: Most bits of the filter of sets that may have a link.
 FILTER_BITS = 1 << 26
+#: Percent of a set's elements that its first ones have in common with those of a linked set.
+COMMON = 10
 
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -54,6 +56,13 @@ def required(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-sizes * percent // 100)
 
 
+def in_common(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Elements that sets of these sizes have in common, with any they link with, within their first ones:
+    the least elements of any order, `sizes - required + in_common` of them. A linked set may be smaller;
+    the lesser number of the two holds."""
+    return np.maximum(1, np.minimum(required(sizes, percent), sizes * COMMON // 100))
+
+
 def _digest(elements: np.ndarray) -> bytes:
     return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
 
@@ -117,35 +126,52 @@ def _times(packed: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def _surveyed(docs: DataFrame, percent: int, shingle: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document, `may` of which says whether it can have a link.
+    """One row per document, and for each block of documents the places (`own`) of the first elements that
+    are first ones elsewhere too.
 
-    In the order of the hashes, linked sets share one of their first elements, however few those are; only
-    they are shipped. A row with `may` has only that and the `no` besides.
+    In the order of the hashes, linked sets have `in_common` of their first elements in common; only these
+    are shipped.
     """
     def first(elements: np.ndarray, _digest: bytes) -> np.ndarray:
-        return elements[:len(elements) - int(required(np.array(len(elements)), percent)) + 1]
+        n = np.array(len(elements))
+        return elements[:int(n - required(n, percent) + in_common(n, percent))]
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
-        out = whole.assign(may=False)
+        out = whole.assign(own=None)
         if len(packed):
             hashes, times = _times(packed)
-            met = np.repeat(packed["block"].to_numpy(np.int64), [len(h) for h in hashes]) + np.frombuffer(
-                b"".join(packed["own"]), np.uint8)
-            out = pd.concat([out, pd.DataFrame({"no": np.unique(met[times > 1]), "may": True})])
-        return out.assign(id=_texts(out["id"]))[["no", "id", "n", "digest", "may"]]
+            found, at = [], 0
+            for block, own, values in zip(packed["block"], packed["own"], hashes):
+                again = times[at:at + len(values)] > 1
+                at += len(values)
+                if again.any():
+                    found.append((block, np.frombuffer(own, np.uint8)[again].tobytes()))
+            if found:
+                out = pd.concat([out, pd.DataFrame(found, columns=["block", "own"])])
+        return out.assign(id=_texts(out["id"]))[["block", "no", "id", "n", "digest", "own"]]
 
     return _shipped(docs, shingle, buckets, id_col, text_col, first).groupBy("bucket").applyInPandas(
-        count, "no long, id string, n long, digest binary, may boolean")
+        count, "block long, no long, id string, n long, digest binary, own binary")
 
 
-def _filter(surveyed: DataFrame) -> tuple[np.ndarray, int]:
+def _filter(surveyed: DataFrame, percent: int) -> tuple[np.ndarray, int]:
     """Bit set of the digests of sets that may have a link; of bounded size, so others may be in it too."""
-    may = surveyed.filter("may").select("no").distinct()
-    digests = surveyed.filter(~F.col("may")).select("no", "digest").join(may, "no", "left_semi").select("digest")
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        whole, packed = pdf[pdf["no"].notna()], pdf[pdf["no"].isna()]
+        if not len(packed) or not len(whole):
+            return pd.DataFrame(columns=["digest"])
+        met = np.bincount(np.frombuffer(b"".join(packed["own"]), np.uint8), minlength=BLOCK)
+        place = (whole["no"] - whole["block"]).to_numpy(np.int64)
+        # The smallest set it can link with has the fewest in common.
+        least = in_common(required(whole["n"].to_numpy(np.int64), percent), percent)
+        return whole.loc[met[place] >= least, ["digest"]]
+
+    digests = store(surveyed.select("block", "no", "n", "digest", "own").groupBy("block").applyInPandas(
+        gather, "digest binary"), "may")
     slot = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
-    bits = 1 << 12
-    while bits < FILTER_BITS and bits < 16 * digests.count():
+    many, bits = digests.count(), 1 << 12
+    while bits < FILTER_BITS and bits < 16 * many:
         bits *= 16
     bits = min(bits, FILTER_BITS)
     slot = F.pmod(slot, F.lit(bits))
@@ -347,8 +373,8 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
     """Class of each document under links of equal or similar shingle sets.
 
     Two sets link when 100 * intersection >= `percent` * union. Documents with equal sets are one
-    node. Sets that share none of their first elements in the order of the hashes have no link and go no
-    further; a filter of bounded size says so to a second reading. Shingles of the others are ordered by
+    node. Linked sets have a share of their first elements in the order of the hashes in common (`in_common`);
+    sets that have fewer go no further, and a filter of bounded size says so to a second reading. Shingles of the others are ordered by
     the number of documents that hold them; linked sets have SUBSET elements in common within their
     rarest ones, of which those held by a single document are left out. Light sets meet in their
     enumerated subsets, heavy sets in inverted lists; the boundary is the one with the least work. Sets that meet form groups, and all sets of a group are compared
@@ -363,12 +389,12 @@ def link_documents(docs: DataFrame, percent: int = 90, shingle: int = 3, id_col:
     volume = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(4, -(-volume // (7 * BUCKET)))
     surveyed = store(_surveyed(docs, percent, shingle, buckets, id_col, text_col), "surveyed")
-    whole = surveyed.filter(~F.col("may")).select(
+    whole = surveyed.filter(F.col("no").isNotNull()).select(
         F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "n", "digest")
     classes = store(whole.filter(F.col("n") > 0).groupBy("digest").agg(
         F.min("id").alias("least"), F.count("*").alias("copies")), "classes")
 
-    counted = store(_counted(docs, shingle, buckets, id_col, text_col, *_filter(surveyed)), "counted")
+    counted = store(_counted(docs, shingle, buckets, id_col, text_col, *_filter(surveyed, percent)), "counted")
     sets = store(_prefixes(counted, percent), "sets")
     drop_stored(counted)
     keys = store(_keys(sets, _boundary(sets)), "keys")

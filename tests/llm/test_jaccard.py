@@ -90,6 +90,38 @@ def test_rows_are_told_apart_by_id_and_text(spark):
     assert len([r for r in kept if r.doc_id is None]) == 1 and len(kept) == 3
 
 
+def test_texts_that_share_a_line_are_read_once(spark, monkeypatch):
+    """Only sets that have enough of their first elements in common go on to the second reading."""
+    counted, real = [], jaccard.store
+    monkeypatch.setattr(jaccard, "store", lambda df, name: [out := real(df, name), name == "counted" and counted.append(
+        out.filter("no is not null").count())][0])
+    rows = [(i, prose(i, 300) + " a line that all of these texts have and no more than that " + prose(99 - i, 300)) for i in range(40)]
+    rows += [(100 + i, edited(t, 5, 200)) for i, t in rows[:3]]
+    got = link_documents(documents(spark, rows), 80, 5).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 80, 5)
+    assert counted == [6]
+
+
+@pytest.mark.parametrize("percent", [5, 50, 80, 90, 100])
+def test_linked_sets_have_first_elements_in_common(percent):
+    rng = np.random.default_rng(percent)
+
+    def first(x):
+        n = np.array(len(x))
+        return np.sort(x)[:int(n - jaccard.required(n, percent) + jaccard.in_common(n, percent))]
+
+    met = 0
+    for n in [*range(1, 60), 199, 1000]:
+        for both in {int(jaccard.required(np.array(n), percent)), n - n // 20, n}:
+            x = rng.permutation(4 * n + 4)
+            a, b = x[:n], np.r_[x[:both], x[n:n + int(rng.integers(0, n))]]
+            if 100 * both >= percent * len(np.union1d(a, b)):
+                met += 1
+                for s in (a, b):
+                    assert len(np.intersect1d(first(a), first(b))) >= jaccard.in_common(jaccard.required(np.array(len(s)), percent), percent)
+    assert met >= 5
+
+
 @pytest.mark.parametrize("kind", ["light", "mixed", "heavy"])
 def test_boundary_is_the_one_with_the_least_work(spark, kind):
     """Sets of two elements ask for subsets, sets of many for lists, and both for both."""
