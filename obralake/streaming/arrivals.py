@@ -98,7 +98,7 @@ def load_archives(arrivals: DataFrame, target: str, checkpoint: str) -> None:
         tables = etl.process_months(cells.join(fresh.select("referencia"), "referencia", "left_semi"))
         tables = {s: store(df, "sheet") for s, df in tables.items()}
         etl.write_relational(etl.relational(tables), f"{target}/relational", months)
-        write_table(fresh, ledger)
+        write_table(fresh, ledger, months=len(months))
 
     query = (arrivals.writeStream.foreachBatch(load)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

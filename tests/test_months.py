@@ -273,3 +273,25 @@ def test_records_of_the_star_are_read_from_the_store(spark, tmp_path):
     assert "Join" not in plan
     assert [(r.referencia, r.codigo, list(r.precos.values())) for r in sem.collect()] == [("1997-03", 4, [2.5])]
     assert com.count() == 1
+
+
+def test_many_small_months_are_written_by_several_tasks(spark, tmp_path):
+    months = [f"{1000 + i // 12}-{i % 12 + 1:02d}" for i in range(100)]
+    rows = spark.createDataFrame([(m, i) for m in months for i in range(3)], "referencia string, id int")
+    etl.write_relational({name: rows for name in etl.TABLES}, str(tmp_path), months)
+    for name in etl.TABLES:
+        files = list((tmp_path / name).glob("referencia=*/part-*.parquet"))
+        assert len(files) == 100 and len({f.name.split("-")[1] for f in files}) > 4
+        assert sorted(map(tuple, spark.read.parquet(str(tmp_path / name)).select("referencia", "id").collect())) == sorted(
+            (m, i) for m in months for i in range(3))
+
+
+def test_only_stored_months_are_cleared(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], "referencia string, id int")
+    io.write_table(rows, str(tmp_path / "t"))
+    asked, real = [], io.drop_reference
+    monkeypatch.setattr(io, "drop_reference", lambda s, path, month: asked.append(month) or real(s, path, month))
+    io.clear_months(rows.filter("id = 2"), str(tmp_path / "t"), ["2024-01", "2024-02", "2025-01", "2025-02"])
+    io.clear_months(rows.limit(0), str(tmp_path / "none"), ["2024-01"])
+    assert asked == ["2024-01"]
+    assert [p.name for p in (tmp_path / "t").glob("referencia=*")] == ["referencia=2024-02"]
