@@ -1,5 +1,7 @@
 """Hand-written cell tables: header search, row filters, code recovery, tree."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from obralake.operators import compositions as C
@@ -170,3 +172,31 @@ def test_long_rows_are_summed_where_their_key_lies(spark):
 
     plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(l_partkey" in plan and "REPARTITION" in plan
+
+
+def small_tables(spark, folder):
+    """A nation, customer, supplier and part, and an order of two months with a line each."""
+    rows = {
+        "nation": ("n_nationkey bigint, n_name string", [(0, "NATION_0"), (1, "NATION_1")]),
+        "customer": ("c_custkey bigint, c_nationkey bigint", [(1, 1)]),
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey bigint, s_acctbal double", [(3, "Supplier", 7, 5000.0)]),
+        "part": ("p_partkey bigint, p_name string, p_brand string, p_type string", [(2, "red gear", "Brand#1", "SMALL")]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz", [
+            (1, 1, datetime(1997, 3, 1)), (2, 1, datetime(1997, 4, 1))]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, "
+                      "l_linestatus string, l_returnflag string", [(1, 2, 3, 4.0, 9.5, "F", "R"), (2, 2, 3, 1.0, 2.5, "O", "N")])}
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_profile_gives_the_first_lines_of_each_sheet(spark, tmp_path):
+    from suite import sheets
+
+    got = {(r["file"], r["sheet"]): r for r in sheets.sheet_profile(spark, small_tables(spark, tmp_path)).collect()}
+    assert {k[1] for k in got if k[0] == "1997-03.xlsx"} == {"ISD", "CSD", S.BOM_SHEET}
+    assert got["1997-03.xlsx", "ISD"]["linhas"] == 12
+    # The title line and the states; the analytic sheet has its first line further down.
+    assert got["1997-03.xlsx", "ISD"]["amostra"] == "Tabela de Preços e Custos|AC|AL"
+    assert got["1997-04.xlsx", "CCD"]["amostra"] == "Tabela de Preços e Custos|AC|AL"
+    assert got["1997-03.xlsx", S.BOM_SHEET]["amostra"] == ""
