@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ SPREAD = 50_000
 BLOCK = 2000
 #: Trigrams that are compared at once.
 COLUMNS = 4096
+#: Keys of equal texts that go together, pairs of texts that are given at once.
+KEYS, PAIRS = 256, 4096
 SLACK = 1e-9
 
 
@@ -67,40 +70,72 @@ def _keyed(df: DataFrame, text: str, by: Sequence[str], key: str) -> DataFrame:
         key, F.unhex(F.md5(F.to_json(F.struct(*by, folded.alias("_t"))))).alias("text_id"))
 
 
+def _listed(df: DataFrame, text: str, by: Sequence[str], split, key: str) -> DataFrame:
+    """As `_texts`, with the `keys` of each text; those of a text with many of them are dealt to several rows,
+    numbered by `chunk`."""
+    folded = T.unaccent(F.lower(F.col(text)))
+    text_id = F.unhex(F.md5(F.to_json(F.struct(*by, folded.alias("_t")))))
+    rows = df.select(*by, folded.alias("_t"), text_id.alias("text_id"), F.struct(F.col(key).alias("key")).alias("_key")).filter(
+        F.col("_t").isNotNull())
+    hot = rows.groupBy("text_id").agg(F.ceil(F.count("*") / KEYS).cast("int").alias("_chunks")).filter("_chunks > 1")
+    dealt = F.pmod(F.xxhash64("_key"), F.coalesce("_chunks", F.lit(1))).cast("int")
+    texts = rows.join(hot, "text_id", "left").groupBy("text_id", dealt.alias("chunk")).agg(
+        *[F.first(c).alias(c) for c in by], F.first("_t").alias("_t"), F.collect_list("_key").alias("keys"))
+    # Of a text whose keys fall into few chunks, the first one has the number 0 all the same.
+    first = Window.partitionBy("text_id").orderBy("chunk")
+    return texts.withColumn("chunk", F.row_number().over(first) - 1).select(
+        *by, "text_id", "chunk", "keys", split(F.col("_t")).alias("parts")).withColumn("n", F.size("parts")).filter("n > 0")
+
+
 def _blocks(left: DataFrame, right: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
-    """Alike texts from blocks of both sides with equal `by`, each pair compared once."""
+    """Alike texts from blocks of both sides with equal `by`, each pair compared once. Keys travel with their
+    text, so that no pair has to."""
     place = lambda g, i: F.ascii(F.substring(g, i, 1)).cast("bigint")
     code = F.transform("parts", lambda g: (place(g, 1) * 2 ** 21 + place(g, 2)) * 2 ** 21 + place(g, 3))
-    left, right = (df.select(*by, F.lit(0).alias("_all"), "text_id", "n", code.alias("codes")) for df in (left, right))
+    left, right = (df.select(*by, F.lit(0).alias("_all"), "side", "text_id", "chunk", "keys", code.alias("codes"))
+                   for df in (left, right))
     by = [*by, "_all"]
     many = F.ceil(F.count("*") / BLOCK).cast("int")
     sizes = left.groupBy(*by).agg(many.alias("p")).join(right.groupBy(*by).agg(many.alias("q")), by)
-    mine = lambda parts: F.pmod(F.xxhash64("text_id"), F.col(parts)).cast("int")
+    mine = lambda parts: F.pmod(F.xxhash64("text_id", "chunk"), F.col(parts)).cast("int")
     each = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    asked = left.join(sizes, by).select(*by, mine("p").alias("i"), each("q").alias("j"), F.col("text_id").alias("phrase_id"),
-                                        F.col("n").alias("a"), F.col("codes").alias("asked"))
-    offered = right.join(sizes, by).select(*by, each("p").alias("i"), mine("q").alias("j"), "text_id",
-                                           F.col("n").alias("b"), F.col("codes").alias("parts"))
-    keys = [*by, "i", "j"]
-
-    def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        common = _common_counts(mine["asked"], theirs["parts"])
-        a, b = mine["a"].to_numpy(), theirs["b"].to_numpy()
+    asked = left.join(sizes, by).select(*by, mine("p").alias("i"), each("q").alias("j"), "side", "codes", F.col(
+        "keys").alias("asked"), F.lit(None).cast(right.schema["keys"].dataType).alias("offered"))
+    offered = right.join(sizes, by).select(*by, each("p").alias("i"), mine("q").alias("j"), "side", "codes", F.lit(
+        None).cast(left.schema["keys"].dataType).alias("asked"), F.col("keys").alias("offered"))
+    kept = ["side", "codes", "asked", "offered"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = pa.Table.from_batches([b.select(kept) for b in batches]).combine_chunks()
+        mine, theirs = (block.filter(pc.equal(block["side"], side)).combine_chunks() for side in (1, 0))
+        if not len(mine) or not len(theirs):
+            return
+        codes = [[row.values.to_numpy() for row in side["codes"]] for side in (mine, theirs)]
+        common = _common_counts(*codes)
+        a, b = (np.array([len(c) for c in side]) for side in codes)
         alike = common / (a[:, None] + b[None, :] - common)
         x, y = np.nonzero(alike >= threshold)
-        return pd.DataFrame({"phrase_id": mine["phrase_id"].to_numpy()[x], "text_id": theirs["text_id"].to_numpy()[y],
-                             "semelhanca": alike[x, y]})
-
-    return asked.groupBy(*keys).cogroup(offered.groupBy(*keys)).applyInPandas(
-        compare, "phrase_id binary, text_id binary, semelhanca double")
-
-
-def _common_counts(left: pd.Series, right: pd.Series) -> np.ndarray:
+        score = alike[x, y]
+        best = np.lexsort((-score, x))
+        x, y, score = x[best], y[best], score[best]
+        keys = mine["asked"].chunk(0), theirs["offered"].chunk(0)
+        for at in range(0, len(x), PAIRS):
+            some = slice(at, at + PAIRS)
+            yield pa.RecordBatch.from_arrays(
+                [keys[0].take(pa.array(x[some])), keys[1].take(pa.array(y[some])), pa.array(score[some])],
+                ["asked", "offered", "semelhanca"])
+
+    types = [df.schema["keys"].dataType.simpleString() for df in (left, right)]
+    return asked.unionByName(offered).groupBy(*by, "i", "j").applyInArrow(
+        compare, f"asked {types[0]}, offered {types[1]}, semelhanca double")
+
+
+def _common_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
     """How many codes each text of the left has in common with each of the right; codes are distinct in a text."""
     out = np.zeros((len(left), len(right)))
     if not len(left) or not len(right):
         return out
-    sides = [(np.repeat(np.arange(len(s)), s.map(len)), np.concatenate(s.tolist())) for s in (left, right)]
+    sides = [(np.repeat(np.arange(len(s)), [len(c) for c in s]), np.concatenate(s)) for s in (left, right)]
     shared = np.intersect1d(sides[0][1], sides[1][1])
     for at in range(0, len(shared), COLUMNS):
         some = shared[at:at + COLUMNS]
@@ -140,10 +175,10 @@ def _by_prefix(prefixes: DataFrame, left: DataFrame, right: DataFrame, by: Seque
         F.first("a").alias("a"), F.first("b").alias("b"))
     room = F.col("common") + F.least(F.col("a") - F.col("i"), F.col("b") - F.col("j")) - 1
     pairs = met.filter(room >= need).select("phrase_id", "text_id")
-    alike = trigram_similarity(F.col("asked"), F.col("parts"))
-    return pairs.join(left.select(F.col("text_id").alias("phrase_id"), F.col("parts").alias("asked")), "phrase_id").join(
-        right.select("text_id", "parts"), "text_id").select(
-        "phrase_id", "text_id", alike.alias("semelhanca")).filter(F.col("semelhanca") >= threshold)
+    alike = trigram_similarity(F.col("mine"), F.col("parts"))
+    return pairs.join(left.select(F.col("text_id").alias("phrase_id"), F.col("parts").alias("mine"), F.col("keys").alias(
+        "asked")), "phrase_id").join(right.select("text_id", "parts", F.col("keys").alias("offered")), "text_id").select(
+        "asked", "offered", alike.alias("semelhanca")).filter(F.col("semelhanca") >= threshold)
 
 
 def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key: str,
@@ -155,12 +190,13 @@ def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key
     are ordered by rarity, and two texts as similar as asked have one in common in their prefixes. A
     pair that meets there is kept only while its lengths and the places of the last common trigram leave
     room for enough of them; what is left is compared whole. Where texts would meet more often than there
-    are pairs, blocks of texts are compared pair by pair instead. Equal texts are compared once. Texts that
-    are null or have no letter or digit match nothing; repeated keys give a row each.
+    are pairs, blocks of texts are compared pair by pair instead. Equal texts are compared once for all their
+    keys, up to KEYS of them. Texts that are null or have no letter or digit match nothing; repeated keys give a
+    row each.
     """
-    left = store(_texts(phrases, phrase, by, T.trigrams).withColumn("side", F.lit(1)), "phrases")
-    right = store(_texts(items, text, by, T.trigrams).withColumn("side", F.lit(0)), "texts")
-    every = left.unionByName(right).select("side", *by, "text_id", "n", F.explode("parts").alias("gram"))
+    left = store(_listed(phrases, phrase, by, T.trigrams, phrase_key).withColumn("side", F.lit(1)), "phrases")
+    right = store(_listed(items, text, by, T.trigrams, item_key).withColumn("side", F.lit(0)), "texts")
+    every = left.filter("chunk = 0").drop("keys").unionByName(right.filter("chunk = 0").drop("keys")).select("side", *by, "text_id", "n", F.explode("parts").alias("gram"))
     often = store(every.groupBy("gram").agg(F.count("*").alias("often")), "grams")
     ordered = every.join(often, "gram").groupBy("side", *by, "text_id", "n").agg(
         F.sort_array(F.collect_list(F.struct("often", "gram"))).alias("grams"))
@@ -168,11 +204,11 @@ def trigram_join(phrases: DataFrame, items: DataFrame, phrase_key: str, item_key
     prefixes = store(ordered.select("side", *by, "text_id", "n", F.posexplode(
         F.slice("grams", 1, (F.col("n") - least + 1).cast("int"))).alias("place", "g")).select(
         "side", *by, "text_id", "n", "place", "g.gram"), "prefixes")
-    met, pairs = _meetings(prefixes, left, right, by)
+    met, pairs = _meetings(prefixes, left.filter("chunk = 0"), right.filter("chunk = 0"), by)
     found = _blocks(left, right, by, threshold) if met > pairs and threshold > 0 else _by_prefix(prefixes, left, right, by, threshold)
-    return store(found, "alike").join(
-        _keyed(phrases, phrase, by, phrase_key).withColumnRenamed("text_id", "phrase_id"), "phrase_id").join(
-        _keyed(items, text, by, item_key), "text_id").select(phrase_key, item_key, "semelhanca")
+    return found.select(F.explode("asked").alias("_asked"), "offered", "semelhanca").select(
+        F.col("_asked.key").alias(phrase_key), F.explode("offered").alias("_offered"), "semelhanca").select(
+        phrase_key, F.col("_offered.key").alias(item_key), "semelhanca")
 
 
 def token_search_join(queries: DataFrame, docs: DataFrame, query_key: str, doc_key: str, k: int = 10,

@@ -120,3 +120,22 @@ def test_blocks_and_prefixes_give_the_same_pairs(spark, monkeypatch):
             found[name, by] = sorted((r.k, r.i, r.semelhanca) for r in rows)
     assert found["blocks", ()] == found["prefixes", ()] and found["blocks", ("brand",)] == found["prefixes", ("brand",)]
     assert len(found["blocks", ()]) > len(found["blocks", ("brand",)]) > 0
+
+
+def test_keys_travel_with_their_text_and_pairs_do_not(spark, monkeypatch):
+    """Texts with more copies than go together, keys that are null or come twice: a row for each pair of keys."""
+    monkeypatch.setattr(search, "KEYS", 3)
+    texts = ["blue gear", "blue gears", "red bolt", None, "?"]
+    phrases = [(None if i % 7 == 3 else i // 2, texts[i % 5]) for i in range(40)]
+    items = [(f"i{i // 2}", texts[i % 3]) for i in range(50)]
+    left = spark.createDataFrame(phrases, "k bigint, frase string")
+    right = spark.createDataFrame(items, "i string, descricao string")
+    like = {("blue gear", "blue gears"), ("blue gears", "blue gear"), *((t, t) for t in texts[:3])}
+    want = sorted((str(k), i) for k, p in phrases for i, t in items if (p, t) in like)
+    for count in ((2, 1), (1, 2)):
+        monkeypatch.setattr(search, "_meetings", lambda *a, count=count: count)
+        found = search.trigram_join(left, right, "k", "i")
+        assert sorted((str(r.k), r.i) for r in found.collect()) == want
+        if count == (2, 1):  # nothing is joined once the blocks are compared
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan[:plan.index("FlatMapGroups")]
