@@ -319,3 +319,39 @@ def test_blocks_of_vectors_are_compared_some_queries_at_a_time(monkeypatch):
     scores = np.clip(np.vstack(asking["v"]) @ np.vstack(offered["v"]).T, 0, 1)
     want = {(i, j) for i, row in enumerate(np.round(scores, 9)) for j in sorted(range(50), key=lambda j: (-row[j], -j))[:3]}
     assert set(zip(got["sid"], got["iid"])) == want
+
+
+def test_terms_are_not_shuffled_for_each_text(spark, monkeypatch):
+    """Vectors of texts in many blocks, some null, empty or twice: weights by hand, whatever the blocks."""
+    from collections import Counter
+    from math import log, sqrt
+
+    monkeypatch.setattr(L.termblocks, "BLOCK_TEXTS", 4)
+    items, skus = [*names(40, 11), *names(10, 11), None, "", " DE  "], [*names(9, 12), "ZINCO\tNOVO"]
+    schema = "key bigint, n string"
+    i, s = (spark.createDataFrame(list(enumerate(side)), schema) for side in (items, skus))
+    vectors = L.tfidf_vectors(i, s)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert "term" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+    def terms(n):
+        words = [w for w in (n or "").split() if w not in T.STOP_WORDS]
+        return Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+
+    df = Counter(t for n in items + skus for t in terms(n))
+    idf = {t: log((1 + len(items) + len(skus)) / (1 + c)) + 1 for t, c in df.items()}
+    asked = {t for n in skus for t in terms(n)}
+    for only in (False, True):
+        rows = L.tfidf_vectors(i, s, asked_only=only).collect()
+        assert Counter((r.side, r.n, r.copies) for r in rows) == Counter(
+            (side, n, c) for side, own in enumerate((items, skus)) for n, c in Counter(own).items())
+        for r in rows:
+            raw = {t: (1 + log(c)) * idf[t] for t, c in terms(r.n).items()}
+            norm = sqrt(sum(x * x for x in raw.values()))
+            want = {t: (round(x / norm, 9), df[t]) for t, x in raw.items() if r.side or not only or t in asked}
+            assert {t.term: (round(t.w, 9), t.df) for t in r.terms or ()} == want
+    weights = L.term_weights(vectors)
+    got = L.strongest_terms(weights, 6).select("side", "term", "n", F.round("idf", 6).alias("idf"), "w").collect()
+    plain = weights.groupBy("side", "term").agg(
+        F.count("*").alias("n"), F.round(F.max("idf"), 6).alias("idf"), F.round(F.max("w"), 6).alias("w")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, plain)) and len(got) > 50
