@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 BLOCK_TEXTS, BLOCK_BYTES = 4000, 2_000_000
 #: Rows of a long table that are summed up at once before they are shuffled; rows given at once.
 SUMMED, GIVEN = 1_000_000, 50_000
+#: Item texts that meet all products at once, and terms that are multiplied at once.
+ITEMS, COLUMNS = 4096, 2048
+SLACK = 1e-8
 TERM = "struct<term:string,w:double,idf:double,df:bigint>"
 
 
@@ -213,3 +216,57 @@ def strongest(weights: DataFrame, digits: int) -> DataFrame:
     packed = weights.select("side", "term", "idf", "w").mapInArrow(
         tell, "grp int, side int, many bigint, size bigint, terms binary, n binary, idf binary, w binary")
     return packed.groupBy("grp", "side").applyInArrow(gather, "side int, term string, n bigint, idf double, w double")
+
+
+def best_pairs(vectors: DataFrame, k: int) -> DataFrame:
+    """Pairs of a product and an item text (sid, iid, cosine above zero, copies) that hold the k best items of each
+    product, copies counted: of each block of items those that may be among them. For few products: a block
+    meets all of them, as a product of matrices."""
+    texts = vectors.filter("terms is not null").select(
+        "side", "doc", "copies", F.transform("terms", lambda t: t["term"]).alias("terms"),
+        F.transform("terms", lambda t: t["w"]).alias("w"))
+    items, products = texts.filter("side = 0"), texts.filter("side = 1")
+    blocks = max(1, -(-items.count() // ITEMS))
+    items = items.select(F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"), "doc", "copies", "terms", "w")
+    products = products.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "doc", "terms", "w")
+
+    def compare(offered: pa.Table, asking: pa.Table) -> pa.Table:
+        offered, asking = offered.combine_chunks(), asking.combine_chunks()
+        cosine = _products(asking, offered)
+        copies = offered["copies"].to_numpy()
+        if cosine.size:
+            down = np.argsort(-cosine, axis=1)
+            # The cosine of the k-th best item, or the least one where there are fewer.
+            last = np.minimum((np.cumsum(copies[down], axis=1) < k).sum(1), cosine.shape[1] - 1)
+            row = np.arange(len(cosine))
+            x, y = np.nonzero((cosine >= cosine[row, down[row, last]][:, None] - SLACK) & (cosine > 0))
+        else:
+            x = y = np.zeros(0, np.int64)
+        return pa.table({"sid": asking["doc"].take(pa.array(x)), "iid": offered["doc"].take(pa.array(y)),
+                         "cosine": pa.array(cosine[x, y]), "copies": pa.array(copies[y])})
+
+    return items.groupBy("block").cogroup(products.groupBy("block")).applyInArrow(
+        compare, "sid binary, iid binary, cosine double, copies bigint")
+
+
+def _products(left: pa.Table, right: pa.Table) -> np.ndarray:
+    """Inner product of each vector of the left with each of the right."""
+    out = np.zeros((len(left), len(right)))
+    if not out.size:
+        return out
+    sides = [(t["terms"].chunk(0), t["w"].chunk(0).flatten().to_numpy()) for t in (left, right)]
+    codes = pa.concat_arrays([terms.flatten() for terms, _ in sides]).dictionary_encode().indices.to_numpy()
+    codes = np.split(codes, [len(sides[0][1])])
+    shared = np.intersect1d(*codes)
+    entries = [(pc.list_parent_indices(terms).to_numpy(), code, w) for (terms, w), code in zip(sides, codes)]
+    for at in range(0, len(shared), COLUMNS):
+        some = shared[at:at + COLUMNS]
+        has = []
+        for (row, code, w), n in zip(entries, out.shape):
+            column = np.minimum(np.searchsorted(some, code), len(some) - 1)
+            met = some[column] == code
+            matrix = np.zeros((n, len(some)))
+            matrix[row[met], column[met]] = w[met]
+            has.append(matrix)
+        out += has[0] @ has[1].T
+    return out

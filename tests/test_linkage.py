@@ -355,3 +355,19 @@ def test_terms_are_not_shuffled_for_each_text(spark, monkeypatch):
     plain = weights.groupBy("side", "term").agg(
         F.count("*").alias("n"), F.round(F.max("idf"), 6).alias("idf"), F.round(F.max("w"), 6).alias("w")).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, plain)) and len(got) > 50
+
+
+def test_few_products_meet_all_items_in_blocks(spark, monkeypatch):
+    """The same candidates as by shared terms and bounds, from vectors with and without the other terms."""
+    items, skus = names(90, 13) * 2, [*names(20, 14), "NADA IGUAL", ""]
+    i, s = frames(spark, items, skus)
+    every, asked = (L.store(L.tfidf_vectors(i, s, asked_only=only), "vectors") for only in (False, True))
+    monkeypatch.setattr(L.termblocks, "ITEMS", 16)
+    monkeypatch.setattr(L.termblocks, "COLUMNS", 7)
+    found = [L.preselect(i, v, 7).collect() for v in (every, asked)]
+    few = L.topk_texts(asked, 7)
+    assert "FlatMapCoGroups" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(L, "FEW", 0)
+    found.append(L.preselect(i, every, 7).collect())
+    assert sorted(map(tuple, found[0])) == sorted(map(tuple, found[1])) == sorted(map(tuple, found[2]))
+    assert len(found[0]) == 7 * len(set(skus))
