@@ -10,13 +10,14 @@ from obralake.operators import picks
 from obralake.operators import removal
 from obralake.operators import star
 from obralake.plans import etl
-from obralake.session import scratch_path
+from obralake.session import checkpoint_root, drop_stored, scratch_path, store
 from obralake.sources import tables as io
 from obralake.sources import workbooks as W
 from obralake.streaming.arrivals import archive_stream, load_archives
+from suite import books
 from suite.books import pack_archive, pack_workbook
 
-from .test_sheets import BOM, CSD, ISD
+from .test_sheets import BOM, CSD, ISD, small_tables
 
 
 def grid(rows):
@@ -295,3 +296,23 @@ def test_only_stored_months_are_cleared(spark, tmp_path, monkeypatch):
     io.clear_months(rows.limit(0), str(tmp_path / "none"), ["2024-01"])
     assert asked == ["2024-01"]
     assert [p.name for p in (tmp_path / "t").glob("referencia=*")] == ["referencia=2024-02"]
+
+
+def test_only_stored_tables_are_dropped(spark, tmp_path):
+    """What a table is read from goes if it was stored; files elsewhere stay."""
+    spark.range(5).write.parquet(f"{tmp_path}/given")
+    kept = store(spark.range(7), "kept")
+    made = store(spark.range(3), "made").join(spark.read.parquet(f"{tmp_path}/given"), "id")
+    folders = {f.rsplit("/", 1)[0].removeprefix("file:").replace("///", "/") for f in made.inputFiles()}
+    drop_stored(made)
+    assert sorted(os.path.exists(f) for f in folders) == [False, True]
+    assert kept.count() == 7 and spark.read.parquet(f"{tmp_path}/given").count() == 5
+
+
+def test_cells_of_the_months_go_once_their_sheets_are_stored(spark, tmp_path):
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    tables = books._stored_months(spark, small_tables(spark, tmp_path))
+    left = [f.rsplit("-", 1)[0] for f in set(os.listdir(root)) - before]
+    assert left.count("sheet") == 5 and not {"sales", "amounts", "cells", "lines"} & set(left)
+    assert tables["ISD"].count() == 1 and os.path.exists(f"{tmp_path}/part.parquet")
