@@ -6,6 +6,8 @@ import zipfile
 import zlib
 from io import BytesIO as io_bytes
 
+from pyspark.sql import functions as F
+
 from obralake.operators import picks
 from obralake.operators import removal
 from obralake.operators import star
@@ -17,7 +19,7 @@ from obralake.streaming.arrivals import archive_stream, load_archives
 from suite import books
 from suite.books import pack_archive, pack_workbook
 
-from .test_sheets import BOM, CSD, ISD, small_tables
+from .test_sheets import BOM, CSD, ISD, cells, small_tables
 
 
 def grid(rows):
@@ -316,3 +318,17 @@ def test_cells_of_the_months_go_once_their_sheets_are_stored(spark, tmp_path):
     left = [f.rsplit("-", 1)[0] for f in set(os.listdir(root)) - before]
     assert left.count("sheet") == 5 and not {"sales", "amounts", "cells", "lines"} & set(left)
     assert tables["ISD"].count() == 1 and os.path.exists(f"{tmp_path}/part.parquet")
+
+
+def test_entities_are_made_once_for_their_table_and_for_edges(spark):
+    sheets = [cells(spark, s, g) for s, g in (("ISD", ISD), ("ICD", ISD), ("CSD", CSD), ("CCD", CSD), ("Analítico", BOM))]
+    every = sheets[0]
+    for more in sheets[1:]:
+        every = every.unionByName(more)
+    tables = etl.process(every, F.lit("2025-12"))
+    plain, staged = etl.relational(tables), etl.relational(tables, staged=True)
+    for name in etl.TABLES:
+        assert sorted(map(str, plain[name].collect())) == sorted(map(str, staged[name].collect()))
+    for name in etl.ENTITIES:
+        assert {f.rsplit("/", 2)[1].rsplit("-", 1)[0] for f in staged[name].inputFiles()} == {name}
+        assert any(f"/{name}-" in f for f in staged["composicao_analitico"].inputFiles())
